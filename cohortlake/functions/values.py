@@ -57,7 +57,7 @@ def pair_below(c, sep: str = "/", max_left: float = 140.0, max_right: float = 90
     """True when ``"<left><sep><right>"`` has two numeric halves (split at the
     first separator, blanks trimmed) with left < ``max_left`` and right < ``max_right``."""
     parts = F.split(col(c), sep if sep not in ".^$|?*+()[]{}\\" else "\\" + sep, 2)
-    left, right = F.trim(parts.getItem(0)), F.trim(parts.getItem(1))
+    left, right = F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1))
     ok = (
         (F.instr(col(c), sep) > 0)
         & is_numeric_text(left)

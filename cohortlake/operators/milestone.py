@@ -27,7 +27,11 @@ def value_at_months(events: DataFrame, anchors: DataFrame, keys: Sequence[str],
     """
     ev = events.filter(F.col(ts).isNotNull())
     reduced = ev.groupBy(*keys, _month_index(F.col(ts)).alias("__ym")).agg(
-        F.min(F.struct(*[F.col(c) for c in [ts, *tie, *values]])).alias("__first")
+        F.min(F.struct(
+            F.col(ts).alias("__ts"),
+            *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)],
+            *[F.col(c).alias(f"__v{j}") for j, c in enumerate(values)],
+        )).alias("__first")
     )
     anchored = reduced.join(anchors.select(*keys, start), list(keys)).withColumn(
         "__dist", F.col("__ym") - _month_index(F.col(start))
@@ -36,5 +40,5 @@ def value_at_months(events: DataFrame, anchors: DataFrame, keys: Sequence[str],
         *[F.min(F.when(F.col("__dist") == n, F.col("__first"))).alias(f"__m{n}") for n in months]
     )
     return wide.select(
-        *keys, *[F.col(f"__m{n}.{v}").alias(name(n, v)) for n in months for v in values]
+        *keys, *[F.col(f"__m{n}.__v{j}").alias(name(n, v)) for n in months for j, v in enumerate(values)]
     )
