@@ -1 +1,123 @@
-"""(in progress)"""
+"""HIV testing and prevention datasets: one test per encounter key (D20),
+last prevention visit (D21), latest risk assessment (D22), first and third
+month refills (D23)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cohortlake.functions import ci_equals, day_diff, hash_id
+from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, latest_per_key
+from cohortlake.params import AsOf
+from cohortlake.plans import KEY
+from cohortlake.sources.adapter import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
+
+# Fixed value: tests before this date are not reported.
+HTS_SINCE = dt.date(2015, 1, 1)
+
+HTS_COLUMNS = [
+    "test_date", "encounter_id", "site_code", "patient_pk", "patient_pk_hash", "emr", "project", "date_extracted",
+    "ever_tested_for_hiv", "months_since_last_test", "client_tested_as", "entry_point", "test_strategy",
+    "test_result1", "test_result2", "final_test_result", "patient_given_result", "tb_screening",
+    "client_self_tested", "couple_discordant", "test_type", "setting", "consent",
+]
+
+
+def encounter_hts_tests(hts: DataFrame, as_of, since: dt.date = HTS_SINCE) -> DataFrame:
+    """Per (key, test date, test type) the test with the highest encounter
+    id, among tests with a result, a date in [since, as_of] and an id."""
+    a = AsOf.of(as_of)
+    ok = (
+        F.col("final_test_result").isNotNull()
+        & F.col("test_date").isNotNull()
+        & F.col("encounter_id").isNotNull()
+        & F.col("test_date").between(F.lit(since), a.lit())
+    )
+    top = dedup_encounters(hts.filter(ok), [*KEY, "test_date", "test_type"], "encounter_id", rank_col="num")
+    return top.select("num", *HTS_COLUMNS, a.load_date())
+
+
+def prep_last_visit(prep_visits: DataFrame, as_of) -> DataFrame:
+    """Newest dated prevention visit per key with all its clinical columns."""
+    a = AsOf.of(as_of)
+    top = latest_per_key(prep_visits.filter(F.col("visit_date").isNotNull()), KEY, "visit_date", ["visit_id"],
+                         rank_col="num")
+    return top.select(
+        "num", "patient_pk", "patient_pk_hash", "site_code", "encounter_id", "visit_id", "visit_date",
+        F.month("visit_date").alias("visit_month"), F.year("visit_date").alias("visit_year"),
+        *PREP_VISIT_COLUMNS, a.load_date(),
+    )
+
+
+def latest_prep_assessment(risk: DataFrame, as_of) -> DataFrame:
+    """Newest risk assessment per key; eligible when the client is at risk;
+    screened when dated; partner clinic number hashed (SHA-256, upper hex)."""
+    a = AsOf.of(as_of)
+    top = latest_per_key(risk, ["patient_pk", "site_code"], "visit_date", ["visit_id"], rank_col="num")
+    return top.select(
+        "num", "patient_pk", "patient_pk_hash", "site_code", "visit_date", "visit_id",
+        *RISK_TEXT_COLUMNS[:11], "hiv_partner_ccc_number", "hiv_partner_art_start_date", *RISK_TEXT_COLUMNS[11:],
+        "client_risk",
+        F.when(ci_equals("client_risk", "Risk"), 1).otherwise(0).alias("eligible_prep"),
+        F.col("visit_date").alias("assessment_visit_date"),
+        F.when(F.col("visit_date").isNotNull(), 1).otherwise(0).alias("screened_prep"),
+        hash_id("hiv_partner_ccc_number").alias("hiv_partner_ccc_number_hash"),
+        a.load_date(),
+    )
+
+
+def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFrame, as_of) -> DataFrame:
+    """Per enrolled client, the first-ever refill if it is 30-37 days after
+    enrolment (month 1) and any refill 60-67 days after that one (month 3),
+    each with the test(s) done the same day. Month 3 reports days since
+    enrolment. Rows are distinct.
+
+    Month 1 and month 3 are each reduced to their distinct output values per
+    key before they are combined, so the per-key combination stays as small
+    as the result itself.
+    """
+    a = AsOf.of(as_of)
+    pkey = ["prep_number", "patient_pk", "site_code"]
+    enrol = prep_patients.select(*pkey, "prep_enrollment_date")
+    tests = hts.select(*KEY, F.col("test_date").alias("dispense_date"), "test_date", "final_test_result")
+    refills = prep_pharmacy.filter(F.col("prep_number").isNotNull()).select(*pkey, "dispense_id", "dispense_date")
+
+    first = first_per_key(refills, pkey, "dispense_date", ["dispense_id"]).join(enrol, pkey, "inner")
+    m1 = (
+        first.withColumn("refil1_diff_in_days", day_diff("prep_enrollment_date", "dispense_date"))
+        .filter(F.col("refil1_diff_in_days").between(30, 37))
+        .join(tests, [*KEY, "dispense_date"], "left")
+        .select(*KEY, "refil1_diff_in_days",
+                F.col("final_test_result").alias("test_results_month1"),
+                F.col("test_date").alias("test_date_month1"),
+                F.col("dispense_date").alias("dispense_date_month1"))
+        .distinct()
+    )
+    anchors = m1.select(*KEY, F.col("dispense_date_month1").alias("m1_date")).distinct()
+    m3 = (
+        follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67)
+        .join(enrol, pkey, "left")
+        .join(tests, [*KEY, "dispense_date"], "left")
+        .select(*KEY,
+                day_diff("prep_enrollment_date", "dispense_date").alias("refil3_diff_in_days"),
+                F.col("final_test_result").alias("test_results_month3"),
+                F.col("test_date").alias("test_date_month3"),
+                F.col("dispense_date").alias("dispense_date_month3"))
+        .distinct()
+    )
+    clients = prep_patients.filter(F.col("prep_number").isNotNull()).select(
+        "prep_number", "prep_number_hash", "patient_pk", "patient_pk_hash", "prep_enrollment_date", "site_code"
+    ).distinct()
+    return (
+        clients.join(m1, KEY, "left").join(m3, KEY, "left")
+        .select(
+            "prep_number", "patient_pk", "patient_pk_hash", "prep_number_hash", "site_code",
+            "refil1_diff_in_days", "test_results_month1", "test_date_month1", "dispense_date_month1",
+            "refil3_diff_in_days", "test_results_month3", "test_date_month3", "dispense_date_month3",
+            a.load_date(),
+        )
+        .distinct()
+    )

@@ -1 +1,94 @@
-"""(in progress)"""
+"""Latest observations per live patient (D09): weight/height, age at last
+encounter, multi-month dispensing, and attributes of the last visit."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cohortlake.functions import banded_days, ci_in, not_blank, year_boundary_diff
+from cohortlake.operators import latest_per_key, live
+from cohortlake.params import AsOf
+from cohortlake.plans import KEY
+
+# Adherence categories that describe treatment adherence.
+ART_ADHERENCE_CATEGORIES = ["ARVAdherence", "ART", "ART|CTX", "ARV", "ARV Adherence"]
+
+# (set column, condition on the visit row or None, attribute columns); the
+# family-planning set is not emitted but multiplies rows like the others.
+_VISIT_SETS = [
+    ("s_adherence", lambda: ci_in("adherence_category", ART_ADHERENCE_CATEGORIES), ["adherence"]),
+    ("s_dc", lambda: F.col("differentiated_care").isNotNull(), ["differentiated_care"]),
+    ("s_stability", None, ["stability_assessment"]),
+    ("s_pregnant", lambda: F.col("pregnant").isNotNull(), ["pregnant"]),
+    ("s_fp", lambda: F.col("family_planning_method").isNotNull() & not_blank("family_planning_method"),
+     ["family_planning_method"]),
+    ("s_bf", lambda: F.col("breastfeeding").isNotNull() & not_blank("breastfeeding"),
+     ["breastfeeding", "lmp", "gestation_age"]),
+    ("s_who", None, ["who_stage"]),
+]
+
+
+def last_visit_rows(visits: DataFrame, last_visit: DataFrame) -> DataFrame:
+    """Live visit rows that are exactly a patient's last visit (same key, date
+    and visit id as D01). The four-column join key spreads one patient's
+    visits over many shuffle partitions."""
+    lv = last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id")
+    return live(visits).join(lv, [*KEY, "visit_date", "visit_id"], "inner")
+
+
+def last_visit_attribute_sets(visits: DataFrame, last_visit: DataFrame) -> DataFrame:
+    """Per key, the distinct values of each attribute group at the last visit
+    (one pass; each set holds the distinct values of one visit, so it stays
+    small however many visits a patient has)."""
+    rows = last_visit_rows(visits, last_visit)
+    aggs = []
+    for name, cond, cols in _VISIT_SETS:
+        item = F.struct(*[F.col(c) for c in cols])
+        aggs.append(F.collect_set(item if cond is None else F.when(cond(), item)).alias(name))
+    return rows.groupBy(*KEY).agg(*aggs)
+
+
+def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visit: DataFrame,
+               last_encounter: DataFrame, weight_height: DataFrame, as_of) -> DataFrame:
+    """D09. Each attribute group joins like a left join of its distinct values:
+    several distinct values at the last visit give several output rows."""
+    a = AsOf.of(as_of)
+    pts = live(patients)
+    wh = weight_height.select("patient_pk_hash", "site_code", F.col("weight").alias("latest_weight"),
+                              F.col("height").alias("latest_height"))
+    age = last_encounter.select(*KEY, "last_encounter_date").join(pts.select(*KEY, "dob"), KEY, "inner").select(
+        *KEY, year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit")
+    )
+    mmd = last_encounter.select(*KEY, banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")).distinct()
+    tb_last = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"])
+    tb = (
+        tb_last.join(last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id"),
+                     [*KEY, "visit_date", "visit_id"], "inner")
+        .select(*KEY, "tb_screening").distinct()
+    )
+    sets = last_visit_attribute_sets(visits, last_visit)
+    out = (
+        pts.select("patient_pk_hash", "patient_pk", "site_code")
+        .join(wh, ["patient_pk_hash", "site_code"], "left")
+        .join(age, KEY, "left")
+        .join(mmd, KEY, "left")
+        .join(sets, KEY, "left")
+        .join(tb, KEY, "left")
+    )
+    for name, _, cols in _VISIT_SETS:
+        out = out.withColumn(name, F.explode_outer(name))
+    return out.select(
+        "patient_pk_hash", "patient_pk", "site_code", "latest_height", "latest_weight", "age_last_visit",
+        F.col("s_adherence.adherence").alias("adherence"),
+        F.col("s_dc.differentiated_care").alias("differentiated_care"),
+        "on_mmd",
+        F.col("s_stability.stability_assessment").alias("stability_assessment"),
+        F.col("s_pregnant.pregnant").alias("pregnant"),
+        F.col("s_bf.breastfeeding").alias("breastfeeding"),
+        F.col("s_bf.lmp").alias("lmp"),
+        F.col("s_bf.gestation_age").alias("gestation_age"),
+        F.col("s_who.who_stage").alias("who_stage"),
+        "tb_screening",
+        a.load_date(),
+    )

@@ -298,3 +298,295 @@ SELECT l.patient_pk_hash, l.site_code, l.numeric_test_result, l.test_name,
        CASE WHEN l.patient_pk_hash IS NOT NULL THEN 1 ELSE 0 END AS screened_diabetes,
        CASE WHEN c.patient_pk_hash IS NOT NULL THEN 1 ELSE 0 END AS is_diabetes_controlled_at_last_test
 FROM latest l LEFT JOIN controlled c ON c.patient_pk_hash = l.patient_pk_hash AND c.site_code = l.site_code""")
+
+# ---------------------------------------------------------------- D16 / D17
+_preg_first = """
+visit_dates_ordering AS (
+  SELECT patient_pk, site_code, visit_date,
+         row_number() OVER (PARTITION BY patient_pk, site_code ORDER BY visit_date ASC NULLS FIRST, visit_id ASC NULLS FIRST) AS rnk
+  FROM ct_patient_visits WHERE upper(rtrim(pregnant)) IN ('YES', 'Y') AND voided = 0)"""
+_preg_join = """
+FROM visit_dates_ordering v
+JOIN ct_patient p ON v.patient_pk = p.patient_pk AND p.site_code = v.site_code
+JOIN ct_art_patients art ON art.patient_pk = p.patient_pk AND p.site_code = art.site_code
+WHERE upper(rtrim(p.gender)) = 'FEMALE' AND v.rnk = 1 AND p.voided = 0 AND art.voided = 0"""
+SQL["d16_pregnancy_at_initiation"] = with_tables(["ct_patient_visits", "ct_patient", "ct_art_patients"], _preg_first, f"""
+SELECT p.patient_pk, p.patient_id, p.patient_pk_hash, p.patient_id_hash, p.site_code,
+       CASE WHEN year(art.start_art_date) = year(v.visit_date) THEN 1 ELSE 0 END AS pregnant_art_start,
+       CASE WHEN year(p.registration_at_ccc) = year(v.visit_date) THEN 1 ELSE 0 END AS pregnant_at_enrol,
+       {AS_OF} AS load_date {_preg_join}""")
+SQL["d17_pregnancy_during_art"] = with_tables(["ct_patient_visits", "ct_patient", "ct_art_patients"], _preg_first, f"""
+SELECT p.patient_pk, p.patient_id, p.patient_pk_hash, p.patient_id_hash, p.site_code,
+       CASE WHEN v.visit_date > art.start_art_date THEN 1 ELSE 0 END AS pregnant_during_art,
+       {AS_OF} AS load_date {_preg_join}""")
+
+# ---------------------------------------------------------------- D18 / D19
+_otz_flags = [("orientation", "ORIENTATION"), ("participation", "PARTICIPATION"), ("leadership", "LEADERSHIP"),
+              ("making_decisions", "MAKING DECISIONS"), ("transition", "TRANSITION"),
+              ("treatment_literacy", "TREATMENT LITERACY"), ("srh", "SRH"), ("beyond", "BEYON")]
+SQL["d18_last_otz_visit"] = with_tables(["ct_otz"], f"""
+src AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk, emr
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS rank, *,
+         {", ".join(f"CASE WHEN strpos(upper(modules_completed_today), '{n}') > 0 THEN 1 ELSE 0 END AS modules_completed_today_otz_{f}" for f, n in _otz_flags)}
+  FROM ct_otz WHERE voided = 0)""", f"""
+SELECT site_code, patient_pk, patient_id, patient_pk_hash, patient_id_hash, emr, visit_date AS last_visit_date,
+       otz_enrollment_date, transfer_in_status, transition_attrition_reason, modules_previously_covered,
+       {", ".join(f"modules_completed_today_otz_{f}" for f, _ in _otz_flags)},
+       {AS_OF} AS load_date
+FROM src WHERE rank = 1""")
+SQL["d19_last_ovc_visit"] = with_tables(["ct_ovc"], """
+src AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS rank, *
+  FROM ct_ovc WHERE voided = 0)""", f"""
+SELECT visit_date AS latest_visit_date, patient_id, site_code, patient_pk, patient_id_hash, patient_pk_hash, emr,
+       visit_date, visit_id, ovc_enrollment_date, relationship_to_client, enrolledin_cpims, cpims_unique_identifier,
+       partner_offering_ovc_services, ovc_exit_reason, exit_date, {AS_OF} AS load_date
+FROM src WHERE rank = 1""")
+
+# ---------------------------------------------------------------- D20
+SQL["d20_encounter_hts_tests"] = with_tables(["hts_client_tests"], f"""
+src AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk, test_date, test_type
+                            ORDER BY encounter_id DESC NULLS LAST) AS num,
+         test_date, encounter_id, site_code, patient_pk, patient_pk_hash, emr, project, date_extracted,
+         ever_tested_for_hiv, months_since_last_test, client_tested_as, entry_point, test_strategy, test_result1,
+         test_result2, final_test_result, patient_given_result, tb_screening, client_self_tested, couple_discordant,
+         test_type, setting, consent
+  FROM hts_client_tests
+  WHERE final_test_result IS NOT NULL AND test_date IS NOT NULL AND encounter_id IS NOT NULL
+    AND test_date >= DATE '2015-01-01' AND test_date <= {AS_OF})""", f"""
+SELECT *, {AS_OF} AS load_date FROM src WHERE num = 1""")
+
+# ---------------------------------------------------------------- D21
+from cohortlake.sources.adapter import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS  # noqa: E402
+
+SQL["d21_prep_last_visit"] = with_tables(["prep_visits"], f"""
+src AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+         patient_pk, patient_pk_hash, site_code, encounter_id, visit_id, visit_date,
+         CAST(month(visit_date) AS INTEGER) AS visit_month, CAST(year(visit_date) AS INTEGER) AS visit_year,
+         {", ".join(PREP_VISIT_COLUMNS)}
+  FROM prep_visits WHERE visit_date IS NOT NULL)""", f"""
+SELECT *, {AS_OF} AS load_date FROM src WHERE num = 1""")
+
+# ---------------------------------------------------------------- D22
+SQL["d22_latest_prep_assessment"] = with_tables(["prep_behaviour_risk"], f"""
+src AS (
+  SELECT row_number() OVER (PARTITION BY patient_pk, site_code
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+         patient_pk, patient_pk_hash, site_code, visit_date, visit_id,
+         {", ".join(RISK_TEXT_COLUMNS)}, hiv_partner_ccc_number, hiv_partner_art_start_date, client_risk,
+         CASE WHEN upper(rtrim(client_risk)) = 'RISK' THEN 1 ELSE 0 END AS eligible_prep,
+         visit_date AS assessment_visit_date,
+         CASE WHEN visit_date IS NOT NULL THEN 1 ELSE 0 END AS screened_prep
+  FROM prep_behaviour_risk)""", f"""
+SELECT *, upper(sha256(substring(CAST(hiv_partner_ccc_number AS VARCHAR), 1, 30))) AS hiv_partner_ccc_number_hash,
+       {AS_OF} AS load_date
+FROM src WHERE num = 1""")
+
+# ---------------------------------------------------------------- D23
+SQL["d23_prep_refills"] = with_tables(["prep_patient", "prep_pharmacy", "hts_client_tests"], """
+prep_patients AS (
+  SELECT DISTINCT prep_number, prep_number_hash, patient_pk, patient_pk_hash, prep_enrollment_date, site_code
+  FROM prep_patient WHERE prep_number IS NOT NULL),
+refills_ordered AS (
+  SELECT row_number() OVER (PARTITION BY prep_number, patient_pk, site_code
+                            ORDER BY dispense_date ASC NULLS FIRST, dispense_id ASC NULLS FIRST) AS row_number,
+         prep_number, patient_pk, site_code, hts_number, regimen_prescribed, dispense_date
+  FROM prep_pharmacy),
+month1 AS (
+  SELECT r.prep_number, r.patient_pk, r.site_code, r.dispense_date, p.prep_enrollment_date,
+         CAST(date_diff('day', p.prep_enrollment_date, r.dispense_date) AS INTEGER) AS refil1_diff_in_days,
+         t.test_date, t.final_test_result
+  FROM refills_ordered r
+  LEFT JOIN prep_patient p ON r.prep_number = p.prep_number AND r.patient_pk = p.patient_pk AND r.site_code = p.site_code
+  LEFT JOIN hts_client_tests t ON r.patient_pk = t.patient_pk AND r.site_code = t.site_code AND r.dispense_date = t.test_date
+  WHERE r.prep_number IS NOT NULL AND date_diff('day', p.prep_enrollment_date, r.dispense_date) BETWEEN 30 AND 37
+    AND r.row_number = 1),
+month3 AS (
+  SELECT r.prep_number, r.patient_pk, r.site_code, r.dispense_date,
+         CAST(date_diff('day', p.prep_enrollment_date, r.dispense_date) AS INTEGER) AS refil3_diff_in_days,
+         t.test_date, t.final_test_result
+  FROM prep_pharmacy r
+  LEFT JOIN prep_patient p ON r.prep_number = p.prep_number AND r.patient_pk = p.patient_pk AND r.site_code = p.site_code
+  LEFT JOIN hts_client_tests t ON r.patient_pk = t.patient_pk AND r.site_code = t.site_code AND r.dispense_date = t.test_date
+  LEFT JOIN month1 m ON m.patient_pk = r.patient_pk AND m.site_code = r.site_code
+  WHERE r.prep_number IS NOT NULL AND date_diff('day', m.dispense_date, r.dispense_date) BETWEEN 60 AND 67)""", f"""
+SELECT DISTINCT pp.prep_number, pp.patient_pk, pp.patient_pk_hash, pp.prep_number_hash, pp.site_code,
+       m1.refil1_diff_in_days, m1.final_test_result AS test_results_month1, m1.test_date AS test_date_month1,
+       m1.dispense_date AS dispense_date_month1,
+       m3.refil3_diff_in_days, m3.final_test_result AS test_results_month3, m3.test_date AS test_date_month3,
+       m3.dispense_date AS dispense_date_month3, {AS_OF} AS load_date
+FROM prep_patients pp
+LEFT JOIN month1 m1 ON pp.patient_pk = m1.patient_pk AND pp.site_code = m1.site_code
+LEFT JOIN month3 m3 ON pp.patient_pk = m3.patient_pk AND pp.site_code = m3.site_code""")
+
+# ---------------------------------------------------------------- D09
+_d01_cte = """
+d01_src AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+         site_code, patient_pk, visit_date AS last_visit_date, visit_id
+  FROM ct_patient_visits WHERE voided = 0),
+d01 AS (SELECT * FROM d01_src WHERE num = 1),
+d08 AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY site_code, patient_pk
+                              ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS rank,
+           patient_pk_hash, site_code, weight, height
+    FROM ct_patient_visits WHERE weight IS NOT NULL AND voided = 0) WHERE rank = 1)"""
+
+
+def _at_last(cols: str, extra: str = "") -> str:
+    return f"""
+  SELECT DISTINCT v.site_code, v.patient_pk, {cols}
+  FROM ct_patient_visits v
+  JOIN d01 lv ON v.site_code = lv.site_code AND v.patient_pk = lv.patient_pk
+             AND v.visit_date = lv.last_visit_date AND v.visit_id = lv.visit_id {extra}
+  WHERE v.voided = 0"""
+
+
+D09_CTES = D06_CTES + "," + _d01_cte + f""",
+latest_weight_height AS (SELECT patient_pk_hash, site_code, weight AS latest_weight, height AS latest_height FROM d08),
+age_of_last_visit AS (
+  SELECT e.patient_pk, e.site_code, CAST(year(e.last_encounter_date) - year(p.dob) AS INTEGER) AS age_last_visit
+  FROM ct_patient p LEFT JOIN d06 e ON e.patient_pk = p.patient_pk AND e.site_code = p.site_code
+  WHERE p.voided = 0),
+latest_adherence AS ({_at_last("v.adherence", "AND upper(rtrim(v.adherence_category)) IN ('ARVADHERENCE', 'ART', 'ART|CTX', 'ARV', 'ARV ADHERENCE')")}),
+latest_dc AS ({_at_last("v.differentiated_care")} AND v.differentiated_care IS NOT NULL),
+latest_mmd AS (
+  SELECT DISTINCT patient_pk, site_code,
+         CASE WHEN abs(date_diff('day', last_encounter_date, next_appointment_date)) <= 89 THEN 0
+              WHEN abs(date_diff('day', last_encounter_date, next_appointment_date)) >= 90 THEN 1 END AS on_mmd
+  FROM d06),
+latest_stability AS ({_at_last("v.stability_assessment")}),
+latest_pregnancy AS ({_at_last("v.pregnant", "AND v.pregnant IS NOT NULL")}),
+latest_fp AS ({_at_last("v.family_planning_method", "AND v.family_planning_method IS NOT NULL AND rtrim(v.family_planning_method) <> ''")}),
+latest_bf AS ({_at_last("v.breastfeeding, v.lmp, v.gestation_age", "AND v.breastfeeding IS NOT NULL AND rtrim(v.breastfeeding) <> ''")}),
+latest_who AS ({_at_last("v.who_stage")}),
+last_tb AS (
+  SELECT row_number() OVER (PARTITION BY site_code, patient_pk
+                            ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+         patient_pk, tb_screening, site_code, visit_date, visit_id
+  FROM ct_ipt WHERE voided = 0),
+latest_tb AS (
+  SELECT DISTINCT s.patient_pk, s.tb_screening, s.site_code
+  FROM last_tb s JOIN d01 lv ON s.site_code = lv.site_code AND s.patient_pk = lv.patient_pk
+                            AND s.visit_date = lv.last_visit_date AND s.visit_id = lv.visit_id
+  WHERE s.num = 1),
+d09 AS (
+  SELECT p.patient_pk_hash, p.patient_pk, p.site_code, wh.latest_height, wh.latest_weight, ag.age_last_visit,
+         ad.adherence, dc.differentiated_care, mmd.on_mmd, st.stability_assessment, pr.pregnant, bf.breastfeeding,
+         bf.lmp, bf.gestation_age, who.who_stage, tb.tb_screening, {AS_OF} AS load_date
+  FROM ct_patient p
+  LEFT JOIN latest_weight_height wh ON wh.patient_pk_hash = p.patient_pk_hash AND wh.site_code = p.site_code
+  LEFT JOIN age_of_last_visit ag ON ag.patient_pk = p.patient_pk AND ag.site_code = p.site_code
+  LEFT JOIN latest_adherence ad ON ad.patient_pk = p.patient_pk AND ad.site_code = p.site_code
+  LEFT JOIN latest_dc dc ON dc.patient_pk = p.patient_pk AND dc.site_code = p.site_code
+  LEFT JOIN latest_mmd mmd ON mmd.patient_pk = p.patient_pk AND mmd.site_code = p.site_code
+  LEFT JOIN latest_stability st ON st.patient_pk = p.patient_pk AND st.site_code = p.site_code
+  LEFT JOIN latest_pregnancy pr ON pr.patient_pk = p.patient_pk AND pr.site_code = p.site_code
+  LEFT JOIN latest_fp fp ON fp.patient_pk = p.patient_pk AND fp.site_code = p.site_code
+  LEFT JOIN latest_bf bf ON bf.patient_pk = p.patient_pk AND bf.site_code = p.site_code
+  LEFT JOIN latest_who who ON who.patient_pk = p.patient_pk AND who.site_code = p.site_code
+  LEFT JOIN latest_tb tb ON tb.patient_pk = p.patient_pk AND tb.site_code = p.site_code
+  WHERE p.voided = 0)"""
+D09_TABLES = D06_TABLES + ["ct_patient", "ct_ipt"]
+SQL["d09_latest_obs"] = with_tables(D09_TABLES, D09_CTES, "SELECT * FROM d09")
+
+# ---------------------------------------------------------------- D10
+_gest = (f"CASE WHEN {isnum('obs.gestation_age')} "
+         "THEN floor(TRY_CAST(replace(obs.gestation_age, ',', '') AS DOUBLE)) END")
+SQL["d10_pbfw"] = with_tables(D09_TABLES + ["mnch_anc_visits", "mnch_pnc_visits", "mnch_mat_visits", "mnch_arts",
+                                            "mnch_enrolments"], D09_CTES + f""",
+visits_source AS (
+  SELECT DISTINCT obs.site_code, obs.patient_pk, obs.patient_pk_hash, obs.breastfeeding, obs.pregnant,
+         patient.gender, patient.dob, art.start_art_date, patient.date_confirmed_hiv_positive, lv.last_visit_date
+  FROM d09 obs
+  LEFT JOIN ct_art_patients art ON art.patient_pk = obs.patient_pk AND art.site_code = obs.site_code
+  LEFT JOIN ct_patient patient ON patient.patient_pk = obs.patient_pk AND patient.site_code = obs.site_code
+  LEFT JOIN d01 lv ON lv.patient_pk = obs.patient_pk AND lv.site_code = obs.site_code
+  WHERE upper(rtrim(obs.pregnant)) = 'YES'
+     OR (upper(rtrim(obs.breastfeeding)) = 'YES'
+         AND year(art.last_visit) - year(art.dob) > 10
+         AND date_diff('day', obs.lmp - CAST({_gest} * 7 AS INTEGER), {EOPM}) <= 450)),
+first_anc_from_visits AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY v.patient_pk, v.site_code
+                              ORDER BY v.visit_date ASC NULLS FIRST, v.visit_id ASC NULLS FIRST) AS num,
+           v.patient_pk, v.site_code, v.visit_date
+    FROM ct_patient_visits v
+    LEFT JOIN ct_art_patients art ON art.patient_pk = v.patient_pk AND art.site_code = v.site_code
+    WHERE upper(rtrim(v.pregnant)) = 'YES'
+       OR (upper(rtrim(v.breastfeeding)) = 'YES' AND year(art.last_visit) - year(art.dob) > 1)) WHERE num = 1),
+latest_anc AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY patient_pk, site_code ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+           patient_pk, patient_pk_hash, site_code, visit_date, hiv_status_before_anc
+    FROM mnch_anc_visits
+    WHERE upper(rtrim(hiv_status_before_anc)) = 'KP' OR upper(rtrim(hiv_test_final_result)) = 'POSITIVE') WHERE num = 1),
+latest_pnc AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY patient_pk, site_code ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+           patient_pk, patient_pk_hash, site_code, visit_date
+    FROM mnch_pnc_visits
+    WHERE upper(rtrim(prior_hiv_status)) = 'POSITIVE'
+       OR (upper(rtrim(hiv_test_final_result)) = 'POSITIVE'
+           AND upper(rtrim(baby_feeding)) IN ('BREASTFED EXCLUSIVELY', 'EXCLUSIVE BREASTFEEDING', 'MIXED FEEDING'))) WHERE num = 1),
+latest_mat AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY patient_pk, site_code ORDER BY visit_date DESC NULLS LAST, visit_id DESC NULLS LAST) AS num,
+           patient_pk, patient_pk_hash, site_code, visit_date
+    FROM mnch_mat_visits
+    WHERE upper(rtrim(hiv_test_final_result)) = 'POSITIVE'
+       OR (upper(rtrim(on_art_anc)) = 'YES' AND upper(rtrim(initiated_bf)) = 'YES')) WHERE num = 1),
+earliest_mnch_start_art AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY patient_pk, site_code ORDER BY start_art_date ASC NULLS FIRST, art_id ASC NULLS FIRST) AS num,
+           site_code, patient_pk, start_art_date FROM mnch_arts) WHERE num = 1),
+latest_mnch_enrollment AS (
+  SELECT * FROM (
+    SELECT row_number() OVER (PARTITION BY patient_pk, site_code
+                              ORDER BY enrollment_date_at_mnch DESC NULLS LAST, enrolment_id DESC NULLS LAST) AS num,
+           site_code, patient_pk, hiv_status_before_anc FROM mnch_enrolments) WHERE num = 1),
+j1 AS (
+  SELECT coalesce(vs.site_code, a.site_code) AS site_code, coalesce(vs.patient_pk, a.patient_pk) AS patient_pk,
+         coalesce(vs.patient_pk_hash, a.patient_pk_hash) AS patient_pk_hash, vs.breastfeeding, vs.pregnant,
+         vs.start_art_date, vs.date_confirmed_hiv_positive,
+         coalesce(vs.last_visit_date, a.visit_date) AS last_visit_date, a.hiv_status_before_anc, vs.gender, vs.dob,
+         CASE WHEN a.patient_pk IS NOT NULL THEN 1 ELSE 0 END AS is_anc_source
+  FROM visits_source vs FULL JOIN latest_anc a ON vs.patient_pk = a.patient_pk AND vs.site_code = a.site_code),
+j2 AS (
+  SELECT coalesce(j1.patient_pk, p.patient_pk) AS patient_pk, coalesce(j1.patient_pk_hash, p.patient_pk_hash) AS patient_pk_hash,
+         coalesce(j1.site_code, p.site_code) AS site_code, coalesce(j1.last_visit_date, p.visit_date) AS last_visit_date,
+         j1.date_confirmed_hiv_positive, j1.start_art_date, j1.hiv_status_before_anc, j1.breastfeeding, j1.pregnant,
+         j1.gender, j1.dob, j1.is_anc_source
+  FROM j1 FULL JOIN latest_pnc p ON p.patient_pk = j1.patient_pk AND p.site_code = j1.site_code),
+j3 AS (
+  SELECT coalesce(j2.patient_pk, m.patient_pk) AS patient_pk, coalesce(j2.patient_pk_hash, m.patient_pk_hash) AS patient_pk_hash,
+         coalesce(j2.site_code, m.site_code) AS site_code, coalesce(j2.last_visit_date, m.visit_date) AS last_visit_date,
+         j2.date_confirmed_hiv_positive, j2.start_art_date, j2.hiv_status_before_anc, j2.breastfeeding, j2.pregnant,
+         j2.gender, j2.dob, j2.is_anc_source
+  FROM j2 FULL JOIN latest_mat m ON m.patient_pk = j2.patient_pk AND m.site_code = j2.site_code),
+joined_data AS (
+  SELECT j3.patient_pk, j3.patient_pk_hash, j3.site_code, j3.last_visit_date, j3.breastfeeding, j3.pregnant, j3.gender,
+         j3.dob, j3.is_anc_source, j3.date_confirmed_hiv_positive, j3.hiv_status_before_anc AS hiv_status_before_anc_source,
+         coalesce(j3.start_art_date, e.start_art_date) AS start_art_date,
+         coalesce(en.hiv_status_before_anc, j3.hiv_status_before_anc) AS hiv_status_before_anc,
+         f.visit_date AS anc_date1
+  FROM j3
+  LEFT JOIN earliest_mnch_start_art e ON e.patient_pk = j3.patient_pk AND j3.site_code = e.site_code
+  LEFT JOIN latest_mnch_enrollment en ON en.patient_pk = j3.patient_pk AND en.site_code = j3.site_code
+  LEFT JOIN first_anc_from_visits f ON f.patient_pk = j3.patient_pk AND f.site_code = j3.site_code)""", """
+SELECT site_code, patient_pk_hash, patient_pk, breastfeeding, pregnant, start_art_date, date_confirmed_hiv_positive,
+       last_visit_date, hiv_status_before_anc, is_anc_source, gender, dob,
+       CASE WHEN date_confirmed_hiv_positive < last_visit_date THEN 'Known Positive'
+            WHEN date_confirmed_hiv_positive = last_visit_date THEN 'New Positive'
+            WHEN upper(rtrim(hiv_status_before_anc)) IN ('POSITIVE', 'KP') THEN 'Known Positive'
+            WHEN is_anc_source = 1 AND upper(rtrim(hiv_status_before_anc_source)) NOT IN ('KP') THEN 'New Positive'
+            ELSE 'Missing' END AS pbfw_category,
+       anc_date1 AS green_card_anc_date1
+FROM joined_data""")
