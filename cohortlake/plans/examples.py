@@ -1,3 +1,228 @@
-"""Building blocks run directly on the raw test tables (no adapter)."""
+"""The building blocks run directly on the raw test tables (no adapter), so
+each operator is checked as a general keyed-event operator: customers are
+the key, orders and line items the events."""
 
-EXAMPLES: dict = {}
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlake.functions import (
+    below_or_in,
+    contains_flags,
+    day_diff,
+    hash_id,
+    ladder,
+    later_of,
+    later_strict,
+    lenient_number,
+    month_boundary_diff,
+    pair_below,
+    year_boundary_diff,
+)
+from cohortlake.operators import (
+    dedup_encounters,
+    first_per_key,
+    follow_up_in_window,
+    full_merge,
+    latest_as_at,
+    latest_by_group,
+    latest_per_key,
+    top_n_per_key,
+    value_at_months,
+)
+from cohortlake.params import AsOf
+from cohortlake.session import configure
+from cohortlake.sources.tables import read_table
+
+# Reporting date for the raw-table examples (inside the order date range).
+EXAMPLE_AS_OF = AsOf(dt.date(1998, 8, 15))
+
+
+def _orders(spark, sf):
+    return read_table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("order_date")
+    )
+
+
+def _lines(spark, sf):
+    li = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.to_date("l_shipdate").alias("ship_date")
+    )
+    return li.join(_orders(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "order_date"),
+                   "l_orderkey")
+
+
+def latest_order_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    top = latest_per_key(_orders(spark, sf), ["o_custkey"], "order_date", ["o_orderkey"], rank_col="rn")
+    return top.select("o_custkey", "o_orderkey", "order_date", "o_totalprice", "rn")
+
+
+def first_order_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    top = first_per_key(_orders(spark, sf), ["o_custkey"], "order_date", ["o_orderkey"], rank_col="rn")
+    return top.select("o_custkey", "o_orderkey", "order_date", "o_totalprice", "rn")
+
+
+def top10_lineitems_per_order_customer(spark: SparkSession, sf: str) -> DataFrame:
+    top = top_n_per_key(_lines(spark, sf), ["o_custkey"], "ship_date", ["l_orderkey", "l_linenumber", "l_quantity"],
+                        n=10, rank_col="rank")
+    return top.select("o_custkey", "rank", "l_orderkey", "l_linenumber", "ship_date", "l_quantity")
+
+
+def _as_at(spark, sf, order):
+    top = latest_as_at(_orders(spark, sf), ["o_custkey"], "order_date", EXAMPLE_AS_OF.eopm, ["o_orderkey"], order,
+                       rank_col="rn")
+    return top.select("o_custkey", "o_orderkey", "order_date", "rn")
+
+
+def latest_order_as_at_rank_then_cut(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_at(spark, sf, "rank_then_cut")
+
+
+def latest_order_as_at_cut_then_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_at(spark, sf, "cut_then_rank")
+
+
+def later_of_full_merge_orders_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest open order and latest returned shipment per customer, fully merged."""
+    open_orders = latest_per_key(_orders(spark, sf).filter(F.col("o_orderstatus") == "O"), ["o_custkey"],
+                                 "order_date", ["o_orderkey"])
+    returns = latest_per_key(_lines(spark, sf).filter(F.col("l_returnflag") == "R"), ["o_custkey"], "ship_date",
+                             ["l_orderkey", "l_linenumber", "l_quantity"])
+    merged = full_merge(open_orders, returns, ["o_custkey"],
+                        left_cols={"last_open_order": "order_date"}, right_cols={"last_return": "ship_date"},
+                        present={"has_return": "right"})
+    return merged.select(
+        "o_custkey", "last_open_order", "last_return", "has_return",
+        later_of("last_open_order", "last_return").alias("later_date"),
+        later_strict("last_return", "last_open_order").alias("return_if_later"),
+    )
+
+
+def month_boundary_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
+    li = _lines(spark, sf)
+    return li.groupBy(
+        month_boundary_diff("order_date", "ship_date").alias("months"),
+        year_boundary_diff("order_date", "ship_date").alias("years"),
+    ).agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.min(day_diff("order_date", "ship_date")).alias("min_days"),
+        F.max(day_diff("order_date", "ship_date")).alias("max_days"),
+    )
+
+
+def milestone_value_at_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity and date of the first shipment exactly 1/2/3/6 calendar months
+    after each customer's first order."""
+    first = _orders(spark, sf).groupBy("o_custkey").agg(F.min("order_date").alias("first_order"))
+    return value_at_months(
+        _lines(spark, sf), first, ["o_custkey"], "ship_date", "first_order", [1, 2, 3, 6],
+        ["l_quantity", "ship_date"], tie=["l_orderkey", "l_linenumber", "l_quantity"],
+        name=lambda m, v: f"qty_{m}m" if v == "l_quantity" else f"date_{m}m",
+    )
+
+
+def follow_up_in_window_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders placed 30-37 days after the customer's first order."""
+    o = _orders(spark, sf)
+    first = o.groupBy("o_custkey").agg(F.min("order_date").alias("first_order"))
+    hits = follow_up_in_window(o.select("o_custkey", "o_orderkey", "order_date"), first, ["o_custkey"],
+                               "order_date", "first_order", 30, 37)
+    return hits.select("o_custkey", "first_order", "o_orderkey", "order_date",
+                       day_diff("first_order", "order_date").alias("days_after"))
+
+
+def rule_ladder_customers(spark: SparkSession, sf: str) -> DataFrame:
+    c = read_table(spark, sf, "customer")
+    bal = F.col("c_acctbal")
+    code = ladder([
+        (bal < 0, "NEG"),
+        ((F.col("c_mktsegment") == "BUILDING") & (bal > 5000), "BIG_BUILD"),
+        (bal.between(0, 1000), "LOW"),
+        (F.col("c_nationkey").isin(1, 2, 3), "N123"),
+    ], default=F.substring("c_mktsegment", 1, 1))
+    return c.select("c_custkey", code.alias("code"))
+
+
+def contains_flags_part_names(spark: SparkSession, sf: str) -> DataFrame:
+    p = read_table(spark, sf, "part")
+    return p.select("p_partkey", "p_name", *contains_flags("p_name", {
+        "has_ring": "ring", "has_hot": "HOT", "has_plate": "plate", "has_wid": "wid",
+    }))
+
+
+def pair_split_numeric_check(spark: SparkSession, sf: str) -> DataFrame:
+    """"a/b" readings derived from order and customer keys, some malformed."""
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    text = (
+        F.when(k % 11 == 0, F.concat((k % 180).cast("string"), F.lit("/x")))
+        .when(k % 13 == 0, F.concat((k % 180).cast("string"), F.lit("-"), (F.col("o_custkey") % 120).cast("string")))
+        .when(k % 17 == 0, F.concat(F.lit("/"), (k % 120).cast("string")))
+        .otherwise(F.concat((k % 180).cast("string"), F.lit("/"), (F.col("o_custkey") % 120).cast("string")))
+    )
+    return o.select("o_orderkey", text.alias("reading")).select(
+        "o_orderkey", "reading", F.when(pair_below("reading", "/", 140.0, 90.0), 1).otherwise(0).alias("below")
+    )
+
+
+def lenient_number_classify(spark: SparkSession, sf: str) -> DataFrame:
+    li = read_table(spark, sf, "lineitem")
+    ln = F.col("l_linenumber")
+    text = (
+        F.when(ln == 1, F.lit("LDL"))
+        .when(ln == 2, F.lit("undetectable"))
+        .when(ln == 6, F.concat(F.floor("l_quantity").cast("int").cast("string"), F.lit(",000")))
+        .when(ln == 7, F.lit("n/a"))
+        .otherwise(F.floor("l_extendedprice").cast("bigint").cast("string"))
+    )
+    return li.select("l_orderkey", "l_linenumber", text.alias("result")).select(
+        "l_orderkey", "l_linenumber", "result",
+        lenient_number("result").alias("value"),
+        below_or_in("result", 200.0, ["undetectable", "LDL"]).alias("suppressed"),
+    )
+
+
+def hashed_customer_key(spark: SparkSession, sf: str) -> DataFrame:
+    c = read_table(spark, sf, "customer")
+    return c.select("c_custkey", hash_id("c_name").alias("name_hash"), hash_id("c_custkey", 64).alias("key_hash"))
+
+
+def max_date_per_site_broadcast_join(spark: SparkSession, sf: str) -> DataFrame:
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    o = _orders(spark, sf).join(c.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    per_nation = latest_by_group(o, ["c_nationkey"], "order_date", "nation_last_order")
+    return c.join(per_nation, "c_nationkey", "left").select("c_custkey", "c_nationkey", "nation_last_order")
+
+
+def encounter_dedup_multi_key(spark: SparkSession, sf: str) -> DataFrame:
+    li = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.to_date("l_shipdate").alias("ship_date")
+    )
+    top = dedup_encounters(li, ["l_orderkey", "ship_date", "l_returnflag"], "l_linenumber", ["l_quantity"],
+                           rank_col="num")
+    return top.select("l_orderkey", "ship_date", "l_returnflag", "l_linenumber", "l_quantity", "num")
+
+
+def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf)
+
+    run.__name__ = fn.__name__
+    return run
+
+
+EXAMPLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: _wrap(f)
+    for f in [
+        latest_order_per_customer, first_order_per_customer, top10_lineitems_per_order_customer,
+        latest_order_as_at_rank_then_cut, latest_order_as_at_cut_then_rank, later_of_full_merge_orders_shipments,
+        month_boundary_diff_orders, milestone_value_at_months, follow_up_in_window_orders, rule_ladder_customers,
+        contains_flags_part_names, pair_split_numeric_check, lenient_number_classify, hashed_customer_key,
+        max_date_per_site_broadcast_join, encounter_dedup_multi_key,
+    ]
+}

@@ -227,7 +227,7 @@ class FixtureTables:
     def ct_patient_labs(self) -> DataFrame:
         k, ln = F.col("k"), F.col("ln")
         od = shift_years(F.col("sdate"), 20)
-        q = F.col("qty").cast("int")
+        q = F.floor("qty").cast("int")
         return self._li.select(
             *K_COLS,
             k.alias("visit_id"),

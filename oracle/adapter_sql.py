@@ -104,13 +104,13 @@ SELECT {K}, k * 10 + ln AS dispense_id, dd AS dispense_date,
   CASE WHEN k % 19 = 0 THEN 1 ELSE 0 END AS voided
 FROM (SELECT *, {d20('sdate')} AS dd FROM _li)""",
     "ct_patient_labs": f"""
-SELECT {K}, k AS visit_id, k * 1000 + ln * 100 + CAST(qty AS INTEGER) AS lab_id,
+SELECT {K}, k AS visit_id, k * 1000 + ln * 100 + CAST(floor(qty) AS INTEGER) AS lab_id,
   od AS ordered_by_date, od + CAST(k % 14 AS INTEGER) AS reported_by_date,
   CASE WHEN ln <= 4 THEN 'Viral Load' WHEN ln = 5 THEN 'HBA1C' WHEN ln = 6 THEN 'FBS'
        ELSE 'Hepatitis C viral load' END AS test_name,
   CASE WHEN k % 16 = 0 THEN 'LDL' WHEN k % 8 = 0 THEN 'ldl' WHEN k % 8 = 1 THEN 'undetectable'
        WHEN k % 8 = 3 THEN '1,200' WHEN k % 8 = 4 THEN '150'
-       WHEN k % 8 >= 5 THEN CAST(CAST(qty AS INTEGER) % 10 AS VARCHAR) || '.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0')
+       WHEN k % 8 >= 5 THEN CAST(CAST(floor(qty) AS INTEGER) % 10 AS VARCHAR) || '.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0')
   END AS test_result,
   emr, project,
   CASE k % 3 WHEN 0 THEN 'Routine' WHEN 1 THEN 'Baseline' END AS reason,
