@@ -49,18 +49,40 @@ def pbfw_visits(obs: DataFrame, art: DataFrame, patients: DataFrame, last_visit:
     ).distinct()
 
 
+def first_pregnant_or_breastfeeding_visit(visits: DataFrame, art: DataFrame) -> DataFrame:
+    """Date of the first visit (a null date counts as first) that is pregnant,
+    or breastfeeding when the patient has a treatment record with an age over 1.
+
+    The treatment condition depends only on the patient, so visits are first
+    reduced per key to two candidates - first pregnant visit, first pregnant
+    or breastfeeding visit - by a partial aggregation (a patient with very
+    many visits sends one row per map task), and only then joined to the
+    per-key flag "has a qualifying treatment record"; the flag picks the
+    candidate. Visits are not joined to the treatment table row by row.
+    """
+    preg, bf = _yes("pregnant"), _yes("breastfeeding")
+    order = F.struct(F.col("visit_date").isNotNull().alias("dated"), F.col("visit_date").alias("d"))
+    cand = visits.filter(preg | bf).groupBy(*KEY).agg(
+        F.min(F.when(preg, order)).alias("first_pregnant"),
+        F.min(order).alias("first_any"),
+    )
+    art_ok = (
+        art.filter(year_boundary_diff("dob", "last_visit") > MIN_AGE_FIRST_VISIT)
+        .select(*KEY).distinct().withColumn("art_ok", F.lit(True))
+    )
+    return cand.join(art_ok, KEY, "left").select(
+        *KEY,
+        F.when(F.col("art_ok"), F.col("first_any.d")).otherwise(F.col("first_pregnant.d")).alias("anc_date1"),
+    )
+
+
 def pbfw(obs: DataFrame, art: DataFrame, patients: DataFrame, last_visit: DataFrame, visits: DataFrame,
          anc: DataFrame, pnc: DataFrame, mat: DataFrame, mnch_arts: DataFrame, mnch_enrolments: DataFrame,
          as_of) -> DataFrame:
     """D10 (no load date, as in the source)."""
     a = AsOf.of(as_of)
     vs = pbfw_visits(obs, art, patients, last_visit, a)
-    first_anc = first_per_key(
-        visits.join(art.select(*KEY, F.col("dob").alias("art_dob"), "last_visit"), KEY, "left").filter(
-            _yes("pregnant") | (_yes("breastfeeding") & (year_boundary_diff("art_dob", "last_visit") > MIN_AGE_FIRST_VISIT))
-        ),
-        KEY, "visit_date", ["visit_id"],
-    ).select(*KEY, F.col("visit_date").alias("anc_date1"))
+    first_anc = first_pregnant_or_breastfeeding_visit(visits, art)
     latest_anc = latest_per_key(
         anc.filter(ci_equals("hiv_status_before_anc", "KP") | ci_equals("hiv_test_final_result", "Positive")),
         KEY, "visit_date", ["visit_id"],

@@ -15,3 +15,17 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {n: read_table(spark, base, n) for n in names}
+
+
+class TableSet:
+    """Clinical tables stored as ``<base>/<name>.parquet``, exposed as attributes
+    (the same interface as the fixture adapter)."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark = spark
+        self.base = base
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return read_table(self.spark, self.base, name)
