@@ -1,0 +1,3 @@
+"""No streaming operators: every dataset in the source system is a full-refresh
+batch job (no watermark, window, state or late-data handling exists there).
+Full refreshes are run with ``cohortlake.plans.refresh``."""
