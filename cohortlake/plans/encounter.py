@@ -43,7 +43,9 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
 
     The treatment record is joined twice on the key, as in the source rules;
     with one record per key both joins are row-preserving, with several the
-    combinations are kept and collapsed by the final distinct.
+    combinations are kept and collapsed by the final distinct. Each join
+    takes the distinct (key, date) values only, so the combinations are
+    bounded by distinct treatment dates per key, which also bounds the output.
     """
     a = AsOf.of(as_of)
     eopm = a.eopm_lit()
@@ -64,13 +66,15 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
         F.col("visit_date").alias("v_date"),
         plus_days_if_null("next_appointment_date", "visit_date").alias("v_next"),
     )
-    patients = live(art).select(*IDS)
-    step1 = patients.join(ph, KEY, "left").join(art_dates, KEY, "left").select(
+    # The result is DISTINCT, so each side of the key joins only needs its
+    # distinct values: duplicated treatment rows cannot multiply rows.
+    patients = live(art).select(*IDS).distinct()
+    step1 = patients.join(ph, KEY, "left").join(art_dates.distinct(), KEY, "left").select(
         *IDS,
         later_of("ph_date", "art_last").alias("enc1"),
         later_of("ph_next", "art_return").alias("next1"),
     )
-    step2 = step1.join(art_dates.select(*KEY, F.col("art_last").alias("art_last2")), KEY, "left").select(
+    step2 = step1.join(art_dates.select(*KEY, F.col("art_last").alias("art_last2")).distinct(), KEY, "left").select(
         *IDS, later_of("enc1", "art_last2").alias("enc2"), "next1"
     )
     combined = step2.join(lv, KEY, "left").select(

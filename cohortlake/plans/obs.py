@@ -29,66 +29,75 @@ _VISIT_SETS = [
 ]
 
 
-def last_visit_rows(visits: DataFrame, last_visit: DataFrame) -> DataFrame:
-    """Live visit rows that are exactly a patient's last visit (same key, date
-    and visit id as D01). The four-column join key spreads one patient's
-    visits over many shuffle partitions."""
-    lv = last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id")
-    return live(visits).join(lv, [*KEY, "visit_date", "visit_id"], "inner")
-
+def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame, last_visit: DataFrame) -> DataFrame:
+    """Per key, the distinct values of each attribute group at the last visit,
+    and of the TB screening when the newest screening is that same visit.
 
-def last_visit_attribute_sets(visits: DataFrame, last_visit: DataFrame) -> DataFrame:
-    """Per key, the distinct values of each attribute group at the last visit
-    (one pass; each set holds the distinct values of one visit, so it stays
-    small however many visits a patient has)."""
-    rows = last_visit_rows(visits, last_visit)
+    Visit rows and newest-screening rows are unioned and joined to the last
+    visit (D01) once, on (key, date, visit id): the four-column join key
+    spreads one patient's rows over many partitions. Each set holds the
+    distinct values of one visit, so it stays small however many visits a
+    patient has.
+    """
+    attr_cols = sorted({c for _, _, cols in _VISIT_SETS for c in cols} | {"adherence_category"})
+    v_rows = live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols, F.lit("v").alias("__src"))
+    tb_rows = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
+        *KEY, "visit_date", "visit_id", "tb_screening", F.lit("t").alias("__src"))
+    lv = last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id")
+    rows = v_rows.unionByName(tb_rows, allowMissingColumns=True).join(lv, [*KEY, "visit_date", "visit_id"], "inner")
+    is_visit = F.col("__src") == "v"
     aggs = []
     for name, cond, cols in _VISIT_SETS:
-        item = F.struct(*[F.col(c) for c in cols])
-        aggs.append(F.collect_set(item if cond is None else F.when(cond(), item)).alias(name))
+        keep = is_visit if cond is None else is_visit & cond()
+        aggs.append(F.collect_set(F.when(keep, F.struct(*[F.col(c) for c in cols]))).alias(name))
+    aggs.append(F.collect_set(F.when(F.col("__src") == "t", F.struct("tb_screening"))).alias("s_tb"))
     return rows.groupBy(*KEY).agg(*aggs)
 
 
+def encounter_facts(patients: DataFrame, last_encounter: DataFrame) -> DataFrame:
+    """Per key, from one pass over D06: the ages at the last encounter (one per
+    encounter row and live patient row, duplicates kept) and the distinct
+    multi-month-dispensing flags (0 below 90 days between encounter and
+    appointment, 1 from 90 days)."""
+    enc = last_encounter.select(*KEY, "last_encounter_date", "next_appointment_date")
+    dob = live(patients).select(*KEY, "dob", F.lit(True).alias("__pt"))
+    age = F.struct(year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit"))
+    return enc.join(dob, KEY, "left").groupBy(*KEY).agg(
+        F.collect_list(F.when(F.col("__pt"), age)).alias("s_age"),
+        F.collect_set(F.struct(banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")))
+        .alias("s_mmd"),
+    )
+
+
 def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visit: DataFrame,
                last_encounter: DataFrame, weight_height: DataFrame, as_of) -> DataFrame:
-    """D09. Each attribute group joins like a left join of its distinct values:
-    several distinct values at the last visit give several output rows."""
+    """D09. Each attribute group behaves like a left join of its rows: several
+    distinct values at the last visit (or several encounter rows) give several
+    output rows. Upstream D01 and D06 are each consumed once."""
     a = AsOf.of(as_of)
     pts = live(patients)
     wh = weight_height.select("patient_pk_hash", "site_code", F.col("weight").alias("latest_weight"),
                               F.col("height").alias("latest_height"))
-    age = last_encounter.select(*KEY, "last_encounter_date").join(pts.select(*KEY, "dob"), KEY, "inner").select(
-        *KEY, year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit")
-    )
-    mmd = last_encounter.select(*KEY, banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")).distinct()
-    tb_last = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"])
-    tb = (
-        tb_last.join(last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id"),
-                     [*KEY, "visit_date", "visit_id"], "inner")
-        .select(*KEY, "tb_screening").distinct()
-    )
-    sets = last_visit_attribute_sets(visits, last_visit)
     out = (
         pts.select("patient_pk_hash", "patient_pk", "site_code")
         .join(wh, ["patient_pk_hash", "site_code"], "left")
-        .join(age, KEY, "left")
-        .join(mmd, KEY, "left")
-        .join(sets, KEY, "left")
-        .join(tb, KEY, "left")
+        .join(encounter_facts(patients, last_encounter), KEY, "left")
+        .join(last_visit_attribute_sets(visits, ipt, last_visit), KEY, "left")
     )
-    for name, _, cols in _VISIT_SETS:
+    for name in ["s_age", "s_mmd", *[n for n, _, _ in _VISIT_SETS], "s_tb"]:
         out = out.withColumn(name, F.explode_outer(name))
     return out.select(
-        "patient_pk_hash", "patient_pk", "site_code", "latest_height", "latest_weight", "age_last_visit",
+        "patient_pk_hash", "patient_pk", "site_code", "latest_height", "latest_weight",
+        F.col("s_age.age_last_visit").alias("age_last_visit"),
         F.col("s_adherence.adherence").alias("adherence"),
         F.col("s_dc.differentiated_care").alias("differentiated_care"),
-        "on_mmd",
+        F.col("s_mmd.on_mmd").alias("on_mmd"),
         F.col("s_stability.stability_assessment").alias("stability_assessment"),
         F.col("s_pregnant.pregnant").alias("pregnant"),
         F.col("s_bf.breastfeeding").alias("breastfeeding"),
         F.col("s_bf.lmp").alias("lmp"),
         F.col("s_bf.gestation_age").alias("gestation_age"),
         F.col("s_who.who_stage").alias("who_stage"),
-        "tb_screening",
+        F.col("s_tb.tb_screening").alias("tb_screening"),
         a.load_date(),
     )
