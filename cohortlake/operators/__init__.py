@@ -1,6 +1,7 @@
 """DataFrame-level building blocks. All take column names, so they work on any
 keyed event table."""
 
+from cohortlake.operators.events import rows_at_event
 from cohortlake.operators.group import latest_by_group
 from cohortlake.operators.merge import full_merge, left_enrich
 from cohortlake.operators.milestone import value_at_months
@@ -17,6 +18,6 @@ from cohortlake.operators.refill import follow_up_in_window
 
 __all__ = [
     "dedup_encounters", "first_per_key", "follow_up_in_window", "full_merge", "latest_as_at",
-    "latest_by_group", "latest_per_key", "left_enrich", "live", "ranked", "top_n_per_key",
+    "latest_by_group", "latest_per_key", "left_enrich", "live", "ranked", "rows_at_event", "top_n_per_key",
     "value_at_months",
 ]

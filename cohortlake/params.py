@@ -45,6 +45,10 @@ class AsOf:
     def lit(self) -> Column:
         return F.lit(self.day)
 
+    def with_load_date(self, df):
+        """``df`` with the load stamp column ``load_date`` = ``as_of``."""
+        return df.withColumn("load_date", F.lit(self.day))
+
     def load_date(self) -> Column:
         return F.lit(self.day).alias("load_date")
 

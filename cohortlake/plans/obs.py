@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import banded_days, ci_in, not_blank, year_boundary_diff
-from cohortlake.operators import latest_per_key, live
+from cohortlake.operators import latest_per_key, live, rows_at_event
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -43,8 +43,8 @@ def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame, last_visit: Dat
     v_rows = live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols, F.lit("v").alias("__src"))
     tb_rows = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
         *KEY, "visit_date", "visit_id", "tb_screening", F.lit("t").alias("__src"))
-    lv = last_visit.select(*KEY, F.col("last_visit_date").alias("visit_date"), "visit_id")
-    rows = v_rows.unionByName(tb_rows, allowMissingColumns=True).join(lv, [*KEY, "visit_date", "visit_id"], "inner")
+    rows = rows_at_event(v_rows.unionByName(tb_rows, allowMissingColumns=True), last_visit, KEY,
+                         "visit_date", "visit_id", anchor_ts="last_visit_date")
     is_visit = F.col("__src") == "v"
     aggs = []
     for name, cond, cols in _VISIT_SETS:

@@ -42,3 +42,29 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str, only: list[str] |
         if ds_id in UPSTREAM:
             written[ds_id] = read_table(spark, out_dir, f"{ds_id}_{name}")
     return timings
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cohortlake.plans.refresh --tables DIR --out DIR [--as-of DATE] [--only d07 ...]``
+
+    Runs on the active session (``spark-submit``) or a local one."""
+    import argparse
+    import datetime as dt
+    import json
+
+    from cohortlake.session import configure
+    from cohortlake.sources.tables import TableSet
+
+    p = argparse.ArgumentParser(description="Full refresh of the patient datasets")
+    p.add_argument("--tables", required=True, help="folder with <table>.parquet base tables")
+    p.add_argument("--out", required=True, help="output folder (shared storage)")
+    p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reporting date, default today")
+    p.add_argument("--only", nargs="*", help="dataset ids, e.g. d07 d09 (their upstream is built too)")
+    args = p.parse_args(argv)
+    spark = configure(SparkSession.builder.getOrCreate())
+    timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only)
+    print(json.dumps(timings))
+
+
+if __name__ == "__main__":
+    main()

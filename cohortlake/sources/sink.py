@@ -34,3 +34,14 @@ def overwrite_table(df: DataFrame, path: str, partitions: int | None = None) ->
     if fs.exists(old):
         fs.delete(old, True)
     return path
+
+
+def overwrite_catalog_table(df: DataFrame, name: str) -> str:
+    """Replace catalog table ``name`` by ``df``: written as ``<name>__staging``
+    first, then the old table is dropped and the staging table renamed."""
+    spark = df.sparkSession
+    staging = f"{name}__staging"
+    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    return name

@@ -29,3 +29,46 @@ class TableSet:
         if name.startswith("_"):
             raise AttributeError(name)
         return read_table(self.spark, self.base, name)
+
+
+class CatalogTables:
+    """Clinical tables registered in the session catalog (``<database>.<name>``)."""
+
+    def __init__(self, spark: SparkSession, database: str | None = None):
+        self.spark = spark
+        self.database = database
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return self.spark.table(f"{self.database}.{name}" if self.database else name)
+
+
+class JdbcTables:
+    """Clinical tables read over JDBC, each split into parallel range reads on
+    a numeric column (``partition_column``) so no single task reads a whole
+    table. ``bounds`` maps table -> (lower, upper) of that column; tables
+    without bounds are read by one task and should be small.
+    """
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict, partition_column: str = "patient_pk",
+                 bounds: dict[str, tuple[int, int]] | None = None, num_partitions: int = 200,
+                 table_names: dict[str, str] | None = None):
+        self.spark = spark
+        self.url = url
+        self.properties = dict(properties)
+        self.partition_column = partition_column
+        self.bounds = bounds or {}
+        self.num_partitions = num_partitions
+        self.table_names = table_names or {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = self.table_names.get(name, name)
+        if name in self.bounds:
+            lo, hi = self.bounds[name]
+            return self.spark.read.jdbc(self.url, table, column=self.partition_column, lowerBound=lo,
+                                        upperBound=hi, numPartitions=self.num_partitions,
+                                        properties=self.properties)
+        return self.spark.read.jdbc(self.url, table, properties=self.properties)
