@@ -13,16 +13,23 @@ def configure(spark: SparkSession) -> SparkSession:
     AQE re-plans joins from measured shuffle sizes (broadcast only when the
     materialised side is below the threshold), coalesces small partitions and
     splits skewed sort-merge-join partitions. The checkpoint folder is taken
-    from the cluster; a local one is only created when none is configured.
+    from ``spark.checkpoint.dir``; a machine-local one is only created for a
+    ``local[...]`` master when none is configured.
     """
     conf = spark.conf
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     conf.set("spark.sql.session.timeZone", "UTC")
-    if not spark.sparkContext.getCheckpointDir():
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
         shared = conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cohortlake-ckpt-"))
+        if shared:
+            sc.setCheckpointDir(shared)
+        elif sc.master.startswith("local"):
+            # single-machine runs (tests, local benchmark) only; on a cluster the
+            # shared folder must come from spark.checkpoint.dir
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlake-ckpt-"))
     return spark
 
 
