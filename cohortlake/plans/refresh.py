@@ -12,16 +12,20 @@ import time
 
 from pyspark.sql import SparkSession
 
+from cohortlake.plans import KEY
 from cohortlake.plans.graph import DATASETS, DatasetGraph
-from cohortlake.sources.sink import overwrite_table
+from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table
 from cohortlake.sources.tables import read_table
 
 UPSTREAM = sorted({u for _, ups in DATASETS.values() for u in ups})
 
 
-def refresh(spark: SparkSession, tables, as_of, out_dir: str, only: list[str] | None = None) -> dict[str, float]:
+def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[str] | None = None,
+            database: str | None = None, buckets: int | None = None) -> dict[str, float]:
     """Build every dataset (or ``only`` these and what they need) into
-    ``<out_dir>/<id>_<name>.parquet``; returns seconds per dataset."""
+    ``<out_dir>/<id>_<name>.parquet``, or, with ``database``, into catalog
+    tables ``<database>.<id>_<name>`` bucketed by the patient key when
+    ``buckets`` is given; returns seconds per dataset."""
     wanted = set(only or DATASETS)
     stack = list(wanted)
     while stack:
@@ -36,11 +40,16 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str, only: list[str] |
             continue
         graph = DatasetGraph(tables, as_of, overrides=written)
         t0 = time.time()
-        path = f"{out_dir.rstrip('/')}/{ds_id}_{name}"
-        overwrite_table(graph.get(ds_id), path + ".parquet")
+        df = graph.get(ds_id)
+        if database:
+            table = f"{database}.{ds_id}_{name}"
+            keyed = buckets and all(c in df.columns for c in KEY)
+            overwrite_catalog_table(df, table, KEY if keyed else None, buckets)
+        else:
+            overwrite_table(df, f"{out_dir.rstrip('/')}/{ds_id}_{name}.parquet")
         timings[ds_id] = round(time.time() - t0, 3)
         if ds_id in UPSTREAM:
-            written[ds_id] = read_table(spark, out_dir, f"{ds_id}_{name}")
+            written[ds_id] = spark.table(table) if database else read_table(spark, out_dir, f"{ds_id}_{name}")
     return timings
 
 
@@ -57,12 +66,17 @@ def main(argv: list[str] | None = None) -> None:
 
     p = argparse.ArgumentParser(description="Full refresh of the patient datasets")
     p.add_argument("--tables", required=True, help="folder with <table>.parquet base tables")
-    p.add_argument("--out", required=True, help="output folder (shared storage)")
+    p.add_argument("--out", help="output folder (shared storage)")
+    p.add_argument("--database", help="write catalog tables in this database instead of --out")
+    p.add_argument("--buckets", type=int, help="bucket catalog tables by the patient key")
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reporting date, default today")
     p.add_argument("--only", nargs="*", help="dataset ids, e.g. d07 d09 (their upstream is built too)")
     args = p.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
-    timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only)
+    if not (args.out or args.database):
+        p.error("one of --out or --database is required")
+    timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only, args.database,
+                      args.buckets)
     print(json.dumps(timings))
 
 

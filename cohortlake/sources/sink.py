@@ -36,12 +36,21 @@ def overwrite_table(df: DataFrame, path: str, partitions: int | None = None) ->
     return path
 
 
-def overwrite_catalog_table(df: DataFrame, name: str) -> str:
+def overwrite_catalog_table(df: DataFrame, name: str, bucket_by: list[str] | None = None,
+                            buckets: int | None = None) -> str:
     """Replace catalog table ``name`` by ``df``: written as ``<name>__staging``
-    first, then the old table is dropped and the staging table renamed."""
+    first, then the old table is dropped and the staging table renamed.
+
+    With ``bucket_by`` (e.g. site_code, patient_pk) and ``buckets``, rows are
+    hash-bucketed and sorted on those columns, so later windows and joins on
+    the same key read co-located data and need no exchange.
+    """
     spark = df.sparkSession
     staging = f"{name}__staging"
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets or 200, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
     return name

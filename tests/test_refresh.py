@@ -36,3 +36,25 @@ def test_catalog_source_and_sink(spark):
     overwrite_catalog_table(df, "ct_patient")
     overwrite_catalog_table(df, "ct_patient")
     assert CatalogTables(spark).ct_patient.count() == df.count()
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    from cohortlake.plans import KEY
+    from cohortlake.plans.pharmacy import last_dispense
+
+    overwrite_catalog_table(FixtureTables(spark, SF).ct_patient_pharmacy, "ct_patient_pharmacy_b", KEY, 8)
+    df = last_dispense(spark.table("ct_patient_pharmacy_b"), FIXTURE_AS_OF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert rows(df) == rows(last_dispense(FixtureTables(spark, SF).ct_patient_pharmacy, FIXTURE_AS_OF))
+
+
+def test_refresh_into_bucketed_catalog(spark):
+    base = tempfile.mkdtemp(prefix="cohortlake-test-base-")
+    fixtures = FixtureTables(spark, SF)
+    for name in TABLES:
+        overwrite_table(getattr(fixtures, name), f"{base}/{name}.parquet")
+    spark.sql("CREATE DATABASE IF NOT EXISTS refreshed")
+    refresh(spark, TableSet(spark, base), FIXTURE_AS_OF, None, only=["d09"], database="refreshed", buckets=4)
+    direct = DatasetGraph(fixtures, FIXTURE_AS_OF)
+    assert rows(spark.table("refreshed.d09_latest_obs")) == rows(direct.get("d09"))
