@@ -13,7 +13,7 @@ from cohortlake.functions import ci_equals, day_diff, hash_id
 from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, latest_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
-from cohortlake.sources.adapter import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
+from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 
 # Fixed value: tests before this date are not reported.
 HTS_SINCE = dt.date(2015, 1, 1)

@@ -7,7 +7,7 @@ tables (plus the shared bases), to be followed by a query's own CTEs.
 
 from __future__ import annotations
 
-from cohortlake.sources.adapter import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
+from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 
 
 def d20(x: str) -> str:

@@ -12,7 +12,7 @@ is written out (DuckDB sorts NULL last both ways); ``greatest`` skips NULLs.
 from __future__ import annotations
 
 from cohortlake.functions.values import DECIMAL_TEXT, NUMERIC_TEXT
-from cohortlake.sources.adapter import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
+from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 from oracle.adapter_sql import with_tables
 
 AS_OF = "DATE '2021-02-15'"

@@ -4,7 +4,7 @@ import datetime as dt
 
 from cohortlake.params import AsOf
 from cohortlake.plans import hts_prep, labs, pregnancy, visits
-from cohortlake.sources.adapter import RISK_TEXT_COLUMNS
+from cohortlake.plans.schema import RISK_TEXT_COLUMNS
 from tests.conftest import rows
 
 D = dt.date
