@@ -67,9 +67,10 @@ def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame,
         "patient_id", "patient_pk", "patient_id_hash", "patient_pk_hash", "start_art_date",
         "exit_reason", "exit_date", "last_encounter_date", "next_appointment_date",
         ladder(outcome_rules(a)).alias("art_outcome"),
-        F.col("site_code").cast("string").alias("site_code"),
-        "emr", "project", "re_enrollment_date", "effective_discontinuation_date",
-    ).distinct()
+        "site_code", "emr", "project", "re_enrollment_date", "effective_discontinuation_date",
+    ).distinct().withColumn("site_code", F.col("site_code").cast("string"))
+    # distinct before the (one-to-one) cast to text: the distinct then reuses
+    # the hash partitioning on (site_code, patient_pk) of the joins above
     uploads = latest_by_group(
         manifest.select(F.col("site_code").cast("string").alias("site_code"), "date_recieved"),
         ["site_code"], "date_recieved", "date_uploaded",
