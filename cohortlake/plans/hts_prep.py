@@ -99,8 +99,8 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
     anchors = m1.select(*KEY, F.col("dispense_date_month1").alias("m1_date")).distinct()
     m3 = (
         follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67)
+        .join(tests, [*KEY, "dispense_date"], "left")   # same key as the window join: no reshuffle
         .join(enrol, pkey, "left")
-        .join(tests, [*KEY, "dispense_date"], "left")
         .select(*KEY,
                 day_diff("prep_enrollment_date", "dispense_date").alias("refil3_diff_in_days"),
                 F.col("final_test_result").alias("test_results_month3"),
