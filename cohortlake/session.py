@@ -21,7 +21,10 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     conf.set("spark.sql.session.timeZone", "UTC")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
+        return spark
     if not sc.getCheckpointDir():
         shared = conf.get("spark.checkpoint.dir", None)
         if shared:
