@@ -106,6 +106,7 @@ def test_pbfw_precedence_and_classes(spark):
         (1, 2, "H2", "Yes", "No", D(2020, 2, 1), "0"),          # breastfeeding, gestation start 365 d back
         (1, 3, "H3", "Yes", "No", D(2019, 10, 29), "0"),        # 460 d: out
         (1, 4, "H4", "Yes", None, D(2020, 11, 1), "0"),         # too young
+        (1, 9, "H9", None, "Yes", None, None),                 # confirmed after the last visit
     ], "site_code int, patient_pk bigint, patient_pk_hash string, breastfeeding string, pregnant string, "
        "lmp date, gestation_age string")
     art = spark.createDataFrame([
@@ -116,9 +117,9 @@ def test_pbfw_precedence_and_classes(spark):
     ], "site_code int, patient_pk bigint, start_art_date date, dob date, last_visit date")
     patients = spark.createDataFrame([
         (1, k, "Female", D(1990, 1, 1), conf) for k, conf in
-        [(1, D(2020, 1, 1)), (2, D(2021, 1, 5)), (3, None), (4, None), (7, None)]
+        [(1, D(2020, 1, 1)), (2, D(2021, 1, 5)), (3, None), (4, None), (7, None), (9, D(2021, 2, 1))]
     ], "site_code int, patient_pk bigint, gender string, dob date, date_confirmed_hiv_positive date")
-    last_visit = spark.createDataFrame([(1, 1, D(2021, 1, 5)), (1, 2, D(2021, 1, 5))],
+    last_visit = spark.createDataFrame([(1, 1, D(2021, 1, 5)), (1, 2, D(2021, 1, 5)), (1, 9, D(2021, 1, 5))],
                                        "site_code int, patient_pk bigint, last_visit_date date")
     visits = spark.createDataFrame([(1, 1, 1, D(2020, 3, 1), "Yes", "No")],
                                    "site_code int, patient_pk bigint, visit_id bigint, visit_date date, "
@@ -126,6 +127,7 @@ def test_pbfw_precedence_and_classes(spark):
     anc = spark.createDataFrame([
         (1, 5, "H5", 1, D(2021, 1, 1), None, "Positive"),       # ANC only, status null -> Missing
         (1, 6, "H6", 1, D(2021, 1, 1), "KP", "Negative"),       # KP -> Known Positive
+        (1, 8, "H8", 1, D(2021, 1, 1), "Negative", "Positive"), # ANC source, not KP -> New Positive
     ], "site_code int, patient_pk bigint, patient_pk_hash string, visit_id bigint, visit_date date, "
        "hiv_status_before_anc string, hiv_test_final_result string")
     pnc = spark.createDataFrame([(1, 7, "H7", 1, D(2021, 1, 2), "Positive", "Negative", "Formula")],
@@ -146,6 +148,8 @@ def test_pbfw_precedence_and_classes(spark):
         (5, "Missing", 1, None),
         (6, "Known Positive", 1, None),
         (7, "Missing", None, None),
+        (8, "New Positive", 1, None),
+        (9, "Missing", 0, None),
     ]
 
 
