@@ -101,3 +101,47 @@ def test_last_visit_bp_flags(spark):
     expected = {0: 1, 6: 1}
     assert got == sorted([(i, 0 if bp is None else 1, expected.get(i, 0), D(2021, 1, 31)) for i, bp in enumerate(bps)]
                          + [(99, 1, 0, D(2021, 1, 31))], key=repr)
+
+
+def test_last_encounter_appointment_365_vs_366_days_after_as_of(spark):
+    from cohortlake.plans import encounter
+
+    ids = "patient_id string, site_code int, patient_pk bigint, patient_pk_hash string, patient_id_hash string"
+    pharmacy = spark.createDataFrame([], f"{ids}, dispense_id bigint, dispense_date date, expected_return date, voided int")
+    art = spark.createDataFrame([
+        ("P6", 1, 6, "H6", "I6", D(2019, 1, 1), D(2021, 1, 10), AS_OF.day + dt.timedelta(days=365), D(1980, 1, 1), 0),
+        ("P7", 1, 7, "H7", "I7", D(2019, 1, 1), D(2021, 1, 10), AS_OF.day + dt.timedelta(days=366), D(1980, 1, 1), 0),
+    ], f"{ids}, start_art_date date, last_visit date, expected_return date, dob date, voided int")
+    visits = spark.createDataFrame([], f"{ids}, visit_id bigint, visit_date date, next_appointment_date date, voided int")
+    got = rows(encounter.last_encounter(pharmacy, art, visits, AS_OF), "patient_pk", "next_appointment_date")
+    assert got == [(6, AS_OF.day + dt.timedelta(days=365)), (7, D(2021, 2, 9))]
+
+
+def test_latest_obs_multiplies_rows_for_duplicate_last_visits(spark):
+    from cohortlake.plans import obs, visits as visit_plans
+
+    ids = "patient_id string, site_code int, patient_pk bigint, patient_pk_hash string, patient_id_hash string"
+    cols = (f"{ids}, visit_id bigint, visit_date date, next_appointment_date date, bp string, weight double, "
+            "height double, visit_by string, pregnant string, breastfeeding string, lmp date, gestation_age string, "
+            "adherence string, adherence_category string, differentiated_care string, stability_assessment string, "
+            "family_planning_method string, who_stage string, voided int")
+    base = ("P1", 1, 1, "H1", "I1", 5, D(2021, 1, 10), None, None, 60.0, 170.0, "Self", "No", "No", None, "0")
+    v = spark.createDataFrame([
+        base + ("Good", "ART", "Standard Care", "Stable", "Condoms", "1", 0),
+        base + ("Poor", "ART", "Standard Care", "Stable", "Injectable", "1", 0),   # same date and visit id
+        ("P1", 1, 1, "H1", "I1", 4, D(2020, 1, 10), None, None, 50.0, 170.0, "Self", "Yes", "Yes", None, "0",
+         "Fair", "ART", "Fast Track", "Unstable", None, "2", 0),
+    ], cols)
+    patients = spark.createDataFrame([("P1", 1, 1, "H1", "I1", D(1980, 6, 1), 0)], f"{ids}, dob date, voided int")
+    ipt = spark.createDataFrame([(1, 1, 5, D(2021, 1, 10), "Screened - Negative", 0)],
+                                "site_code int, patient_pk bigint, visit_id bigint, visit_date date, "
+                                "tb_screening string, voided int")
+    d06 = spark.createDataFrame([(1, 1, D(2021, 1, 10), D(2021, 4, 10))],
+                                "site_code int, patient_pk bigint, last_encounter_date date, next_appointment_date date")
+    out = obs.latest_obs(patients, v, ipt, visit_plans.last_visit(v, AS_OF), d06,
+                         visit_plans.latest_weight_height(v, AS_OF), AS_OF)
+    got = rows(out, "adherence", "differentiated_care", "who_stage", "tb_screening", "on_mmd", "age_last_visit",
+               "latest_weight")
+    # two distinct adherence values x two family-planning values (joined, not shown) = 4 rows
+    assert got == sorted([("Good", "Standard Care", "1", "Screened - Negative", 1, 41, 60.0)] * 2
+                         + [("Poor", "Standard Care", "1", "Screened - Negative", 1, 41, 60.0)] * 2, key=repr)
