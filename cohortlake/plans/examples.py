@@ -29,6 +29,7 @@ from cohortlake.operators import (
     follow_up_in_window,
     full_merge,
     latest_as_at,
+    join_group_facts,
     latest_by_group,
     latest_per_key,
     top_n_per_key,
@@ -195,7 +196,8 @@ def max_date_per_site_broadcast_join(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     o = _orders(spark, sf).join(c.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     per_nation = latest_by_group(o, ["c_nationkey"], "order_date", "nation_last_order")
-    return c.join(per_nation, "c_nationkey", "left").select("c_custkey", "c_nationkey", "nation_last_order")
+    return join_group_facts(c, per_nation, ["c_nationkey"], ["c_custkey"]).select(
+        "c_custkey", "c_nationkey", "nation_last_order")
 
 
 def encounter_dedup_multi_key(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ci_in, day_diff, ladder
-from cohortlake.operators import latest_as_at, latest_by_group, live
+from cohortlake.operators import join_group_facts, latest_as_at, latest_by_group, live
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -79,9 +79,11 @@ def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame,
         live(visits).select(F.col("site_code").cast("string").alias("site_code"), "visit_date"),
         ["site_code"], "visit_date", "site_abstraction_date",
     )
+    # per-site facts: one row per site, joined with the site split 32 ways so
+    # a site holding a large share of the patients is not one task
+    site_facts = uploads.join(abstraction, "site_code", "full")
     return (
-        outcomes.join(uploads, "site_code", "left")
-        .join(abstraction, "site_code", "left")
+        join_group_facts(outcomes, site_facts, ["site_code"], ["patient_pk"])
         .select(
             "patient_id", "patient_pk", "patient_pk_hash", "patient_id_hash", "start_art_date",
             F.year("start_art_date").alias("cohort"),

@@ -1,6 +1,9 @@
 """Skew check: one key holds a third of all rows; report, per operator, the
 largest number of shuffle records any single task reads, from Spark's event
-log written to a scratch folder (no UI).
+log written to a scratch folder (no UI). Broadcast joins are disabled, as
+for large inputs; AQE stays on (with skew-join splitting) but partition
+coalescing is off, so one reduce task reads exactly one hash partition and
+an even share is rows / 16.
 
     python tools/skew_check.py SCRATCH_DIR [ROWS]
 """
@@ -35,9 +38,13 @@ def main() -> None:
     n = int(sys.argv[2]) if len(sys.argv) > 2 else 3_000_000
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", scratch)
-             .config("spark.sql.shuffle.partitions", "16").getOrCreate())
+             .config("spark.sql.shuffle.partitions", "16")
+             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from cohortlake.operators import follow_up_in_window, latest_per_key, rows_at_event, top_n_per_key, value_at_months
+    from cohortlake.operators import (follow_up_in_window, join_group_facts, latest_by_group, latest_per_key,
+                                      rows_at_event, top_n_per_key, value_at_months)
     from cohortlake.session import configure
 
     configure(spark)
@@ -48,12 +55,16 @@ def main() -> None:
     anchors = spark.range(0, keys, 1, 16).select(F.col("id").alias("k"), F.lit("2020-01-01").cast("date").alias("a"),
                                                  (F.col("id") * 7).alias("aid"))
     last = latest_per_key(ev, ["k"], "d", ["id"])
+    sites = ev.withColumn("g", F.when(F.col("k") == 0, F.lit(0)).otherwise(F.col("k") % 50))
     jobs = {
         "latest_per_key": latest_per_key(ev, ["k"], "d", ["id"]),
         "top_n_per_key": top_n_per_key(ev, ["k"], "d", ["id"], n=10),
         "value_at_months": value_at_months(ev, anchors, ["k"], "d", "a", [6, 12], ["id"]),
         "follow_up_in_window": follow_up_in_window(ev, anchors, ["k"], "d", "a", 60, 67),
         "rows_at_event": rows_at_event(ev, last, ["k"], "d", "id"),
+        # per-group facts (50 groups, group 0 holding a third of the rows, like one big site)
+        "join_group_facts": join_group_facts(sites, latest_by_group(sites, ["g"], "d", "g_last"), ["g"], ["id"]),
+        "plain_join_on_hot_group (contrast)": sites.join(latest_by_group(sites, ["g"], "d", "g_last"), "g", "left"),
     }
     for name, df in jobs.items():
         spark.sparkContext.setJobDescription(name)
