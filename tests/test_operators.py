@@ -89,3 +89,14 @@ def test_windows_limit_before_the_shuffle(spark):
                                   F.date_add(F.lit(D(2020, 1, 1)), (F.col("id") % 400).cast("int")).alias("d"))
     plan = latest_per_key(df, ["k"], "d", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_join_group_facts_equals_plain_left_join(spark):
+    from cohortlake.operators import join_group_facts
+
+    detail = spark.createDataFrame([(i, 0 if i % 3 == 0 else i % 5) for i in range(200)] + [(999, None)],
+                                   "id int, g int")
+    facts = spark.createDataFrame([(0, "zero"), (1, "one"), (3, "three")], "g int, label string")
+    salted = join_group_facts(detail, facts, ["g"], ["id"], ways=4)
+    plain = detail.join(facts, "g", "left")
+    assert rows(salted, "id", "g", "label") == rows(plain, "id", "g", "label")
