@@ -102,7 +102,12 @@ class DatasetGraph:
     @cached_property
     def d10(self):
         t = self.t
-        return pbfw.pbfw(self.get("d09"), t.ct_art_patients, t.ct_patient, self.get("d01"), t.ct_patient_visits,
+        # a materialised D09 is read as is; otherwise only the D09 columns D10
+        # uses are computed (same distinct rows, far less work)
+        src = self._over.get("d09")
+        if src is None:
+            src = obs.pregnancy_obs(t.ct_patient, t.ct_patient_visits, self.get("d01"))
+        return pbfw.pbfw(src, t.ct_art_patients, t.ct_patient, self.get("d01"), t.ct_patient_visits,
                          t.mnch_anc_visits, t.mnch_pnc_visits, t.mnch_mat_visits, t.mnch_arts, t.mnch_enrolments,
                          self.as_of)
 

@@ -29,7 +29,8 @@ _VISIT_SETS = [
 ]
 
 
-def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame, last_visit: DataFrame) -> DataFrame:
+def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame | None, last_visit: DataFrame,
+                              groups: list[str] | None = None) -> DataFrame:
     """Per key, the distinct values of each attribute group at the last visit,
     and of the TB screening when the newest screening is that same visit.
 
@@ -39,21 +40,44 @@ def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame, last_visit: Dat
     distinct values of one visit, so it stays small however many visits a
     patient has.
     """
-    attr_cols = sorted({c for _, _, cols in _VISIT_SETS for c in cols} | {"adherence_category"})
+    sets = [g for g in _VISIT_SETS if groups is None or g[0] in groups]
+    attr_cols = sorted({c for _, _, cols in sets for c in cols} | {"adherence_category"})
     v_rows = live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols, F.lit("v").alias("__src"))
-    tb_rows = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
-        *KEY, "visit_date", "visit_id", "tb_screening", F.lit("t").alias("__src"))
-    rows = rows_at_event(v_rows.unionByName(tb_rows, allowMissingColumns=True), last_visit, KEY,
-                         "visit_date", "visit_id", anchor_ts="last_visit_date")
+    if ipt is not None:
+        tb_rows = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
+            *KEY, "visit_date", "visit_id", "tb_screening", F.lit("t").alias("__src"))
+        v_rows = v_rows.unionByName(tb_rows, allowMissingColumns=True)
+    rows = rows_at_event(v_rows, last_visit, KEY, "visit_date", "visit_id", anchor_ts="last_visit_date")
     is_visit = F.col("__src") == "v"
     aggs = []
-    for name, cond, cols in _VISIT_SETS:
+    for name, cond, cols in sets:
         keep = is_visit if cond is None else is_visit & cond()
         aggs.append(F.collect_set(F.when(keep, F.struct(*[F.col(c) for c in cols]))).alias(name))
-    aggs.append(F.collect_set(F.when(F.col("__src") == "t", F.struct("tb_screening"))).alias("s_tb"))
+    if ipt is not None:
+        aggs.append(F.collect_set(F.when(F.col("__src") == "t", F.struct("tb_screening"))).alias("s_tb"))
     return rows.groupBy(*KEY).agg(*aggs)
 
 
+def pregnancy_obs(patients: DataFrame, visits: DataFrame, last_visit: DataFrame) -> DataFrame:
+    """The D09 columns the pregnant/breastfeeding cohort (D10) reads - key,
+    hash, pregnant, breastfeeding, LMP, gestation - for every live patient,
+    without the groups that only repeat rows (weight, age, multi-month flag,
+    adherence, care model, stability, family planning, WHO stage, TB). D10
+    takes a DISTINCT over these values, so the set of rows it sees is the
+    same as from the full D09."""
+    sets = last_visit_attribute_sets(visits, None, last_visit, groups=["s_pregnant", "s_bf"])
+    out = live(patients).select("patient_pk_hash", "patient_pk", "site_code").join(sets, KEY, "left")
+    for name in ["s_pregnant", "s_bf"]:
+        out = out.withColumn(name, F.explode_outer(name))
+    return out.select(
+        "patient_pk_hash", "patient_pk", "site_code",
+        F.col("s_pregnant.pregnant").alias("pregnant"),
+        F.col("s_bf.breastfeeding").alias("breastfeeding"),
+        F.col("s_bf.lmp").alias("lmp"),
+        F.col("s_bf.gestation_age").alias("gestation_age"),
+    )
+
+
 def encounter_facts(patients: DataFrame, last_encounter: DataFrame) -> DataFrame:
     """Per key, from one pass over D06: the ages at the last encounter (one per
     encounter row and live patient row, duplicates kept) and the distinct
