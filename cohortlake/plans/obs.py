@@ -79,18 +79,23 @@ def pregnancy_obs(patients: DataFrame, visits: DataFrame, last_visit: DataFrame)
 
 
 def encounter_facts(patients: DataFrame, last_encounter: DataFrame) -> DataFrame:
-    """Per key, from one pass over D06: the ages at the last encounter (one per
-    encounter row and live patient row, duplicates kept) and the distinct
+    """Per key, from D06: the ages at the last encounter with their number of
+    (encounter row, live patient row) pairs, and the distinct
     multi-month-dispensing flags (0 below 90 days between encounter and
     appointment, 1 from 90 days)."""
     enc = last_encounter.select(*KEY, "last_encounter_date", "next_appointment_date")
-    dob = live(patients).select(*KEY, "dob", F.lit(True).alias("__pt"))
-    age = F.struct(year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit"))
-    return enc.join(dob, KEY, "left").groupBy(*KEY).agg(
-        F.collect_list(F.when(F.col("__pt"), age)).alias("s_age"),
-        F.collect_set(F.struct(banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")))
-        .alias("s_mmd"),
+    dob = live(patients).select(*KEY, "dob")
+    # (age, number of rows with it): the set per key is bounded by distinct ages
+    ages = (
+        enc.join(dob, KEY, "inner")
+        .groupBy(*KEY, year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*KEY).agg(F.collect_set(F.struct("age_last_visit", "n")).alias("s_age"))
     )
+    mmd = enc.groupBy(*KEY).agg(
+        F.collect_set(F.struct(banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")))
+        .alias("s_mmd"))
+    return mmd.join(ages, KEY, "full")
 
 
 def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visit: DataFrame,
@@ -110,6 +115,8 @@ def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visi
     )
     for name in ["s_age", "s_mmd", *[n for n, _, _ in _VISIT_SETS], "s_tb"]:
         out = out.withColumn(name, F.explode_outer(name))
+    # an age seen n times gives n rows, as separate rows of the source would
+    out = out.withColumn("__rep", F.explode_outer(F.array_repeat(F.lit(1), F.col("s_age.n").cast("int"))))
     return out.select(
         "patient_pk_hash", "patient_pk", "site_code", "latest_height", "latest_weight",
         F.col("s_age.age_last_visit").alias("age_last_visit"),

@@ -145,3 +145,25 @@ def test_latest_obs_multiplies_rows_for_duplicate_last_visits(spark):
     # two distinct adherence values x two family-planning values (joined, not shown) = 4 rows
     assert got == sorted([("Good", "Standard Care", "1", "Screened - Negative", 1, 41, 60.0)] * 2
                          + [("Poor", "Standard Care", "1", "Screened - Negative", 1, 41, 60.0)] * 2, key=repr)
+
+
+def test_latest_obs_duplicate_patient_rows_multiply_ages(spark):
+    from cohortlake.plans import obs
+
+    ids = "patient_id string, site_code int, patient_pk bigint, patient_pk_hash string, patient_id_hash string"
+    for dobs, ages in [((D(1980, 6, 1), D(1990, 6, 1)), [31, 31, 41, 41]), ((D(1980, 6, 1), D(1980, 6, 1)), [41] * 4)]:
+        patients = spark.createDataFrame([("P1", 1, 1, "H1", "I1", d, 0) for d in dobs], f"{ids}, dob date, voided int")
+        empty_visits = spark.createDataFrame([], f"{ids}, visit_id bigint, visit_date date, adherence string, "
+                                                 "adherence_category string, differentiated_care string, "
+                                                 "stability_assessment string, pregnant string, "
+                                                 "family_planning_method string, breastfeeding string, lmp date, "
+                                                 "gestation_age string, who_stage string, voided int")
+        ipt = spark.createDataFrame([], "site_code int, patient_pk bigint, visit_id bigint, visit_date date, "
+                                        "tb_screening string, voided int")
+        d01 = spark.createDataFrame([], "site_code int, patient_pk bigint, last_visit_date date, visit_id bigint")
+        d06 = spark.createDataFrame([(1, 1, D(2021, 1, 10), D(2021, 2, 10))],
+                                    "site_code int, patient_pk bigint, last_encounter_date date, "
+                                    "next_appointment_date date")
+        d08 = spark.createDataFrame([], "patient_pk_hash string, site_code int, weight double, height double")
+        out = obs.latest_obs(patients, empty_visits, ipt, d01, d06, d08, AS_OF)
+        assert sorted(r.age_last_visit for r in out.collect()) == ages
