@@ -84,18 +84,20 @@ def encounter_facts(patients: DataFrame, last_encounter: DataFrame) -> DataFrame
     multi-month-dispensing flags (0 below 90 days between encounter and
     appointment, 1 from 90 days)."""
     enc = last_encounter.select(*KEY, "last_encounter_date", "next_appointment_date")
-    dob = live(patients).select(*KEY, "dob")
-    # (age, number of rows with it): the set per key is bounded by distinct ages
-    ages = (
-        enc.join(dob, KEY, "inner")
-        .groupBy(*KEY, year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*KEY).agg(F.collect_set(F.struct("age_last_visit", "n")).alias("s_age"))
+    dob = live(patients).select(*KEY, "dob", F.lit(True).alias("__pt"))
+    # one pass over D06: count rows per (key, age, flag, has patient row); an
+    # age then appears as (age, n) pairs whose n add up to its multiplicity,
+    # so the per-key lists are bounded by distinct values, not by rows
+    counted = enc.join(dob, KEY, "left").groupBy(
+        *KEY,
+        year_boundary_diff("dob", "last_encounter_date").alias("age_last_visit"),
+        banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd"),
+        "__pt",
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(*KEY).agg(
+        F.collect_list(F.when(F.col("__pt"), F.struct("age_last_visit", "n"))).alias("s_age"),
+        F.collect_set(F.struct("on_mmd")).alias("s_mmd"),
     )
-    mmd = enc.groupBy(*KEY).agg(
-        F.collect_set(F.struct(banded_days("last_encounter_date", "next_appointment_date").alias("on_mmd")))
-        .alias("s_mmd"))
-    return mmd.join(ages, KEY, "full")
 
 
 def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visit: DataFrame,
