@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ci_equals, day_diff, hash_id
-from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, latest_per_key
+from cohortlake.operators import dedup_encounters, distinct_on_key, first_per_key, follow_up_in_window, latest_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
@@ -97,7 +97,7 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
         .distinct()
     )
     anchors = m1.select(*KEY, F.col("dispense_date_month1").alias("m1_date")).distinct()
-    m3 = (
+    m3 = distinct_on_key(
         follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67)
         .join(tests, [*KEY, "dispense_date"], "left")   # same key as the window join: no reshuffle
         .join(enrol, pkey, "left")
@@ -105,12 +105,12 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
                 day_diff("prep_enrollment_date", "dispense_date").alias("refil3_diff_in_days"),
                 F.col("final_test_result").alias("test_results_month3"),
                 F.col("test_date").alias("test_date_month3"),
-                F.col("dispense_date").alias("dispense_date_month3"))
-        .distinct()
+                F.col("dispense_date").alias("dispense_date_month3")),
+        KEY,   # refills inside an 8-day window: few rows per key
     )
-    clients = prep_patients.filter(F.col("prep_number").isNotNull()).select(
+    clients = distinct_on_key(prep_patients.filter(F.col("prep_number").isNotNull()).select(
         "prep_number", "prep_number_hash", "patient_pk", "patient_pk_hash", "prep_enrollment_date", "site_code"
-    ).distinct()
+    ), KEY)
     return (
         clients.join(m1, KEY, "left").join(m3, KEY, "left")
         .select(
