@@ -48,6 +48,7 @@ def main() -> None:
     from cohortlake.session import configure
 
     configure(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # one task = one partition
     keys = 100_000
     ev = spark.range(0, n, 1, 16).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % keys).alias("k"), "id",
