@@ -6,6 +6,7 @@ trailing-blank-insensitive collation are written as ``upper(rtrim(x))``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -56,7 +57,7 @@ def decimal_text(c, precision: int = 18, scale: int = 2) -> Column:
 def pair_below(c, sep: str = "/", max_left: float = 140.0, max_right: float = 90.0) -> Column:
     """True when ``"<left><sep><right>"`` has two numeric halves (split at the
     first separator, blanks trimmed) with left < ``max_left`` and right < ``max_right``."""
-    parts = F.split(col(c), sep if sep not in ".^$|?*+()[]{}\\" else "\\" + sep, 2)
+    parts = F.split(col(c), re.escape(sep), 2)
     left, right = F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1))
     ok = (
         (F.instr(col(c), sep) > 0)
