@@ -21,6 +21,8 @@ from cohortlake.functions import (
     lenient_number,
     month_boundary_diff,
     pair_below,
+    range_by_family,
+    repair_return_date,
     year_boundary_diff,
 )
 from cohortlake.operators import (
@@ -32,6 +34,8 @@ from cohortlake.operators import (
     join_group_facts,
     latest_by_group,
     latest_per_key,
+    left_enrich,
+    rows_at_event,
     top_n_per_key,
     value_at_months,
 )
@@ -209,6 +213,49 @@ def encounter_dedup_multi_key(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("l_orderkey", "ship_date", "l_returnflag", "l_linenumber", "l_quantity", "num")
 
 
+def lineitems_of_latest_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items of each customer's latest order (rows at the anchor event)."""
+    latest = latest_per_key(_orders(spark, sf), ["o_custkey"], "order_date", ["o_orderkey"])
+    lines = _lines(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
+    return rows_at_event(lines, latest, ["o_custkey"], "order_date", "o_orderkey").select(
+        "o_custkey", "o_orderkey", "l_linenumber", "l_quantity", "ship_date")
+
+
+def repaired_ship_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Ship dates 60+ days after the order, on a sentinel day or missing
+    become order date + 30."""
+    li = _lines(spark, sf)
+    return li.select("l_orderkey", "l_linenumber", "order_date", "ship_date",
+                     repair_return_date("ship_date", "order_date", max_days=60, sentinel=dt.date(1996, 1, 2),
+                                        days=30).alias("repaired"))
+
+
+def part_size_in_family_range(spark: SparkSession, sf: str) -> DataFrame:
+    p = read_table(spark, sf, "part")
+    fams = [(["SMALL", "MEDIUM"], 0.0, 20.0, True), (["LARGE", "PROMO"], 10.0, 40.0, False)]
+    return p.select("p_partkey", "p_type", "p_size",
+                    F.when(range_by_family("p_type", "p_size", fams), 1).otherwise(0).alias("in_range"))
+
+
+def customer_order_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers left-enriched with per-customer facts (first/last order, open orders)."""
+    o = _orders(spark, sf)
+    c = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    first = o.groupBy("o_custkey").agg(F.min("order_date").alias("first_order"))
+    last = o.groupBy("o_custkey").agg(F.max("order_date").alias("last_order"))
+    open_n = o.filter(F.col("o_orderstatus") == "O").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("open_orders"))
+    return left_enrich(c, [first, last, open_n], ["o_custkey"])
+
+
+def segment_facts_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers joined to one-row-per-segment facts with the segment split 8 ways."""
+    c = read_table(spark, sf, "customer")
+    seg = c.groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("segment_max_balance"),
+                                        F.count(F.lit(1)).alias("segment_customers"))
+    return join_group_facts(c.select("c_custkey", "c_mktsegment", "c_acctbal"), seg, ["c_mktsegment"],
+                            ["c_custkey"], ways=8)
+
+
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         configure(spark)
@@ -225,6 +272,7 @@ EXAMPLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_order_as_at_rank_then_cut, latest_order_as_at_cut_then_rank, later_of_full_merge_orders_shipments,
         month_boundary_diff_orders, milestone_value_at_months, follow_up_in_window_orders, rule_ladder_customers,
         contains_flags_part_names, pair_split_numeric_check, lenient_number_classify, hashed_customer_key,
-        max_date_per_site_broadcast_join, encounter_dedup_multi_key,
+        max_date_per_site_broadcast_join, encounter_dedup_multi_key, lineitems_of_latest_order,
+        repaired_ship_dates, part_size_in_family_range, customer_order_profile, segment_facts_per_customer,
     ]
 }

@@ -160,3 +160,38 @@ SELECT l_orderkey, ship_date, l_returnflag, l_linenumber, l_quantity, num FROM (
          row_number() OVER (PARTITION BY l_orderkey, CAST(l_shipdate AS DATE), l_returnflag
                             ORDER BY l_linenumber DESC NULLS LAST, l_quantity DESC NULLS LAST) AS num
   FROM lineitem) WHERE num = 1"""
+
+SQL["lineitems_of_latest_order"] = f"""
+WITH latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY order_date DESC NULLS LAST,
+                                                o_orderkey DESC NULLS LAST) AS rn FROM {ORD}) WHERE rn = 1)
+SELECT l.o_custkey, l.l_orderkey AS o_orderkey, l.l_linenumber, l.l_quantity, l.ship_date
+FROM {LINES} l JOIN latest a ON a.o_custkey = l.o_custkey AND a.order_date = l.order_date
+                            AND a.o_orderkey = l.l_orderkey"""
+
+SQL["repaired_ship_dates"] = f"""
+SELECT l_orderkey, l_linenumber, order_date, ship_date,
+       CASE WHEN ship_date IS NULL OR ship_date = DATE '1996-01-02' OR date_diff('day', order_date, ship_date) >= 60
+            THEN order_date + 30 ELSE ship_date END AS repaired
+FROM {LINES}"""
+
+SQL["part_size_in_family_range"] = """
+SELECT p_partkey, p_type, p_size,
+       CASE WHEN (upper(rtrim(p_type)) IN ('SMALL', 'MEDIUM') AND p_size > 0 AND p_size <= 20)
+              OR (upper(rtrim(p_type)) IN ('LARGE', 'PROMO') AND p_size > 10 AND p_size < 40) THEN 1 ELSE 0 END
+         AS in_range
+FROM part"""
+
+SQL["customer_order_profile"] = f"""
+SELECT c.c_custkey AS o_custkey, c.c_mktsegment, f.first_order, l.last_order, n.open_orders
+FROM customer c
+LEFT JOIN (SELECT o_custkey, min(order_date) AS first_order FROM {ORD} GROUP BY 1) f ON f.o_custkey = c.c_custkey
+LEFT JOIN (SELECT o_custkey, max(order_date) AS last_order FROM {ORD} GROUP BY 1) l ON l.o_custkey = c.c_custkey
+LEFT JOIN (SELECT o_custkey, count(*) AS open_orders FROM {ORD} WHERE o_orderstatus = 'O' GROUP BY 1) n
+  ON n.o_custkey = c.c_custkey"""
+
+SQL["segment_facts_per_customer"] = """
+SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, s.segment_max_balance, s.segment_customers
+FROM customer c
+LEFT JOIN (SELECT c_mktsegment, max(c_acctbal) AS segment_max_balance, count(*) AS segment_customers
+           FROM customer GROUP BY 1) s ON s.c_mktsegment = c.c_mktsegment"""

@@ -17,7 +17,7 @@ def con():
 
 def test_every_query_has_oracle_sql():
     assert set(entry_mod.oracle_sql()) == set(entry_mod.queries())
-    assert len(NAMES) == 39
+    assert len(NAMES) == 44
 
 
 def test_entry_runs(spark):
