@@ -12,6 +12,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.graph import DATASETS, DatasetGraph
 from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table
@@ -20,12 +21,35 @@ from cohortlake.sources.tables import read_table
 UPSTREAM = sorted({u for _, ups in DATASETS.values() for u in ups})
 
 
+def _marker(path: str) -> str:
+    return path + "._as_of"
+
+
+def _completed(spark: SparkSession, path: str, as_of) -> bool:
+    """True when ``path`` was fully written for this reporting date (the
+    marker is written only after the table has been swapped in)."""
+    try:
+        row = spark.read.text(_marker(path)).first()
+    except Exception:  # no marker yet
+        return False
+    return row is not None and row[0] == AsOf.of(as_of).day.isoformat()
+
+
+def _mark(spark: SparkSession, path: str, as_of) -> None:
+    marker = spark.createDataFrame([(AsOf.of(as_of).day.isoformat(),)], "value string")
+    marker.coalesce(1).write.mode("overwrite").text(_marker(path))
+
+
 def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[str] | None = None,
-            database: str | None = None, buckets: int | None = None) -> dict[str, float]:
+            database: str | None = None, buckets: int | None = None, resume: bool = False) -> dict[str, float]:
     """Build every dataset (or ``only`` these and what they need) into
     ``<out_dir>/<id>_<name>.parquet``, or, with ``database``, into catalog
     tables ``<database>.<id>_<name>`` bucketed by the patient key when
-    ``buckets`` is given; returns seconds per dataset."""
+    ``buckets`` is given; returns seconds per dataset.
+
+    With ``resume`` (folder output), datasets already completed for the same
+    reporting date by an earlier, interrupted run are not rebuilt (reported
+    as -1); they are still read back for the datasets that depend on them."""
     wanted = set(only or DATASETS)
     stack = list(wanted)
     while stack:
@@ -40,13 +64,20 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[
             continue
         graph = DatasetGraph(tables, as_of, overrides=written)
         t0 = time.time()
+        path = f"{out_dir.rstrip('/')}/{ds_id}_{name}.parquet" if out_dir else None
+        if resume and path and not database and _completed(spark, path, as_of):
+            timings[ds_id] = -1.0
+            if ds_id in UPSTREAM:
+                written[ds_id] = read_table(spark, out_dir, f"{ds_id}_{name}")
+            continue
         df = graph.get(ds_id)
         if database:
             table = f"{database}.{ds_id}_{name}"
             keyed = buckets and all(c in df.columns for c in KEY)
             overwrite_catalog_table(df, table, KEY if keyed else None, buckets)
         else:
-            overwrite_table(df, f"{out_dir.rstrip('/')}/{ds_id}_{name}.parquet")
+            overwrite_table(df, path)
+            _mark(spark, path, as_of)
         timings[ds_id] = round(time.time() - t0, 3)
         if ds_id in UPSTREAM:
             written[ds_id] = spark.table(table) if database else read_table(spark, out_dir, f"{ds_id}_{name}")
@@ -69,6 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", help="output folder (shared storage)")
     p.add_argument("--database", help="write catalog tables in this database instead of --out")
     p.add_argument("--buckets", type=int, help="bucket catalog tables by the patient key")
+    p.add_argument("--resume", action="store_true", help="skip datasets already written for this --as-of")
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reporting date, default today")
     p.add_argument("--only", nargs="*", help="dataset ids, e.g. d07 d09 (their upstream is built too)")
     args = p.parse_args(argv)
@@ -76,7 +108,7 @@ def main(argv: list[str] | None = None) -> None:
     if not (args.out or args.database):
         p.error("one of --out or --database is required")
     timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only, args.database,
-                      args.buckets)
+                      args.buckets, args.resume)
     print(json.dumps(timings))
 
 

@@ -58,3 +58,19 @@ def test_refresh_into_bucketed_catalog(spark):
     refresh(spark, TableSet(spark, base), FIXTURE_AS_OF, None, only=["d09"], database="refreshed", buckets=4)
     direct = DatasetGraph(fixtures, FIXTURE_AS_OF)
     assert rows(spark.table("refreshed.d09_latest_obs")) == rows(direct.get("d09"))
+
+
+def test_refresh_resume_skips_completed_datasets(spark):
+    base = tempfile.mkdtemp(prefix="cohortlake-test-base-")
+    out = tempfile.mkdtemp(prefix="cohortlake-test-out-")
+    fixtures = FixtureTables(spark, SF)
+    for name in ["ct_patient_visits", "ct_patient_pharmacy"]:
+        overwrite_table(getattr(fixtures, name), f"{base}/{name}.parquet")
+    first = refresh(spark, TableSet(spark, base), FIXTURE_AS_OF, out, only=["d02", "d04"])
+    assert set(first) == {"d02", "d04"} and all(v >= 0 for v in first.values())
+    again = refresh(spark, TableSet(spark, base), FIXTURE_AS_OF, out, only=["d05"], resume=True)
+    assert again["d02"] == -1.0 and again["d04"] == -1.0 and again["d05"] >= 0
+    direct = DatasetGraph(fixtures, FIXTURE_AS_OF)
+    assert rows(read_table(spark, out, "d05_last_encounter_as_at")) == rows(direct.get("d05"))
+    other_day = refresh(spark, TableSet(spark, base), "2021-03-15", out, only=["d02"], resume=True)
+    assert other_day["d02"] >= 0
