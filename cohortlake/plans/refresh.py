@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.graph import DATASETS, DatasetGraph
-from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table
+from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table, read_marker, write_marker
 from cohortlake.sources.tables import read_table
 
 UPSTREAM = sorted({u for _, ups in DATASETS.values() for u in ups})
@@ -28,16 +28,11 @@ def _marker(path: str) -> str:
 def _completed(spark: SparkSession, path: str, as_of) -> bool:
     """True when ``path`` was fully written for this reporting date (the
     marker is written only after the table has been swapped in)."""
-    try:
-        row = spark.read.text(_marker(path)).first()
-    except Exception:  # no marker yet
-        return False
-    return row is not None and row[0] == AsOf.of(as_of).day.isoformat()
+    return read_marker(spark, _marker(path)) == AsOf.of(as_of).day.isoformat()
 
 
 def _mark(spark: SparkSession, path: str, as_of) -> None:
-    marker = spark.createDataFrame([(AsOf.of(as_of).day.isoformat(),)], "value string")
-    marker.coalesce(1).write.mode("overwrite").text(_marker(path))
+    write_marker(spark, _marker(path), AsOf.of(as_of).day.isoformat())
 
 
 def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[str] | None = None,

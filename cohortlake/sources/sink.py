@@ -54,3 +54,23 @@ def overwrite_catalog_table(df: DataFrame, name: str, bucket_by: list[str] | Non
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
     return name
+
+
+def write_marker(spark, path: str, text: str) -> None:
+    """Write a one-line marker file through the Hadoop file system (no Spark job)."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_marker(spark, path: str) -> str | None:
+    """The marker's text, or None when there is no marker."""
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
