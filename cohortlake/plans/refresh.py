@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.graph import DATASETS, DatasetGraph
-from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table, read_marker, write_marker
+from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table, read_marker, remove_marker, write_marker
 from cohortlake.sources.tables import read_table
 
 UPSTREAM = sorted({u for _, ups in DATASETS.values() for u in ups})
@@ -71,6 +71,7 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[
             keyed = buckets and all(c in df.columns for c in KEY)
             overwrite_catalog_table(df, table, KEY if keyed else None, buckets)
         else:
+            remove_marker(spark, _marker(path))   # a half-swapped table never looks finished
             overwrite_table(df, path)
             _mark(spark, path, as_of)
         timings[ds_id] = round(time.time() - t0, 3)

@@ -74,3 +74,9 @@ def read_marker(spark, path: str) -> str | None:
         return reader.readLine()
     finally:
         reader.close()
+
+
+def remove_marker(spark, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, False)
