@@ -47,8 +47,10 @@ def latest_exits(status: DataFrame, as_of, order: str = "rank_then_cut") -> Data
 
 
 def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame, status: DataFrame,
-                 manifest: DataFrame, visits: DataFrame, as_of) -> DataFrame:
-    """D07. ``patients.voided`` is not checked (treatment records' is)."""
+                 manifest: DataFrame, visits: DataFrame, as_of, site_split: int = 32) -> DataFrame:
+    """D07. ``patients.voided`` is not checked (treatment records' is).
+    ``site_split``: ways each site is split in the join of patient rows to
+    per-site facts (a site may hold a large share of the patients)."""
     a = AsOf.of(as_of)
     exits = latest_exits(status, a).select(
         *KEY, "exit_date", "exit_reason", "effective_discontinuation_date", "re_enrollment_date"
@@ -79,11 +81,11 @@ def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame,
         live(visits).select(F.col("site_code").cast("string").alias("site_code"), "visit_date"),
         ["site_code"], "visit_date", "site_abstraction_date",
     )
-    # per-site facts: one row per site, joined with the site split 32 ways so
-    # a site holding a large share of the patients is not one task
+    # per-site facts: one row per site, joined with each site split
+    # ``site_split`` ways so a site holding many patients is not one task
     site_facts = uploads.join(abstraction, "site_code", "full")
     return (
-        join_group_facts(outcomes, site_facts, ["site_code"], ["patient_pk"])
+        join_group_facts(outcomes, site_facts, ["site_code"], ["patient_pk"], ways=site_split)
         .select(
             "patient_id", "patient_pk", "patient_pk_hash", "patient_id_hash", "start_art_date",
             F.year("start_art_date").alias("cohort"),
