@@ -64,3 +64,8 @@ class AsOf:
 
 # Reporting date used by the fixtures and the oracle checks.
 FIXTURE_AS_OF = AsOf(dt.date(2021, 2, 15))
+
+
+def with_load_date(df, as_of):
+    """``df`` stamped with ``load_date`` = the reporting date."""
+    return AsOf.of(as_of).with_load_date(df)

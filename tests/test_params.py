@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from cohortlake.params import AsOf
+from cohortlake.params import AsOf, with_load_date
 
 D = dt.date
 
@@ -18,3 +18,4 @@ def test_month_boundaries():
 def test_with_load_date(spark):
     df = AsOf.of("2021-02-15").with_load_date(spark.range(2))
     assert {r.load_date for r in df.collect()} == {D(2021, 2, 15)}
+    assert {r.load_date for r in with_load_date(spark.range(1), "2021-02-15").collect()} == {D(2021, 2, 15)}
