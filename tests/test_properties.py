@@ -99,3 +99,41 @@ def test_value_at_months_matches_brute_force(spark, rows):
         if hit:
             want.append(tuple(row))
     assert got == sorted(want)
+
+
+small_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=12)
+
+
+@SETTINGS
+@given(left=small_rows, right=small_rows)
+def test_full_merge_matches_brute_force(spark, left, right):
+    from cohortlake.operators import full_merge
+
+    lrows = [(k, v, f"l{j}") for j, (k, v) in enumerate(left)]
+    rrows = [(k, v, f"r{j}") for j, (k, v) in enumerate(right)]
+    ldf = spark.createDataFrame(lrows, "k int, v int, tag string")
+    rdf = spark.createDataFrame(rrows, "k int, v int, tag string")
+    out = full_merge(ldf, rdf, ["k"], coalesce={"v": ("v", "v")}, left_cols={"lt": "tag"}, right_cols={"rt": "tag"},
+                     present={"in_right": "right"})
+    got = sorted((tuple(r) for r in out.select("k", "v", "lt", "rt", "in_right").collect()), key=repr)
+    want = []
+    for lk, lv, lt in lrows:
+        matches = [r for r in rrows if lk is not None and r[0] == lk]
+        want += [(lk, lv, lt, rt, 1) for _, _, rt in matches] or [(lk, lv, lt, None, 0)]
+    for rk, rv, rt in rrows:
+        if not any(rk is not None and l[0] == rk for l in lrows):
+            want.append((rk, rv, None, rt, 1 if rk is not None else 0))
+    assert got == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(detail=small_rows, ways=st.integers(1, 6))
+def test_join_group_facts_matches_plain_join(spark, detail, ways):
+    from cohortlake.operators import join_group_facts
+
+    d = spark.createDataFrame([(g, i, j) for j, (g, i) in enumerate(detail)], "g int, x int, id int")
+    facts = spark.createDataFrame([(0, "a"), (1, "b"), (4, "e")], "g int, label string")
+    got = sorted(tuple(r) for r in join_group_facts(d, facts, ["g"], ["id"], ways=ways)
+                 .select("id", "label").collect())
+    names = {0: "a", 1: "b", 4: "e"}
+    assert got == sorted((j, names.get(g)) for j, (g, _) in enumerate(detail))
