@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from cohortlake.llm.pii import op3_pii
+from cohortlake.llm.quality_rules import op6_quality_rules
 from cohortlake.llm.secrets import op4_secrets
 
 QUERIES = {
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
+    "op6_quality_rules": op6_quality_rules,
 }
 
 SQL: dict[str, str] = {}
