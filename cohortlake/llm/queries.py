@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortlake.llm.near_dup import op10_near_dup
 from cohortlake.llm.pii import op3_pii
 from cohortlake.llm.quality_rules import op6_quality_rules
 from cohortlake.llm.secrets import op4_secrets
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op10_near_dup": op10_near_dup,
 }
 
 SQL: dict[str, str] = {}
