@@ -40,7 +40,7 @@ def shingle_set(words: list[bytes], width: int = WIDTH) -> np.ndarray:
 
 
 def sketch(ids: np.ndarray) -> np.ndarray:
-    """Upper halves of the least product with each multiplier."""
+    """Upper halves of the least product with each multiplier, a minwise value for each coordinate."""
     least = np.full(COORDINATES, ~np.uint64(0), np.uint64)
     for at in range(0, len(ids), 1024):
         np.minimum(least, (ids[at : at + 1024, None] * MULTIPLIERS[None, :]).min(axis=0), out=least)
