@@ -19,9 +19,9 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BREAK_RUN))
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z; every other character is kept as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,11 +132,7 @@ def find(df: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
 
 def mask(df: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
     """Replace every span of ``<prefix>spans`` in the text by ``[KIND]``; texts without spans are kept as they are."""
-    chars = f"{prefix}chars"
-    found = F.col(f"{prefix}spans")
-    split = F.when(F.size(found) > 0, F.split(F.col(text), "", -1)).otherwise(spans.no("string"))
-    out = df.withColumn(chars, split)
-    return out.withColumn(text, spans.masked(F.col(text), F.col(chars), found)).drop(chars)
+    return df.withColumn(text, spans.masked(F.col(text), F.col(f"{prefix}spans")))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from cohortlake.llm.decontamination import OP8_SQL, op8_decontaminate
+from cohortlake.llm.mixing import OP1_SQL, op1_mix
 from cohortlake.llm.near_dup import op10_near_dup
 from cohortlake.llm.pii import op3_pii
 from cohortlake.llm.quality_rules import op6_quality_rules
 from cohortlake.llm.secrets import op4_secrets
+from cohortlake.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
+    "op1_mix": op1_mix,
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_warc": op9_warc,
     "op10_near_dup": op10_near_dup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_mix": OP1_SQL,
+    "op8_decontaminate": OP8_SQL,
+    "op9_warc": OP9_SQL,
+}

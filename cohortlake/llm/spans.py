@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortlake.llm.common import let
+
 #: One proposal: code point positions (end exclusive), the match, and the text around it.
 PROPOSAL = "struct<start:int,end:int,value:string,before:string,after:string>"
 #: One accepted span; rank orders kinds that start at the same place.
@@ -73,10 +75,9 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def masked(text: Column, chars: Column, spans: Column) -> Column:
+def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by ``[KIND]``; overlapping spans become
-    one mask, named by the first. ``chars`` holds the text's code points
-    (``split(text, '')`` as a column of its own), so the work is one pass."""
+    one mask, named by the first. The text is split into code points once."""
     mask_type = "struct<start:int,end:int,kind:string>"
 
     def merge(acc: Column, s: Column) -> Column:
@@ -89,14 +90,14 @@ def masked(text: Column, chars: Column, spans: Column) -> Column:
             .otherwise(F.concat(acc, F.array(one)))
         )
 
-    merged = F.aggregate(spans, no(mask_type), merge)
+    def rebuild(chars: Column) -> Column:
+        def emit(acc: Column, m: Column) -> Column:
+            kept = F.slice(chars, acc["at"] + 1, m["start"] - acc["at"])
+            label = F.array(F.concat(F.lit("["), F.upper(m["kind"]), F.lit("]")))
+            return F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(F.array_join(kept, "")), label).alias("out"))
 
-    def emit(acc: Column, m: Column) -> Column:
-        kept = F.slice(chars, acc["at"] + 1, m["start"] - acc["at"])
-        label = F.array(F.concat(F.lit("["), F.upper(m["kind"]), F.lit("]")))
-        return F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(F.array_join(kept, "")), label).alias("out"))
+        start = F.struct(F.lit(0).alias("at"), no("string").alias("out"))
+        return F.aggregate(F.aggregate(spans, no(mask_type), merge), start, emit, lambda a: F.concat(
+            F.array_join(a["out"], ""), F.array_join(F.slice(chars, a["at"] + 1, F.size(chars)), "")))
 
-    start = F.struct(F.lit(0).alias("at"), no("string").alias("out"))
-    done = F.aggregate(merged, start, emit, lambda a: F.concat(
-        F.array_join(a["out"], ""), F.array_join(F.slice(chars, a["at"] + 1, F.size(chars)), "")))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, let(F.split(text, "", -1), rebuild)).otherwise(text)
