@@ -6,15 +6,19 @@ from cohortlake.llm.decontamination import OP8_SQL, op8_decontaminate
 from cohortlake.llm.mixing import OP1_SQL, op1_mix
 from cohortlake.llm.near_dup import op10_near_dup
 from cohortlake.llm.pii import op3_pii
+from cohortlake.llm.quality_classifier import op5_quality
 from cohortlake.llm.quality_rules import op6_quality_rules
 from cohortlake.llm.secrets import op4_secrets
+from cohortlake.llm.toxicity import op7_toxicity
 from cohortlake.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
+    "op5_quality": op5_quality,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_near_dup": op10_near_dup,
