@@ -9,11 +9,13 @@ from cohortlake.llm.pii import op3_pii
 from cohortlake.llm.quality_classifier import op5_quality
 from cohortlake.llm.quality_rules import op6_quality_rules
 from cohortlake.llm.secrets import op4_secrets
+from cohortlake.llm.tool_calls import OP2_SQL, op2_tool_calls
 from cohortlake.llm.toxicity import op7_toxicity
 from cohortlake.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_tool_calls": op2_tool_calls,
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
@@ -26,6 +28,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op1_mix": OP1_SQL,
+    "op2_tool_calls": OP2_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_warc": OP9_SQL,
 }
