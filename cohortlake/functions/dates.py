@@ -29,9 +29,14 @@ def year_boundary_diff(start, end) -> Column:
     return F.year(col(end)) - F.year(col(start))
 
 
+def plus_days(c, days: int) -> Column:
+    """``c + days``; a date stays a date, a timestamp keeps its time of day."""
+    return col(c) + F.expr(f"INTERVAL '{int(days)}' DAY")
+
+
 def plus_days_if_null(value, base, days: int = 30) -> Column:
     """``value``, or ``base + days`` when ``value`` is null."""
-    return F.coalesce(col(value), F.date_add(col(base), days))
+    return F.coalesce(col(value), plus_days(base, days))
 
 
 def repair_return_date(value, base, max_days: int = 365,
@@ -40,4 +45,4 @@ def repair_return_date(value, base, max_days: int = 365,
     equal to the ``sentinel`` or null by ``base + days``."""
     v = col(value)
     bad = (day_diff(base, v) >= max_days) | (v == F.lit(sentinel)) | v.isNull()
-    return F.when(bad, F.date_add(col(base), days)).otherwise(v)
+    return F.when(bad, plus_days(base, days)).otherwise(v)

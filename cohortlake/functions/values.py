@@ -45,8 +45,10 @@ def is_numeric_text(c) -> Column:
 
 
 def lenient_number(c) -> Column:
-    """The number in a text, commas removed; null when the text is not numeric."""
-    return F.when(is_numeric_text(c), F.regexp_replace(col(c), ",", "").try_cast("double"))
+    """The number in a text, commas removed; null when the text is not numeric
+    or too large for a double."""
+    number = F.regexp_replace(col(c), ",", "").try_cast("double")
+    return F.when(is_numeric_text(c) & (F.abs(number) < float("inf")), number)
 
 
 def decimal_text(c, precision: int = 18, scale: int = 2) -> Column:
@@ -118,6 +120,9 @@ def later_strict(a, b) -> Column:
     return F.when(col(a) > col(b), col(a))
 
 
-def hash_id(c, max_chars: int = 30) -> Column:
-    """Upper-case hex SHA-256 of the text cut to ``max_chars`` (null -> null)."""
-    return F.upper(F.sha2(F.substring(col(c).cast("string"), 1, max_chars), 256))
+def hash_id(c, max_chars: int | None = None) -> Column:
+    """Upper-case hex SHA-256 of the whole text (null -> null). ``max_chars``
+    cuts the text first, for identifiers whose tail is known to be padding;
+    different texts with the same start then share a hash."""
+    text = col(c).cast("string")
+    return F.upper(F.sha2(text if max_chars is None else F.substring(text, 1, max_chars), 256))

@@ -7,7 +7,6 @@ from cohortlake.operators.merge import full_merge, left_enrich
 from cohortlake.operators.milestone import value_at_months
 from cohortlake.operators.rank import (
     dedup_encounters,
-    distinct_on_key,
     first_per_key,
     latest_as_at,
     latest_per_key,
@@ -18,7 +17,7 @@ from cohortlake.operators.rank import (
 from cohortlake.operators.refill import follow_up_in_window
 
 __all__ = [
-    "dedup_encounters", "distinct_on_key", "first_per_key", "follow_up_in_window", "full_merge", "join_group_facts", "latest_as_at",
+    "dedup_encounters", "first_per_key", "follow_up_in_window", "full_merge", "join_group_facts", "latest_as_at",
     "latest_by_group", "latest_per_key", "left_enrich", "live", "ranked", "rows_at_event", "top_n_per_key",
     "value_at_months",
 ]

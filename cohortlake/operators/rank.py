@@ -88,13 +88,3 @@ def latest_as_at(df: DataFrame, keys: Sequence[str], ts: str, cutoff, tie: Seque
     out = ranked(df, keys, ts, tie, True).filter((F.col(_RN) == 1) & cut)
     return _finish(out, rank_col)
 
-
-def distinct_on_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct rows, computed after hash-partitioning on ``keys``: the
-    distinct needs no exchange of its own, and later joins or windows on the
-    same keys reuse the partitioning (one shuffle instead of two).
-
-    For tables with a few rows per key (enrolment records). On event tables
-    use a plain ``distinct()``, whose partial aggregation removes duplicates
-    before the shuffle, so a key with very many rows is reduced map-side."""
-    return df.repartition(*keys).distinct()

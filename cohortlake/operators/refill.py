@@ -17,8 +17,10 @@ def follow_up_in_window(events: DataFrame, anchors: DataFrame, keys: Sequence[st
     ``hi - lo + 1`` candidate dates, and events join on (keys, date). The join
     key includes the date, so a key with very many events is spread over many
     shuffle partitions instead of one; no pairs outside the window are built.
+    Days are calendar days: timestamps match by their date and are returned
+    as they are.
     """
-    cand = anchors.withColumn(
-        event_ts, F.explode(F.sequence(F.date_add(F.col(anchor_ts), lo), F.date_add(F.col(anchor_ts), hi)))
-    )
-    return events.join(cand, [*keys, event_ts], "inner")
+    day = "__day"
+    first = F.to_date(F.col(anchor_ts))
+    cand = anchors.withColumn(day, F.explode(F.sequence(F.date_add(first, lo), F.date_add(first, hi))))
+    return events.withColumn(day, F.to_date(F.col(event_ts))).join(cand, [*keys, day], "inner").drop(day)

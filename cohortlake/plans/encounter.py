@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.functions import day_diff, later_of, later_strict, plus_days_if_null, repair_return_date
-from cohortlake.operators import distinct_on_key, full_merge, latest_per_key, live
+from cohortlake.functions import day_diff, later_of, later_strict, plus_days, plus_days_if_null, repair_return_date
+from cohortlake.operators import full_merge, latest_per_key, live
 from cohortlake.params import AsOf
 from cohortlake.plans import IDS, KEY
 from cohortlake.plans.pharmacy import DISPENSE_TIE
@@ -68,13 +68,13 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     )
     # The result is DISTINCT, so each side of the key joins only needs its
     # distinct values: duplicated treatment rows cannot multiply rows.
-    patients = distinct_on_key(live(art).select(*IDS), KEY)
-    step1 = patients.join(ph, KEY, "left").join(distinct_on_key(art_dates, KEY), KEY, "left").select(
+    patients = live(art).select(*IDS).distinct()
+    step1 = patients.join(ph, KEY, "left").join(art_dates.distinct(), KEY, "left").select(
         *IDS,
         later_of("ph_date", "art_last").alias("enc1"),
         later_of("ph_next", "art_return").alias("next1"),
     )
-    step2 = step1.join(distinct_on_key(art_dates.select(*KEY, F.col("art_last").alias("art_last2")), KEY), KEY, "left").select(
+    step2 = step1.join(art_dates.select(*KEY, F.col("art_last").alias("art_last2")).distinct(), KEY, "left").select(
         *IDS, later_of("enc1", "art_last2").alias("enc2"), "next1"
     )
     combined = step2.join(lv, KEY, "left").select(
@@ -88,7 +88,7 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
             *IDS,
             "last_encounter_date",
             F.when(day_diff(a.lit(), "next_raw") <= 365, F.col("next_raw"))
-            .otherwise(F.date_add("last_encounter_date", 30)).alias("next_appointment_date"),
+            .otherwise(plus_days("last_encounter_date", 30)).alias("next_appointment_date"),
             a.load_date(),
         )
         .distinct()

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import (
+    plus_days_if_null,
+    banded_days,
     below_or_in,
     contains_flags,
     day_diff,
@@ -40,7 +42,6 @@ from cohortlake.operators import (
     value_at_months,
 )
 from cohortlake.params import AsOf
-from cohortlake.session import configure
 from cohortlake.sources.tables import read_table
 
 # Reporting date for the raw-table examples (inside the order date range).
@@ -196,7 +197,7 @@ def hashed_customer_key(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("c_custkey", hash_id("c_name").alias("name_hash"), hash_id("c_custkey", 64).alias("key_hash"))
 
 
-def max_date_per_site_broadcast_join(spark: SparkSession, sf: str) -> DataFrame:
+def max_date_per_site_salted_join(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     o = _orders(spark, sf).join(c.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     per_nation = latest_by_group(o, ["c_nationkey"], "order_date", "nation_last_order")
@@ -256,23 +257,26 @@ def segment_facts_per_customer(spark: SparkSession, sf: str) -> DataFrame:
                             ["c_custkey"], ways=8)
 
 
-def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        configure(spark)
-        return fn(spark, sf)
+def banded_shipping_days(spark: SparkSession, sf: str) -> DataFrame:
+    """0 for line items shipped within 89 days of the order, 1 from 90 days on."""
+    li = _lines(spark, sf)
+    return li.select("l_orderkey", "l_linenumber", banded_days("order_date", "ship_date", 90).alias("late"))
+
 
-    run.__name__ = fn.__name__
-    return run
+def expected_or_default_return(spark: SparkSession, sf: str) -> DataFrame:
+    """The ship date of returned items, order date + 30 for the others."""
+    li = _lines(spark, sf).withColumn("returned_on", F.when(F.col("l_returnflag") == "R", F.col("ship_date")))
+    return li.select("l_orderkey", "l_linenumber", plus_days_if_null("returned_on", "order_date").alias("expected_return"))
 
 
 EXAMPLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _wrap(f)
+    f.__name__: f
     for f in [
         latest_order_per_customer, first_order_per_customer, top10_lineitems_per_order_customer,
         latest_order_as_at_rank_then_cut, latest_order_as_at_cut_then_rank, later_of_full_merge_orders_shipments,
         month_boundary_diff_orders, milestone_value_at_months, follow_up_in_window_orders, rule_ladder_customers,
         contains_flags_part_names, pair_split_numeric_check, lenient_number_classify, hashed_customer_key,
-        max_date_per_site_broadcast_join, encounter_dedup_multi_key, lineitems_of_latest_order,
-        repaired_ship_dates, part_size_in_family_range, customer_order_profile, segment_facts_per_customer,
+        max_date_per_site_salted_join, encounter_dedup_multi_key, lineitems_of_latest_order,
+        banded_shipping_days, expected_or_default_return, repaired_ship_dates, part_size_in_family_range, customer_order_profile, segment_facts_per_customer,
     ]
 }

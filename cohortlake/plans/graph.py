@@ -25,7 +25,7 @@ DATASETS: dict[str, tuple[str, tuple[str, ...]]] = {
     "d06": ("last_encounter", ()),
     "d07": ("art_outcomes", ("d06",)),
     "d08": ("latest_weight_height", ()),
-    "d09": ("latest_obs", ("d01", "d06", "d08")),
+    "d09": ("latest_obs", ("d06", "d08")),
     "d10": ("pbfw", ("d09", "d01")),
     "d11": ("baseline_viral_load", ()),
     "d12": ("latest_viral_load", ()),
@@ -96,8 +96,8 @@ class DatasetGraph:
     @cached_property
     def d09(self):
         t = self.t
-        return obs.latest_obs(t.ct_patient, t.ct_patient_visits, t.ct_ipt, self.get("d01"), self.get("d06"),
-                              self.get("d08"), self.as_of)
+        return obs.latest_obs(t.ct_patient, t.ct_patient_visits, t.ct_ipt, self.get("d06"), self.get("d08"),
+                              self.as_of)
 
     @cached_property
     def d10(self):
@@ -106,7 +106,7 @@ class DatasetGraph:
         # uses are computed (same distinct rows, far less work)
         src = self._over.get("d09")
         if src is None:
-            src = obs.pregnancy_obs(t.ct_patient, t.ct_patient_visits, self.get("d01"))
+            src = obs.pregnancy_obs(t.ct_patient, t.ct_patient_visits)
         return pbfw.pbfw(src, t.ct_art_patients, t.ct_patient, self.get("d01"), t.ct_patient_visits,
                          t.mnch_anc_visits, t.mnch_pnc_visits, t.mnch_mat_visits, t.mnch_arts, t.mnch_enrolments,
                          self.as_of)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ci_equals, day_diff, hash_id
-from cohortlake.operators import dedup_encounters, distinct_on_key, first_per_key, follow_up_in_window, latest_per_key
+from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, latest_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
@@ -34,7 +34,8 @@ def encounter_hts_tests(hts: DataFrame, as_of, since: dt.date = HTS_SINCE) -> Da
         F.col("final_test_result").isNotNull()
         & F.col("test_date").isNotNull()
         & F.col("encounter_id").isNotNull()
-        & F.col("test_date").between(F.lit(since), a.lit())
+        & (F.col("test_date") >= F.lit(since))
+        & (F.to_date("test_date") <= a.lit())
     )
     top = dedup_encounters(hts.filter(ok), [*KEY, "test_date", "test_type"], "encounter_id", rank_col="num")
     return top.select("num", *HTS_COLUMNS, a.load_date())
@@ -82,14 +83,14 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
     a = AsOf.of(as_of)
     pkey = ["prep_number", "patient_pk", "site_code"]
     enrol = prep_patients.select(*pkey, "prep_enrollment_date")
-    tests = hts.select(*KEY, F.col("test_date").alias("dispense_date"), "test_date", "final_test_result")
+    tests = hts.select(*KEY, F.to_date("test_date").alias("day"), "test_date", "final_test_result")
     refills = prep_pharmacy.filter(F.col("prep_number").isNotNull()).select(*pkey, "dispense_id", "dispense_date")
 
     first = first_per_key(refills, pkey, "dispense_date", ["dispense_id"]).join(enrol, pkey, "inner")
     m1 = (
         first.withColumn("refil1_diff_in_days", day_diff("prep_enrollment_date", "dispense_date"))
         .filter(F.col("refil1_diff_in_days").between(30, 37))
-        .join(tests, [*KEY, "dispense_date"], "left")
+        .withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
         .select(*KEY, "refil1_diff_in_days",
                 F.col("final_test_result").alias("test_results_month1"),
                 F.col("test_date").alias("test_date_month1"),
@@ -97,20 +98,20 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
         .distinct()
     )
     anchors = m1.select(*KEY, F.col("dispense_date_month1").alias("m1_date")).distinct()
-    m3 = distinct_on_key(
+    m3 = (
         follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67)
-        .join(tests, [*KEY, "dispense_date"], "left")   # same key as the window join: no reshuffle
+        .withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
         .join(enrol, pkey, "left")
         .select(*KEY,
                 day_diff("prep_enrollment_date", "dispense_date").alias("refil3_diff_in_days"),
                 F.col("final_test_result").alias("test_results_month3"),
                 F.col("test_date").alias("test_date_month3"),
-                F.col("dispense_date").alias("dispense_date_month3")),
-        KEY,   # refills inside an 8-day window: few rows per key
+                F.col("dispense_date").alias("dispense_date_month3"))
+        .distinct()
     )
-    clients = distinct_on_key(prep_patients.filter(F.col("prep_number").isNotNull()).select(
+    clients = prep_patients.filter(F.col("prep_number").isNotNull()).select(
         "prep_number", "prep_number_hash", "patient_pk", "patient_pk_hash", "prep_enrollment_date", "site_code"
-    ), KEY)
+    ).distinct()
     return (
         clients.join(m1, KEY, "left").join(m3, KEY, "left")
         .select(

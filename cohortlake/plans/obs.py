@@ -3,11 +3,11 @@ encounter, multi-month dispensing, and attributes of the last visit."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import banded_days, ci_in, not_blank, year_boundary_diff
-from cohortlake.operators import latest_per_key, live, rows_at_event
+from cohortlake.operators import latest_per_key, live
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -29,43 +29,48 @@ _VISIT_SETS = [
 ]
 
 
-def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame | None, last_visit: DataFrame,
+def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame | None,
                               groups: list[str] | None = None) -> DataFrame:
     """Per key, the distinct values of each attribute group at the last visit,
     and of the TB screening when the newest screening is that same visit.
 
-    Visit rows and newest-screening rows are unioned and joined to the last
-    visit (D01) once, on (key, date, visit id): the four-column join key
-    spreads one patient's rows over many partitions. Each set holds the
-    distinct values of one visit, so it stays small however many visits a
-    patient has.
+    The rows of the last visit are those of rank 1 by (date, visit id), so each
+    map task forwards only a key's newest visit (a partial limit) and one
+    exchange on the key carries them; the newest screening, one row per key,
+    joins after that. A visit without date or id is no last visit. Each set
+    holds the distinct values of one visit.
     """
     sets = [g for g in _VISIT_SETS if groups is None or g[0] in groups]
     attr_cols = sorted({c for _, _, cols in sets for c in cols} | {"adherence_category"})
-    v_rows = live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols, F.lit("v").alias("__src"))
-    if ipt is not None:
-        tb_rows = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
-            *KEY, "visit_date", "visit_id", "tb_screening", F.lit("t").alias("__src"))
-        v_rows = v_rows.unionByName(tb_rows, allowMissingColumns=True)
-    rows = rows_at_event(v_rows, last_visit, KEY, "visit_date", "visit_id", anchor_ts="last_visit_date")
-    is_visit = F.col("__src") == "v"
+    newest = Window.partitionBy(*KEY).orderBy(F.col("visit_date").desc_nulls_last(), F.col("visit_id").desc_nulls_last())
+    rows = (
+        live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols)
+        .withColumn("__rank", F.rank().over(newest)).filter("__rank = 1").drop("__rank")
+        .filter(F.col("visit_date").isNotNull() & F.col("visit_id").isNotNull())
+        .distinct()
+    )
     aggs = []
     for name, cond, cols in sets:
-        keep = is_visit if cond is None else is_visit & cond()
-        aggs.append(F.collect_set(F.when(keep, F.struct(*[F.col(c) for c in cols]))).alias(name))
+        kept = F.struct(*[F.col(c) for c in cols])
+        aggs.append(F.collect_set(kept if cond is None else F.when(cond(), kept)).alias(name))
+    out = rows.groupBy(*KEY).agg(*aggs, F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
     if ipt is not None:
-        aggs.append(F.collect_set(F.when(F.col("__src") == "t", F.struct("tb_screening"))).alias("s_tb"))
-    return rows.groupBy(*KEY).agg(*aggs)
+        screening = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
+            *KEY, F.col("visit_date").alias("__tb_date"), F.col("visit_id").alias("__tb_id"), "tb_screening")
+        same = (F.col("__tb_date") == F.col("__date")) & (F.col("__tb_id") == F.col("__id"))
+        found = F.when(same, F.array(F.struct("tb_screening")))
+        out = out.join(screening, KEY, "left").withColumn("s_tb", found).drop("__tb_date", "__tb_id", "tb_screening")
+    return out.drop("__date", "__id")
 
 
-def pregnancy_obs(patients: DataFrame, visits: DataFrame, last_visit: DataFrame) -> DataFrame:
+def pregnancy_obs(patients: DataFrame, visits: DataFrame) -> DataFrame:
     """The D09 columns the pregnant/breastfeeding cohort (D10) reads - key,
     hash, pregnant, breastfeeding, LMP, gestation - for every live patient,
     without the groups that only repeat rows (weight, age, multi-month flag,
     adherence, care model, stability, family planning, WHO stage, TB). D10
     takes a DISTINCT over these values, so the set of rows it sees is the
     same as from the full D09."""
-    sets = last_visit_attribute_sets(visits, None, last_visit, groups=["s_pregnant", "s_bf"])
+    sets = last_visit_attribute_sets(visits, None, groups=["s_pregnant", "s_bf"])
     out = live(patients).select("patient_pk_hash", "patient_pk", "site_code").join(sets, KEY, "left")
     for name in ["s_pregnant", "s_bf"]:
         out = out.withColumn(name, F.explode_outer(name))
@@ -100,11 +105,11 @@ def encounter_facts(patients: DataFrame, last_encounter: DataFrame) -> DataFrame
     )
 
 
-def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visit: DataFrame,
+def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame,
                last_encounter: DataFrame, weight_height: DataFrame, as_of) -> DataFrame:
     """D09. Each attribute group behaves like a left join of its rows: several
     distinct values at the last visit (or several encounter rows) give several
-    output rows. Upstream D01 and D06 are each consumed once."""
+    output rows. Upstream D06 is consumed once."""
     a = AsOf.of(as_of)
     pts = live(patients)
     wh = weight_height.select("patient_pk_hash", "site_code", F.col("weight").alias("latest_weight"),
@@ -113,7 +118,7 @@ def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame, last_visi
         pts.select("patient_pk_hash", "patient_pk", "site_code")
         .join(wh, ["patient_pk_hash", "site_code"], "left")
         .join(encounter_facts(patients, last_encounter), KEY, "left")
-        .join(last_visit_attribute_sets(visits, ipt, last_visit), KEY, "left")
+        .join(last_visit_attribute_sets(visits, ipt), KEY, "left")
     )
     for name in ["s_age", "s_mmd", *[n for n, _, _ in _VISIT_SETS], "s_tb"]:
         out = out.withColumn(name, F.explode_outer(name))

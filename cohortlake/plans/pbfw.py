@@ -16,6 +16,8 @@ from cohortlake.plans import KEY
 BREASTFEEDING_ANSWERS = ["Breastfed exclusively", "Exclusive breastfeeding", "mixed feeding"]
 # Gestation window (days) and minimum ages (year boundaries).
 MAX_GESTATION_DAYS = 450
+# A gestation text of more weeks than this, either side of 0, is unknown (null).
+MAX_GESTATION_WEEKS = 10_000
 MIN_AGE_COHORT = 10
 MIN_AGE_FIRST_VISIT = 1
 
@@ -30,8 +32,9 @@ def pbfw_visits(obs: DataFrame, art: DataFrame, patients: DataFrame, last_visit:
     previous month. (``and`` binds tighter than ``or``: pregnant women skip the
     age and gestation tests.)"""
     a = AsOf.of(as_of)
-    weeks = F.floor(lenient_number("gestation_age"))
-    gestation_start = F.date_sub(F.col("lmp"), (weeks * 7).cast("int"))
+    weeks = lenient_number("gestation_age")
+    days = F.when(F.abs(weeks) <= MAX_GESTATION_WEEKS, (F.floor(weeks) * 7).cast("int"))
+    gestation_start = F.date_sub(F.col("lmp"), days)
     j = (
         obs.select(*KEY, "patient_pk_hash", "breastfeeding", "pregnant", "lmp", "gestation_age")
         .join(art.select(*KEY, "start_art_date", F.col("dob").alias("art_dob"), "last_visit"), KEY, "left")

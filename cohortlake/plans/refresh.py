@@ -88,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     import datetime as dt
     import json
 
-    from cohortlake.session import configure
+    from cohortlake.session import with_settings
     from cohortlake.sources.tables import TableSet
 
     p = argparse.ArgumentParser(description="Full refresh of the patient datasets")
@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reporting date, default today")
     p.add_argument("--only", nargs="*", help="dataset ids, e.g. d07 d09 (their upstream is built too)")
     args = p.parse_args(argv)
-    spark = configure(SparkSession.builder.getOrCreate())
+    spark = with_settings(SparkSession.builder).getOrCreate()
     if not (args.out or args.database):
         p.error("one of --out or --database is required")
     timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only, args.database,

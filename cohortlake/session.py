@@ -2,52 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+#: AQE re-plans joins from measured shuffle sizes (broadcast only when the
+#: materialised side is below the threshold), coalesces small partitions and splits
+#: skewed sort-merge-join partitions, also where the split costs another shuffle.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the plans rely on to an existing session.
 
-    AQE re-plans joins from measured shuffle sizes (broadcast only when the
-    materialised side is below the threshold), coalesces small partitions and
-    splits skewed sort-merge-join partitions. The checkpoint folder is taken
-    from ``spark.checkpoint.dir``; a machine-local one is only created for a
-    ``local[...]`` master when none is configured.
-    """
-    conf = spark.conf
-    conf.set("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
-        return spark
-    if not sc.getCheckpointDir():
-        shared = conf.get("spark.checkpoint.dir", None)
-        if shared:
-            sc.setCheckpointDir(shared)
-        elif sc.master.startswith("local"):
-            # single-machine runs (tests, local benchmark) only; on a cluster the
-            # shared folder must come from spark.checkpoint.dir
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlake-ckpt-"))
-    return spark
+def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """The builder with the settings above; a session that exists is left alone by every query."""
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlake") -> SparkSession:
     """Session for tests and the local benchmark (single JVM)."""
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        with_settings(SparkSession.builder.master(f"local[{cores}]").appName(app))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark

@@ -111,17 +111,19 @@ class FixtureTables:
 
     @cached_property
     def ct_art_patients(self) -> DataFrame:
-        first = self._raw("orders").groupBy(F.col("o_custkey").alias("patient_pk")).agg(
+        # one treatment record per customer and order status; one without dates
+        # for customers without orders
+        first = self._raw("orders").groupBy(F.col("o_custkey").alias("patient_pk"), F.col("o_orderstatus").alias("status")).agg(
             F.min(F.to_date("o_orderdate")).alias("first_order")
         )
         pk = F.col("patient_pk")
         lv = F.date_add(F.add_months(F.col("first_order"), 240), 1500)
         return (
-            first.join(self._cust, "patient_pk")
-            .filter(pk % 5 != 0)
+            self._cust.join(first, "patient_pk", "left")
             .select(
                 *K_COLS,
-                F.when(pk % 31 != 0, F.date_add(_d(2015, 6, 1), (pk * 11 % 900).cast("int"))).alias("start_art_date"),
+                F.when(pk % 31 != 0, F.when(F.col("status") == "P", F.date_add(_d(2021, 2, 1), (pk % 10).cast("int")))
+                       .otherwise(F.date_add(_d(2015, 6, 1), (pk * 11 % 900).cast("int")))).alias("start_art_date"),
                 lv.alias("last_visit"),
                 F.when(pk % 9 != 0, F.date_add(lv, (pk % 400).cast("int"))).alias("expected_return"),
                 F.date_add(_d(1950, 1, 1), (pk * 37 % 18000).cast("int")).alias("dob"),
@@ -131,10 +133,10 @@ class FixtureTables:
 
     @cached_property
     def ct_patient_status(self) -> DataFrame:
-        k, pk = F.col("k"), F.col("patient_pk")
-        exit_date = shift_years(F.col("odate"), 20)
+        k = F.col("k")
+        exit_date = F.add_months("odate", 308)  # open orders: November 2020 to February 2021
         return (
-            self._ord.filter((F.col("order_status") == "F") & (pk % 3 == 0))
+            self._ord.filter(F.col("order_status") == "P")
             .select(
                 "patient_pk",
                 "site_code",
@@ -151,16 +153,18 @@ class FixtureTables:
 
     @cached_property
     def ct_facility_manifest(self) -> DataFrame:
-        return self._ord.filter(F.col("k") % 10 == 0).select(
+        return self._ord.select(
             "site_code", F.col("k").alias("manifest_id"), shift_years(F.col("odate"), 20).alias("date_recieved")
         )
 
     # ---- visits / dispenses / labs -------------------------------------
     @cached_property
     def ct_patient_visits(self) -> DataFrame:
-        k = F.col("k")
+        # an open order's visit is recorded twice, with other observations
+        copies = F.explode(F.sequence(F.lit(0), F.when(F.col("order_status") == "P", 1).otherwise(0)))
+        k, o = F.col("k"), F.col("k") + F.col("copy")
         vd = shift_years(F.col("odate"), 20)
-        return self._ord.select(
+        return self._ord.withColumn("copy", copies).select(
             *K_COLS,
             k.alias("visit_id"),
             vd.alias("visit_date"),
@@ -173,15 +177,15 @@ class FixtureTables:
             (140 + k % 50).cast("double").alias("height"),
             F.when(k % 2 == 0, "Self").otherwise("Treatment supporter").alias("visit_by"),
             F.when(k % 11 == 0, "Yes").when(k % 11 == 1, "Y").when(k % 11 >= 4, "No").alias("pregnant"),
-            F.when(k % 9 == 0, "Yes").when(k % 9 == 1, "").when(k % 9 != 2, "No").alias("breastfeeding"),
+            F.when(o % 9 == 0, "Yes").when(o % 9 == 1, "").when(o % 9 != 2, "No").alias("breastfeeding"),
             F.date_sub(vd, (k % 280).cast("int")).alias("lmp"),
-            (k % 42).cast("string").alias("gestation_age"),
-            pick(k % 4, ["Good", "Fair", "Poor", None]).alias("adherence"),
+            F.when(k % 53 == 5, "4000000000").when(k % 53 == 6, "unknown").otherwise((k % 42).cast("string")).alias("gestation_age"),
+            pick(o % 4, ["Good", "Fair", "Poor", None]).alias("adherence"),
             pick(k % 3, ["ART", "ARV Adherence", "CTX"]).alias("adherence_category"),
             pick(k % 5, [None, "Fast Track", "Community ART", "Standard Care", "Standard Care"]).alias("differentiated_care"),
             pick(k % 3, ["Stable", "Unstable", None]).alias("stability_assessment"),
             pick(k % 6, [None, "", "Condoms", "Injectable", "None", "None"]).alias("family_planning_method"),
-            F.when(k % 5 != 0, (k % 5).cast("string")).alias("who_stage"),
+            F.when(o % 5 != 0, (o % 5).cast("string")).alias("who_stage"),
             F.when(k % 17 == 0, 1).otherwise(0).alias("voided"),
         )
 
@@ -251,7 +255,7 @@ class FixtureTables:
             F.when(k % 7 == 3, "srh"),
             F.when(k % 3 == 2, "Beyond"),
         )
-        return self._ord.filter(k % 4 == 0).select(
+        return self._ord.select(
             *K_COLS,
             "emr",
             k.alias("visit_id"),
@@ -271,7 +275,7 @@ class FixtureTables:
     def ct_ovc(self) -> DataFrame:
         k, pk = F.col("k"), F.col("patient_pk")
         vd = shift_years(F.col("odate"), 20)
-        return self._ord.filter(k % 5 == 0).select(
+        return self._ord.select(
             *K_COLS,
             "emr",
             k.alias("visit_id"),
@@ -290,7 +294,7 @@ class FixtureTables:
     @cached_property
     def hts_client_tests(self) -> DataFrame:
         k, ln = F.col("k"), F.col("ln")
-        return self._li.filter(k % 3 != 0).select(
+        return self._li.select(
             "patient_pk",
             "patient_pk_hash",
             "site_code",
@@ -348,7 +352,7 @@ class FixtureTables:
     @cached_property
     def prep_visits(self) -> DataFrame:
         k = F.col("k")
-        return self._ord.filter(k % 3 == 0).select(
+        return self._ord.select(
             "patient_pk",
             "patient_pk_hash",
             "site_code",
@@ -366,7 +370,7 @@ class FixtureTables:
             F.when(k % 16 == 1, F.concat(F.lit("CCC-"), F.lpad(k.cast("string"), 36, "0")))
             .when(k % 16 != 5, F.concat(F.lit("CCC-"), k.cast("string")))
         )
-        return self._ord.filter(k % 4 == 1).select(
+        return self._ord.select(
             "patient_pk",
             "patient_pk_hash",
             "site_code",
@@ -379,13 +383,10 @@ class FixtureTables:
         )
 
     # ---- maternal sources -----------------------------------------------
-    def _mnch(self, residue: int) -> DataFrame:
-        return self._ord.filter(F.col("k") % 6 == residue)
-
     @cached_property
     def mnch_anc_visits(self) -> DataFrame:
         k = F.col("k")
-        return self._mnch(0).select(
+        return self._ord.select(
             "patient_pk", "patient_pk_hash", "site_code", k.alias("visit_id"),
             shift_years(F.col("odate"), 20).alias("visit_date"),
             F.when(k % 5 != 0, F.when(k % 18 == 0, "KP").when(k % 18 == 6, "Negative").otherwise("Unknown"))
@@ -396,7 +397,7 @@ class FixtureTables:
     @cached_property
     def mnch_pnc_visits(self) -> DataFrame:
         k = F.col("k")
-        return self._mnch(1).select(
+        return self._ord.select(
             "patient_pk", "patient_pk_hash", "site_code", k.alias("visit_id"),
             shift_years(F.col("odate"), 20).alias("visit_date"),
             F.when(k % 18 == 1, "Positive").when(k % 18 == 7, "Negative").otherwise("Unknown").alias("prior_hiv_status"),
@@ -407,7 +408,7 @@ class FixtureTables:
     @cached_property
     def mnch_mat_visits(self) -> DataFrame:
         k = F.col("k")
-        return self._mnch(2).select(
+        return self._ord.select(
             "patient_pk", "patient_pk_hash", "site_code", k.alias("visit_id"),
             shift_years(F.col("odate"), 20).alias("visit_date"),
             F.when(k % 5 == 0, "Positive").otherwise("Negative").alias("hiv_test_final_result"),
@@ -418,14 +419,14 @@ class FixtureTables:
     @cached_property
     def mnch_arts(self) -> DataFrame:
         k = F.col("k")
-        return self._ord.filter(k % 7 == 0).select(
+        return self._ord.select(
             "patient_pk", "site_code", k.alias("art_id"), shift_years(F.col("odate"), 20).alias("start_art_date")
         )
 
     @cached_property
     def mnch_enrolments(self) -> DataFrame:
         k = F.col("k")
-        return self._ord.filter(k % 7 == 1).select(
+        return self._ord.select(
             "patient_pk", "site_code", k.alias("enrolment_id"),
             pick(k % 3, ["KP", "Positive", "Negative"]).alias("hiv_status_before_anc"),
             shift_years(F.col("odate"), 20).alias("enrollment_date_at_mnch"),

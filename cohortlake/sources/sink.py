@@ -1,13 +1,18 @@
-"""Full-refresh sink: write to a staging folder, then swap it in.
+"""Full-refresh sink: write to a staging place, then swap it in.
 
 The source system dropped the table before re-creating it, so readers saw a
 gap and a failed build left no table. Here the new data is written completely
 (task retries and lost executors only redo their own files) and then swapped
-for the old folder with two renames on the shared file system.
+for the old table with two checked renames; if the second fails, the old table
+is put back, and it is deleted only when the new one stands. Between the two
+renames the name is absent for a moment; readers that cannot bear that read
+a view (``overwrite_catalog_table`` with ``view=True``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -17,42 +22,80 @@ def _fs(spark, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
 
 
+def _rename(fs, source, target) -> None:
+    """Rename that raises where the file system only returns false."""
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
+
+
+def _swap(exists: bool, set_aside, put_in, put_back, discard) -> None:
+    """Set the old table aside, put the new one in; on failure put the old one back."""
+    if exists:
+        set_aside()
+    try:
+        put_in()
+    except Exception:
+        if exists:
+            put_back()
+        raise
+    if exists:
+        discard()
+
+
 def overwrite_table(df: DataFrame, path: str, partitions: int | None = None) -> str:
     """Replace the parquet table at ``path`` by ``df``; returns ``path``."""
     spark = df.sparkSession
-    staging = path.rstrip("/") + "._staging"
+    base = path.rstrip("/")
+    staging = f"{base}._staging"
     out = df if partitions is None else df.repartition(partitions)
     out.write.mode("overwrite").parquet(staging)
     fs, target, jvm = _fs(spark, path)
-    stage = jvm.org.apache.hadoop.fs.Path(staging)
-    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "._previous")
-    if fs.exists(old):
-        fs.delete(old, True)
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(stage, target)
+    stage, old = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(f"{base}._previous")
     if fs.exists(old):
-        fs.delete(old, True)
+        if fs.exists(target):
+            fs.delete(old, True)  # left by a run that ended after its swap
+        else:
+            _rename(fs, old, target)  # left by a run that ended inside it
+    _swap(fs.exists(target), lambda: _rename(fs, target, old), lambda: _rename(fs, stage, target),
+          lambda: _rename(fs, old, target), lambda: fs.delete(old, True))
     return path
 
 
+def _alter(spark, source: str, target: str) -> None:
+    spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
+
+
 def overwrite_catalog_table(df: DataFrame, name: str, bucket_by: list[str] | None = None,
-                            buckets: int | None = None) -> str:
-    """Replace catalog table ``name`` by ``df``: written as ``<name>__staging``
-    first, then the old table is dropped and the staging table renamed.
+                            buckets: int | None = None, view: bool = False) -> str:
+    """Replace catalog table ``name`` by ``df``.
+
+    The data is written as ``<name>__staging``; then the old table is renamed,
+    the staging table takes its name, and only then the old one is dropped (on
+    failure it gets its name back). With ``view`` the data goes to a table with a name of
+    its own and the view ``name`` is switched to it in one step, without a gap;
+    tables of earlier runs are left to the caller.
 
     With ``bucket_by`` (e.g. site_code, patient_pk) and ``buckets``, rows are
     hash-bucketed and sorted on those columns, so later windows and joins on
     the same key read co-located data and need no exchange.
     """
     spark = df.sparkSession
-    staging = f"{name}__staging"
+    staging = f"{name}__{uuid.uuid4().hex[:8]}" if view else f"{name}__staging"
     writer = df.write.mode("overwrite").format("parquet")
     if bucket_by:
         writer = writer.bucketBy(buckets or 200, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if view:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {staging}")
+        return name
+    previous = f"{name}__previous"
+    if spark.catalog.tableExists(previous):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {previous}")
+        else:
+            _alter(spark, previous, name)
+    _swap(spark.catalog.tableExists(name), lambda: _alter(spark, name, previous), lambda: _alter(spark, staging, name),
+          lambda: _alter(spark, previous, name), lambda: spark.sql(f"DROP TABLE {previous}"))
     return name
 
 

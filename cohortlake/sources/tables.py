@@ -3,9 +3,10 @@ pushes the ``voided = 0`` and date filters into the reader."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -19,16 +20,23 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[st
 
 class TableSet:
     """Clinical tables stored as ``<base>/<name>.parquet``, exposed as attributes
-    (the same interface as the fixture adapter)."""
+    (the same interface as the fixture adapter). A table is listed and its
+    footers are read once, when it is first used; with ``schemas`` (table name ->
+    schema) footers are not read, and a file of other types fails the scan."""
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, schemas: Mapping[str, StructType] | None = None):
         self.spark = spark
         self.base = base
+        self.schemas = schemas or {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.base, name)
+        path = f"{self.base.rstrip('/')}/{name}.parquet"
+        reader = self.spark.read
+        table = (reader.schema(self.schemas[name]) if name in self.schemas else reader).parquet(path)
+        setattr(self, name, table)  # later uses find the attribute itself
+        return table
 
 
 class CatalogTables:
@@ -47,13 +55,13 @@ class CatalogTables:
 class JdbcTables:
     """Clinical tables read over JDBC, each split into parallel range reads on
     a numeric column (``partition_column``) so no single task reads a whole
-    table. ``bounds`` maps table -> (lower, upper) of that column; tables
-    without bounds are read by one task and should be small.
+    table. ``bounds`` maps table -> (lower, upper) of that column; a table that
+    has none is an error unless ``single_task`` names it as small enough for one.
     """
 
     def __init__(self, spark: SparkSession, url: str, properties: dict, partition_column: str = "patient_pk",
                  bounds: dict[str, tuple[int, int]] | None = None, num_partitions: int = 200,
-                 table_names: dict[str, str] | None = None):
+                 table_names: dict[str, str] | None = None, single_task: Iterable[str] = ()):
         self.spark = spark
         self.url = url
         self.properties = dict(properties)
@@ -61,6 +69,7 @@ class JdbcTables:
         self.bounds = bounds or {}
         self.num_partitions = num_partitions
         self.table_names = table_names or {}
+        self.single_task = frozenset(single_task)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -71,4 +80,6 @@ class JdbcTables:
             return self.spark.read.jdbc(self.url, table, column=self.partition_column, lowerBound=lo,
                                         upperBound=hi, numPartitions=self.num_partitions,
                                         properties=self.properties)
+        if name not in self.single_task:
+            raise ValueError(f"{name} has no bounds on {self.partition_column}; give them, or name it in single_task")
         return self.spark.read.jdbc(self.url, table, properties=self.properties)

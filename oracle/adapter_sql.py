@@ -7,7 +7,7 @@ tables (plus the shared bases), to be followed by a query's own CTEs.
 
 from __future__ import annotations
 
-from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
+from oracle.fixed import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 
 
 def d20(x: str) -> str:
@@ -53,16 +53,17 @@ SELECT {K},
 FROM _cust""",
     "ct_art_patients": f"""
 SELECT {K},
-  CASE WHEN patient_pk % 31 <> 0 THEN DATE '2015-06-01' + CAST(patient_pk * 11 % 900 AS INTEGER) END AS start_art_date,
+  CASE WHEN patient_pk % 31 = 0 THEN NULL WHEN status = 'P' THEN DATE '2021-02-01' + CAST(patient_pk % 10 AS INTEGER)
+       ELSE DATE '2015-06-01' + CAST(patient_pk * 11 % 900 AS INTEGER) END AS start_art_date,
   lv AS last_visit,
   CASE WHEN patient_pk % 9 <> 0 THEN lv + CAST(patient_pk % 400 AS INTEGER) END AS expected_return,
   DATE '1950-01-01' + CAST(patient_pk * 37 % 18000 AS INTEGER) AS dob,
   CASE WHEN patient_pk % 29 = 0 THEN 1 ELSE 0 END AS voided
 FROM (
-  SELECT c.*, {d20('f.first_order')} + 1500 AS lv
-  FROM (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first_order FROM orders GROUP BY o_custkey) f
-  JOIN _cust c ON c.patient_pk = f.o_custkey
-) WHERE patient_pk % 5 <> 0""",
+  SELECT c.*, f.status, {d20('f.first_order')} + 1500 AS lv
+  FROM _cust c LEFT JOIN (
+    SELECT o_custkey, o_orderstatus AS status, min(CAST(o_orderdate AS DATE)) AS first_order FROM orders GROUP BY ALL) f
+  ON c.patient_pk = f.o_custkey)""",
     "ct_patient_status": f"""
 SELECT patient_pk, site_code, k AS status_id, ed AS exit_date,
   CASE k % 5 WHEN 0 THEN 'Died' WHEN 1 THEN 'LTFU' WHEN 2 THEN 'Transfer out' WHEN 3 THEN 'Stopped' ELSE 'dead' END
@@ -72,9 +73,9 @@ SELECT patient_pk, site_code, k AS status_id, ed AS exit_date,
   CASE WHEN k % 5 IN (0, 4) THEN 'Illness' END AS reason_for_death,
   CASE WHEN k % 4 = 0 THEN ed + CAST(k % 200 AS INTEGER) END AS re_enrollment_date,
   CASE WHEN k % 25 = 0 THEN 1 ELSE 0 END AS voided
-FROM (SELECT *, {d20('odate')} AS ed FROM _ord WHERE order_status = 'F' AND patient_pk % 3 = 0)""",
+FROM (SELECT *, CAST(odate + INTERVAL 308 MONTH AS DATE) AS ed FROM _ord WHERE order_status = 'P')""",
     "ct_facility_manifest": f"""
-SELECT site_code, k AS manifest_id, {d20('odate')} AS date_recieved FROM _ord WHERE k % 10 = 0""",
+SELECT site_code, k AS manifest_id, {d20('odate')} AS date_recieved FROM _ord""",
     "ct_patient_visits": f"""
 SELECT {K}, k AS visit_id, vd AS visit_date,
   CASE WHEN k % 7 <> 0 THEN vd + CAST(k % 90 AS INTEGER) END AS next_appointment_date,
@@ -84,19 +85,20 @@ SELECT {K}, k AS visit_id, vd AS visit_date,
   CAST(140 + k % 50 AS DOUBLE) AS height,
   CASE WHEN k % 2 = 0 THEN 'Self' ELSE 'Treatment supporter' END AS visit_by,
   CASE WHEN k % 11 = 0 THEN 'Yes' WHEN k % 11 = 1 THEN 'Y' WHEN k % 11 >= 4 THEN 'No' END AS pregnant,
-  CASE WHEN k % 9 = 0 THEN 'Yes' WHEN k % 9 = 1 THEN '' WHEN k % 9 <> 2 THEN 'No' END AS breastfeeding,
+  CASE WHEN o % 9 = 0 THEN 'Yes' WHEN o % 9 = 1 THEN '' WHEN o % 9 <> 2 THEN 'No' END AS breastfeeding,
   vd - CAST(k % 280 AS INTEGER) AS lmp,
-  CAST(k % 42 AS VARCHAR) AS gestation_age,
-  CASE k % 4 WHEN 0 THEN 'Good' WHEN 1 THEN 'Fair' WHEN 2 THEN 'Poor' END AS adherence,
+  CASE k % 53 WHEN 5 THEN '4000000000' WHEN 6 THEN 'unknown' ELSE CAST(k % 42 AS VARCHAR) END AS gestation_age,
+  CASE o % 4 WHEN 0 THEN 'Good' WHEN 1 THEN 'Fair' WHEN 2 THEN 'Poor' END AS adherence,
   CASE k % 3 WHEN 0 THEN 'ART' WHEN 1 THEN 'ARV Adherence' ELSE 'CTX' END AS adherence_category,
   CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Fast Track' WHEN 2 THEN 'Community ART' ELSE 'Standard Care' END
     AS differentiated_care,
   CASE k % 3 WHEN 0 THEN 'Stable' WHEN 1 THEN 'Unstable' END AS stability_assessment,
   CASE k % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Condoms' WHEN 3 THEN 'Injectable' ELSE 'None' END
     AS family_planning_method,
-  CASE WHEN k % 5 <> 0 THEN CAST(k % 5 AS VARCHAR) END AS who_stage,
+  CASE WHEN o % 5 <> 0 THEN CAST(o % 5 AS VARCHAR) END AS who_stage,
   CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END AS voided
-FROM (SELECT *, {d20('odate')} AS vd FROM _ord)""",
+FROM (SELECT _ord.*, {d20('odate')} AS vd, k + copy AS o
+      FROM _ord, LATERAL (SELECT unnest(CASE WHEN order_status = 'P' THEN [0, 1] ELSE [0] END) AS copy))""",
     "ct_patient_pharmacy": f"""
 SELECT {K}, k * 10 + ln AS dispense_id, dd AS dispense_date,
   CASE WHEN k % 10 = 1 THEN DATE '1900-01-01' WHEN k % 10 = 2 THEN dd + 400
@@ -141,7 +143,7 @@ SELECT {K}, emr, k AS visit_id, vd AS visit_date,
   CASE WHEN k % 6 = 0 THEN 'Transitioned to adult care' END AS transition_attrition_reason,
   CASE WHEN k % 6 = 0 THEN vd + 30 END AS outcome_date,
   CASE WHEN k % 52 = 0 THEN 1 ELSE 0 END AS voided
-FROM (SELECT *, {d20('odate')} AS vd FROM _ord WHERE k % 4 = 0)""",
+FROM (SELECT *, {d20('odate')} AS vd FROM _ord)""",
     "ct_ovc": f"""
 SELECT {K}, emr, k AS visit_id, vd AS visit_date,
   DATE '2017-01-01' + CAST(patient_pk % 600 AS INTEGER) AS ovc_enrollment_date,
@@ -153,7 +155,7 @@ SELECT {K}, emr, k AS visit_id, vd AS visit_date,
   CASE WHEN k % 7 = 0 THEN 'Graduated' END AS ovc_exit_reason,
   CASE WHEN k % 7 = 0 THEN vd + 30 END AS exit_date,
   CASE WHEN k % 35 = 0 THEN 1 ELSE 0 END AS voided
-FROM (SELECT *, {d20('odate')} AS vd FROM _ord WHERE k % 5 = 0)""",
+FROM (SELECT *, {d20('odate')} AS vd FROM _ord)""",
     "hts_client_tests": f"""
 SELECT patient_pk, patient_pk_hash, site_code, k * 10 + ln AS encounter_id, {d19('sdate')} AS test_date,
   CASE WHEN ln % 2 = 0 THEN 'Initial' ELSE 'Repeat' END AS test_type,
@@ -173,7 +175,7 @@ SELECT patient_pk, patient_pk_hash, site_code, k * 10 + ln AS encounter_id, {d19
   CASE WHEN ln % 2 = 1 THEN 'No' END AS couple_discordant,
   CASE WHEN k % 2 = 0 THEN 'Facility' ELSE 'Community' END AS setting,
   'Yes' AS consent
-FROM _li WHERE k % 3 <> 0""",
+FROM _li""",
     "prep_patient": f"""
 SELECT 'P' || CAST(patient_pk AS VARCHAR) AS prep_number,
   upper(sha256('P' || CAST(patient_pk AS VARCHAR))) AS prep_number_hash,
@@ -192,7 +194,7 @@ FROM _li""",
 SELECT patient_pk, patient_pk_hash, site_code, k AS encounter_id, k AS visit_id,
   CASE WHEN k % 33 <> 0 THEN {d19('odate')} END AS visit_date,
   {", ".join(f"{gen_text(i)} AS {c}" for i, c in enumerate(PREP_VISIT_COLUMNS))}
-FROM _ord WHERE k % 3 = 0""",
+FROM _ord""",
     "prep_behaviour_risk": f"""
 SELECT patient_pk, patient_pk_hash, site_code, vd AS visit_date, k AS visit_id,
   {", ".join(f"{gen_text(i)} AS {c}" for i, c in enumerate(RISK_TEXT_COLUMNS))},
@@ -200,33 +202,33 @@ SELECT patient_pk, patient_pk_hash, site_code, vd AS visit_date, k AS visit_id,
        WHEN k % 16 <> 5 THEN 'CCC-' || CAST(k AS VARCHAR) END AS hiv_partner_ccc_number,
   CASE WHEN k % 3 = 0 THEN vd - CAST(k % 300 AS INTEGER) END AS hiv_partner_art_start_date,
   CASE WHEN k % 8 = 1 THEN 'Risk' ELSE 'No Risk' END AS client_risk
-FROM (SELECT *, CASE WHEN k % 40 <> 9 THEN {d19('odate')} END AS vd FROM _ord WHERE k % 4 = 1)""",
+FROM (SELECT *, CASE WHEN k % 40 <> 9 THEN {d19('odate')} END AS vd FROM _ord)""",
     "mnch_anc_visits": f"""
 SELECT patient_pk, patient_pk_hash, site_code, k AS visit_id, {d20('odate')} AS visit_date,
   CASE WHEN k % 5 <> 0 THEN (CASE WHEN k % 18 = 0 THEN 'KP' WHEN k % 18 = 6 THEN 'Negative' ELSE 'Unknown' END) END
     AS hiv_status_before_anc,
   CASE WHEN k % 4 = 0 THEN 'Positive' ELSE 'Negative' END AS hiv_test_final_result
-FROM _ord WHERE k % 6 = 0""",
+FROM _ord""",
     "mnch_pnc_visits": f"""
 SELECT patient_pk, patient_pk_hash, site_code, k AS visit_id, {d20('odate')} AS visit_date,
   CASE WHEN k % 18 = 1 THEN 'Positive' WHEN k % 18 = 7 THEN 'Negative' ELSE 'Unknown' END AS prior_hiv_status,
   CASE WHEN k % 5 = 0 THEN 'Positive' ELSE 'Negative' END AS hiv_test_final_result,
   CASE k % 3 WHEN 0 THEN 'Exclusive breastfeeding' WHEN 1 THEN 'mixed feeding' ELSE 'Not breastfeeding' END
     AS baby_feeding
-FROM _ord WHERE k % 6 = 1""",
+FROM _ord""",
     "mnch_mat_visits": f"""
 SELECT patient_pk, patient_pk_hash, site_code, k AS visit_id, {d20('odate')} AS visit_date,
   CASE WHEN k % 5 = 0 THEN 'Positive' ELSE 'Negative' END AS hiv_test_final_result,
   CASE WHEN k % 3 = 0 THEN 'Yes' ELSE 'No' END AS on_art_anc,
   CASE WHEN k % 4 = 2 THEN 'Yes' ELSE 'No' END AS initiated_bf
-FROM _ord WHERE k % 6 = 2""",
+FROM _ord""",
     "mnch_arts": f"""
-SELECT patient_pk, site_code, k AS art_id, {d20('odate')} AS start_art_date FROM _ord WHERE k % 7 = 0""",
+SELECT patient_pk, site_code, k AS art_id, {d20('odate')} AS start_art_date FROM _ord""",
     "mnch_enrolments": f"""
 SELECT patient_pk, site_code, k AS enrolment_id,
   CASE k % 3 WHEN 0 THEN 'KP' WHEN 1 THEN 'Positive' ELSE 'Negative' END AS hiv_status_before_anc,
   {d20('odate')} AS enrollment_date_at_mnch
-FROM _ord WHERE k % 7 = 1""",
+FROM _ord""",
 }
 
 

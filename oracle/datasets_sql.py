@@ -11,9 +11,8 @@ is written out (DuckDB sorts NULL last both ways); ``greatest`` skips NULLs.
 
 from __future__ import annotations
 
-from cohortlake.functions.values import DECIMAL_TEXT, NUMERIC_TEXT
-from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 from oracle.adapter_sql import with_tables
+from oracle.fixed import DECIMAL, NUMBER, PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 
 AS_OF = "DATE '2021-02-15'"
 EOPM = "DATE '2021-01-31'"
@@ -23,7 +22,7 @@ PK = "site_code, patient_pk"
 
 
 def isnum(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, '{NUMERIC_TEXT}'), false)"
+    return f"coalesce(regexp_matches({x}, '{NUMBER}'), false)"
 
 
 def ci(x: str) -> str:
@@ -226,7 +225,7 @@ FROM (SELECT DISTINCT {IDS} FROM vl_tx) c
 {" ".join(f"LEFT JOIN at_month m{n} ON {on_key('c', f'm{n}')} AND m{n}.months_on = {n}" for n in _months)}""")
 
 # ---------------------------------------------------------------- D15
-_dec = f"CASE WHEN regexp_matches(test_result, '{DECIMAL_TEXT}') THEN TRY_CAST(trim(test_result) AS DECIMAL(18, 2)) END"
+_dec = f"CASE WHEN regexp_matches(test_result, '{DECIMAL}') THEN TRY_CAST(trim(test_result) AS DECIMAL(18, 2)) END"
 _fam1 = f"{ci('test_name')} IN ('HGB', 'HBSAG', 'HBA1C')"
 _fam2 = f"{ci('test_name')} IN ('FBS', 'BLOOD SUGAR')"
 SQL["d15_latest_diabetes_test"] = with_tables(["ct_patient_labs"], f"""
@@ -311,7 +310,7 @@ SELECT num, patient_pk, patient_pk_hash, site_code, visit_date, visit_id, {", ".
        hiv_partner_ccc_number, hiv_partner_art_start_date, client_risk,
        CASE WHEN {ci('client_risk')} = 'RISK' THEN 1 ELSE 0 END AS eligible_prep,
        visit_date AS assessment_visit_date, CASE WHEN visit_date IS NULL THEN 0 ELSE 1 END AS screened_prep,
-       upper(sha256(left(CAST(hiv_partner_ccc_number AS VARCHAR), 30))) AS hiv_partner_ccc_number_hash,
+       upper(sha256(CAST(hiv_partner_ccc_number AS VARCHAR))) AS hiv_partner_ccc_number_hash,
        {AS_OF} AS load_date
 FROM ra WHERE num = 1""")
 
@@ -397,7 +396,8 @@ D09_TABLES = D06_TABLES + ["ct_patient", "ct_ipt"]
 SQL["d09_latest_obs"] = with_tables(D09_TABLES, D09_CTES, "SELECT * FROM d09")
 
 # ---------------------------------------------------------------- D10
-_weeks = f"CASE WHEN {isnum('o.gestation_age')} THEN floor(TRY_CAST(replace(o.gestation_age, ',', '') AS DOUBLE)) END"
+_weeks_text = "TRY_CAST(replace(o.gestation_age, ',', '') AS DOUBLE)"
+_weeks = f"CASE WHEN {isnum('o.gestation_age')} AND abs({_weeks_text}) <= 10000 THEN floor({_weeks_text}) END"
 _yes = "= 'YES'"
 
 
@@ -472,3 +472,6 @@ SELECT site_code, patient_pk_hash, patient_pk, breastfeeding, pregnant, start_ar
             ELSE 'Missing' END AS pbfw_category,
        anc_date1 AS green_card_anc_date1
 FROM final_rows""")
+
+# D10 over the whole of D09: the same rows by another plan.
+SQL["d10_pbfw_from_obs"] = SQL["d10_pbfw"]

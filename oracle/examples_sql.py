@@ -3,7 +3,7 @@ Reporting date 1998-08-15 (end of previous month 1998-07-31)."""
 
 from __future__ import annotations
 
-from cohortlake.functions.values import NUMERIC_TEXT
+from oracle.fixed import NUMBER
 
 ORD = ("(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date "
        "FROM orders)")
@@ -13,7 +13,7 @@ LINES = ("(SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_returnflag, CA
 
 
 def isnum(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, '{NUMERIC_TEXT}'), false)"
+    return f"coalesce(regexp_matches({x}, '{NUMBER}'), false)"
 
 
 SQL: dict[str, str] = {}
@@ -148,7 +148,7 @@ SELECT c_custkey, upper(sha256(substring(c_name, 1, 30))) AS name_hash,
        upper(sha256(substring(CAST(c_custkey AS VARCHAR), 1, 64))) AS key_hash
 FROM customer"""
 
-SQL["max_date_per_site_broadcast_join"] = f"""
+SQL["max_date_per_site_salted_join"] = f"""
 WITH n AS (
   SELECT c.c_nationkey, max(o.order_date) AS nation_last_order
   FROM {ORD} o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY c.c_nationkey)
@@ -195,3 +195,14 @@ SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, s.segment_max_balance, s.segmen
 FROM customer c
 LEFT JOIN (SELECT c_mktsegment, max(c_acctbal) AS segment_max_balance, count(*) AS segment_customers
            FROM customer GROUP BY 1) s ON s.c_mktsegment = c.c_mktsegment"""
+
+SQL["banded_shipping_days"] = f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN abs(date_diff('day', order_date, ship_date)) < 90 THEN 0
+            WHEN abs(date_diff('day', order_date, ship_date)) >= 90 THEN 1 END AS late
+FROM {LINES}"""
+
+SQL["expected_or_default_return"] = f"""
+SELECT l_orderkey, l_linenumber,
+       coalesce(CASE WHEN l_returnflag = 'R' THEN ship_date END, order_date + 30) AS expected_return
+FROM {LINES}"""

@@ -12,21 +12,16 @@ sys.path.insert(0, ROOT)
 def spark():
     from pyspark.sql import SparkSession
 
-    from cohortlake.session import configure
+    from cohortlake.session import with_settings
 
     s = (
-        SparkSession.builder.master("local[*]")
-        .appName("cohortlake-tests")
+        with_settings(SparkSession.builder.master("local[*]").appName("cohortlake-tests"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cohortlake-test-warehouse-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortlake-test-ckpt-"))
-    configure(s)
     yield s
     s.stop()
 

@@ -138,7 +138,7 @@ def test_latest_obs_multiplies_rows_for_duplicate_last_visits(spark):
                                 "tb_screening string, voided int")
     d06 = spark.createDataFrame([(1, 1, D(2021, 1, 10), D(2021, 4, 10))],
                                 "site_code int, patient_pk bigint, last_encounter_date date, next_appointment_date date")
-    out = obs.latest_obs(patients, v, ipt, visit_plans.last_visit(v, AS_OF), d06,
+    out = obs.latest_obs(patients, v, ipt, d06,
                          visit_plans.latest_weight_height(v, AS_OF), AS_OF)
     got = rows(out, "adherence", "differentiated_care", "who_stage", "tb_screening", "on_mmd", "age_last_visit",
                "latest_weight")
@@ -165,5 +165,5 @@ def test_latest_obs_duplicate_patient_rows_multiply_ages(spark):
                                     "site_code int, patient_pk bigint, last_encounter_date date, "
                                     "next_appointment_date date")
         d08 = spark.createDataFrame([], "patient_pk_hash string, site_code int, weight double, height double")
-        out = obs.latest_obs(patients, empty_visits, ipt, d01, d06, d08, AS_OF)
+        out = obs.latest_obs(patients, empty_visits, ipt, d06, d08, AS_OF)
         assert sorted(r.age_last_visit for r in out.collect()) == ages

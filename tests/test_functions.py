@@ -91,10 +91,26 @@ def test_banded_days(spark):
     assert got == [0, 1, 1, None]
 
 
-def test_hash_id_cuts_at_30_characters(spark):
+def test_hash_id_reads_the_whole_text_unless_a_width_is_given(spark):
     s30, s31 = "x" * 30, "x" * 30 + "y"
     got = evaluate(spark, [s30, s31, None], hash_id("x"))
-    assert got[0] == got[1] and len(got[0]) == 64 and got[0] == got[0].upper() and got[2] is None
+    assert got[0] != got[1] and len(got[0]) == 64 and got[0] == got[0].upper() and got[2] is None
+    cut = evaluate(spark, [s30, s31, None], hash_id("x", 30))
+    assert cut[0] == cut[1] == got[0]
+
+
+def test_numbers_beyond_a_double_are_null(spark):
+    assert evaluate(spark, ["1e400", "-1e400", "1e300"], lenient_number("x")) == [None, None, 1e300]
+
+
+def test_added_days_keep_the_time_of_day(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 14, 30), D(2020, 1, 1))], "t timestamp, d date")
+    none = F.lit(None)
+    r = df.select(plus_days_if_null(none.cast("timestamp"), "t").alias("t"), plus_days_if_null(none.cast("date"), "d").alias("d"),
+                  repair_return_date(none.cast("timestamp"), "t").alias("r")).first()
+    assert (r.t, r.d, r.r) == (dt.datetime(2020, 1, 31, 14, 30), D(2020, 1, 31), dt.datetime(2020, 1, 31, 14, 30))
 
 
 def test_contains_flags_case_insensitive_and_null(spark):

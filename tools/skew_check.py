@@ -45,9 +45,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from cohortlake.operators import (follow_up_in_window, join_group_facts, latest_by_group, latest_per_key,
                                       rows_at_event, top_n_per_key, value_at_months)
-    from cohortlake.session import configure
 
-    configure(spark)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # one task = one partition
     keys = 100_000
     ev = spark.range(0, n, 1, 16).select(
