@@ -69,6 +69,16 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Rows of a narrow table (tens of bytes each) up to which it is sent to every executor.
+BROADCAST_ROWS = 400_000
+
+
+def sized(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` (a written one, so that counting reads footers only) marked for
+    broadcast if it has at most ``limit`` rows; a larger one joins through the shuffle."""
+    return F.broadcast(table) if table.count() <= limit else table
+
+
 #: Ways that rows with one key are spread over when they look up a fact.
 WAYS = 32
 
@@ -78,8 +88,11 @@ def spread_lookup(detail: DataFrame, facts: DataFrame, on: str, by: Column, ways
     ``ways`` ways, so that a key with a third of all rows is no single task's.
 
     The detail row's share is a pure function of ``by``; facts are repeated once
-    per share. Keep ``facts`` to the keys that several rows have.
+    per share. Keep ``facts`` to the keys that several rows have; it is a written
+    table, and at most ``BROADCAST_ROWS`` facts are broadcast instead.
     """
+    if facts.count() <= BROADCAST_ROWS:
+        return detail.join(F.broadcast(facts), on, how)
     share = "__share"
     d = detail.withColumn(share, F.pmod(F.xxhash64(by), F.lit(ways)).cast("int"))
     f = facts.withColumn(share, F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))

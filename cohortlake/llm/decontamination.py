@@ -69,8 +69,7 @@ def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int
     """(doc_id, item_id, n_item_shingles, n_shared, containment) of every document and item
     with 100 * shared >= percent * item shingles."""
     index = scratch.table(item_index(items, percent, item_id, text), "index")
-    if index.count() <= BROADCAST_SHINGLES:
-        index = F.broadcast(index)
+    index = common.sized(index, BROADCAST_SHINGLES)
     probes = _shingles(docs, [F.col(doc_id).alias("doc_id")], text)
     # one pass over the texts; only shingles that some item has are kept
     met = probes.join(index, ["h", "g"]).filter((F.col("class_need") == 1) | (F.col("length") >= 2 * (F.col("class_need") + WIDTH - 1) - 1))
@@ -95,8 +94,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that contain a benchmark item go."""
     found = contained(docs, _benchmark(spark, sf_dir), Scratch(spark, "stage-leaks"))
-    leaked = found.select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti")
+    leaked = found.select(F.col("doc_id").alias("__leaked")).distinct()
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["__leaked"]), "left_anti")
 
 
 OP8_SQL = r"""

@@ -161,7 +161,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, scratch: Scra
     level = F.when(F.col("missing").isNull(), F.lit(0)).otherwise(F.col("level"))
     made = made.select("conversation", "turn", "place", F.lit("call").alias("kind"), "call_id", "name", status.alias("status"), level.alias("level"),
                        F.coalesce("missing", F.lit(0)).alias("missing"), F.col("arguments").alias("payload"))
-    known = schemas.select("name", "schema")
+    known = scratch.table(schemas.select("name", "schema"), "schemas")
     made = common.spread_lookup(made, known, "name", F.concat_ws(":", "conversation", "turn", "place"))
     status = (F.when(F.col("call_id").isNull(), "no_id").when(F.col("first").isNull(), "orphan_result").when(F.col("at") < F.col("first"), "early_result")
               .when(F.col("at") == F.col("answer"), "answer").otherwise("repeated_result"))
