@@ -16,7 +16,7 @@ shares of a class), rows are ranked within their bucket only.
 Defined results: a null text has size 0; a null source is a source of its own,
 sorted last; a source of size 0 has target 0 and emits nothing; equal rows
 are interchangeable; an empty table gives an empty table; other columns pass
-through, the added ones carry ``prefix``.
+through, but columns that start with ``prefix`` are replaced by the added ones.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _number(text: Column, digits: int) -> Column:
 
 def _bucketed(df: DataFrame, source: str, doc_id: str, text: str, p: str) -> DataFrame:
     size = F.size(common.words(F.col(text))).cast("long")
-    out = df.withColumn(f"{p}size", size)
+    out = df.drop(*[c for c in df.columns if c.startswith(p)]).withColumn(f"{p}size", size)
     return out.withColumns({
         f"{p}source": F.when(F.col(source).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source))),
         f"{p}class": F.floor(F.log(F.col(f"{p}size") + 1) * CLASSES_PER_E).cast("int"),

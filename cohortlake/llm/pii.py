@@ -3,8 +3,8 @@ nearby adjust their score. Built-in expressions only.
 
 Defined results: a null text counts as empty (no spans); any length is scanned
 whole; repeated rows give repeated results; an empty table gives an empty
-table; columns beside the text pass through, and the operator's own columns
-are added under ``prefix`` so that they cannot clash.
+table; columns beside the text pass through, but columns that start with
+``prefix`` are replaced by the operator's own.
 """
 
 from __future__ import annotations
@@ -115,6 +115,7 @@ def find(df: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
 
     Base kinds are reported at any score; the others from ``REPORT_FROM`` on.
     """
+    df = df.drop(*[c for c in df.columns if c.startswith(prefix)])
     body = F.coalesce(F.col(text), F.lit(""))
     might = {"email": body.contains("@"), "phone": body.contains("+")}
     number = body.rlike("[0-9]")

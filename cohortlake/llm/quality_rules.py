@@ -3,8 +3,8 @@ that lose too much text, or that fail the base rules, are rejected.
 
 Defined results: null, empty and blank texts have no words and are rejected;
 texts of any length are read whole; repeated rows give repeated results; an
-empty table gives an empty table; other columns pass through, and the added
-columns carry ``prefix`` so that they cannot clash.
+empty table gives an empty table; other columns pass through, and those named
+like an added column (``prefix`` and its name) are replaced.
 """
 
 from __future__ import annotations

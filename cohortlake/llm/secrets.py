@@ -56,6 +56,7 @@ def _keeps(kind: str):
 
 def candidates(df: DataFrame, text: str = "text", prefix: str = "secret_") -> DataFrame:
     """Add ``<prefix>spans``: every candidate's span, sorted by start, then kind."""
+    df = df.drop(*[c for c in df.columns if c.startswith(prefix)])
     body = F.coalesce(F.col(text), F.lit(""))
     might = {"access": body.contains("AKIA"), "pem": body.contains("-----BEGIN "), "jwt": body.contains("eyJ"),
              "code_host": body.contains("gh"), "assign": body.rlike("[:=]")}
