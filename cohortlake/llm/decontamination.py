@@ -9,9 +9,9 @@ partition's largest item needs, finds every candidate. A document only meets
 partitions whose items its length has room for. Candidates are verified by
 counting the distinct shingles that document and item share.
 
-A shingle is five lower-cased words; it is identified by two hashes of its
-words (96 bits). Items and documents of one to four words are one shingle of
-the whole sequence, so a short item is found in a document that is just it.
+A shingle is the text of five lower-cased words with single spaces, so equal
+shingles are equal texts. Items and documents of one to four words are one shingle
+of the whole sequence, so a short item is found in a document that is just it.
 
 Defined results: null, empty and blank texts hold no shingles and match nothing;
 texts are read whole; repeated rows count once; rows that share a doc_id give
@@ -29,40 +29,34 @@ from cohortlake.llm.common import Scratch
 
 WIDTH = 5
 PERCENT = 80
-BROADCAST_SHINGLES = 1_000_000  # item shingles (28 bytes each) up to which they are sent to every executor
+BROADCAST_SHINGLES = 200_000  # item shingles (about 100 bytes each) up to which they are sent to every executor
 
 
-def shingle_ids(text: Column) -> Column:
-    """array<struct<h:bigint,g:int>> of a text's shingles in order."""
-    def of(words: Column) -> Column:
-        def one(i: Column) -> Column:
-            five = [F.get(words, i + j) for j in range(WIDTH)]
-            return F.struct(F.xxhash64(*five).alias("h"), F.hash(*five).alias("g"))
-
-        places = F.sequence(F.lit(0), F.greatest(F.size(words) - WIDTH, F.lit(0)))
-        return F.when(F.size(words) > 0, F.transform(places, one)).otherwise(F.array().cast("array<struct<h:bigint,g:int>>"))
-
-    return common.let(common.words(F.lower(text)), of)
+#: Fixed value: at the start of each word, that word and the four behind it. The
+#: look-behind and possessive loops keep it linear in any text.
+FIVE = r"(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++ [^ ]++ [^ ]++))[^ ]++"
 
 
 def _shingles(df: DataFrame, carried: list[Column], text: str) -> DataFrame:
-    """One row per shingle with the carried columns and the text's length."""
-    rows = df.select(*carried, F.xxhash64(text).alias("row"), F.length(text).alias("length"), F.explode(shingle_ids(F.col(text))).alias("id"))
-    return rows.select("*", "id.h", "id.g").drop("id")
+    """One row per shingle place with the carried columns, the row's digest and the text's length."""
+    plain = F.btrim(F.regexp_replace(F.lower(text), common.BREAK_RUN, " "))
+    rows = df.select(*carried, F.xxhash64(text).alias("row"), F.length(text).alias("length"), plain.alias("plain"))
+    rows = rows.withColumn("five", F.regexp_extract_all("plain", F.lit(FIVE), F.lit(1)))
+    found = F.when(F.size("five") > 0, F.col("five")).when(F.col("plain") != "", F.array("plain"))
+    return rows.withColumn("shingle", F.explode(found)).drop("plain", "five")
 
 
 def item_index(items: DataFrame, percent: int, item_id: str, text: str) -> DataFrame:
-    """(item_id, item, h, g, m, need, sketched): the distinct shingles of every item."""
-    one = _shingles(items, [F.col(item_id).alias("item_id")], text).select("item_id", F.col("row").alias("item"), "h", "g").distinct()
+    """(item_id, item, shingle, m, need, class_need, sketched): the distinct shingles of every item."""
+    one = _shingles(items, [F.col(item_id).alias("item_id")], text).select("item_id", F.col("row").alias("item"), "shingle").distinct()
     sizes = one.groupBy("item_id", "item").agg(F.count("*").alias("m"))
     need = F.ceil(F.col("m") * percent / 100).cast("long")
     sizes = sizes.withColumn("need", need).withColumn("size_class", F.floor(F.log2(F.col("m") + 0.5)).cast("int"))
     longest = sizes.groupBy("size_class").agg(F.max(F.col("m") - F.col("need") + 1).alias("sketch"), F.min("need").alias("class_need"))
-    sizes = sizes.join(longest, "size_class")
-    place = F.row_number().over(Window.partitionBy("item_id", "item").orderBy("h", "g"))
-    sizes = sizes.withColumnsRenamed({"item_id": "own_id", "item": "own"})
+    sizes = sizes.join(longest, "size_class").withColumnsRenamed({"item_id": "own_id", "item": "own"})
+    place = F.row_number().over(Window.partitionBy("item_id", "item").orderBy(F.xxhash64("shingle"), "shingle"))
     full = one.join(sizes, F.col("item_id").eqNullSafe(F.col("own_id")) & (F.col("item") == F.col("own")))
-    return full.select("item_id", "item", "h", "g", "m", "need", "class_need", (place <= F.col("sketch")).alias("sketched"))
+    return full.select("item_id", "item", "shingle", "m", "need", "class_need", (place <= F.col("sketch")).alias("sketched"))
 
 
 def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int = PERCENT, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -72,8 +66,8 @@ def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int
     index = common.sized(index, BROADCAST_SHINGLES)
     probes = _shingles(docs, [F.col(doc_id).alias("doc_id")], text)
     # one pass over the texts; only shingles that some item has are kept
-    met = probes.join(index, ["h", "g"]).filter((F.col("class_need") == 1) | (F.col("length") >= 2 * (F.col("class_need") + WIDTH - 1) - 1))
-    met = scratch.table(met.select("doc_id", "row", "item_id", "item", "h", "g", "m", "need", "sketched").distinct(), "met")
+    met = probes.join(index, "shingle").filter((F.col("class_need") == 1) | (F.col("length") >= 2 * (F.col("class_need") + WIDTH - 1) - 1))
+    met = scratch.table(met.select("doc_id", "row", "item_id", "item", "shingle", "m", "need", "sketched").distinct(), "met")
     pair = ["doc_id", "row", "item_id", "item"]
     counted = met.groupBy(*pair).agg(F.count("*").alias("n_shared"), F.first("m").alias("m"), F.first("need").alias("need"), F.max("sketched").alias("candidate"))
     found = counted.filter("candidate and n_shared >= need").select("doc_id", "item_id", "m", "n_shared")
