@@ -46,7 +46,7 @@ def test_finds_every_item_in_long_documents(spark, monkeypatch):
     a = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     want = brute(docs, items)
-    assert len(want) > 60
+    assert len(want) > 30
     for limit in (decontamination.BROADCAST_SHINGLES, 0):  # both ways of joining
         monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", limit)
         got = decontamination.contained(a, b, Scratch(spark, "test")).collect()

@@ -2,6 +2,8 @@
 
 import shutil
 
+import numpy as np
+
 import corpus_pipeline
 from cohortlake.llm import common, decontamination, mixing, near_dup, pii, quality_classifier, quality_rules, secrets, toxicity
 from cohortlake.llm.queries import QUERIES, SQL
@@ -55,7 +57,7 @@ def test_odd_rows_pass_every_operator(spark):
     empty = docs.limit(0)
     items = spark.createDataFrame([(1, long), (None, None), (2, "word")], "item_id long, text string")
     scratch = lambda: common.Scratch(spark, "odd")
-    cnn = toxicity.fit([], [], [])
+    cnn = toxicity.fit([], np.empty(0), np.empty(0))
     per_row = [
         lambda d: mixing.mix(d, scratch()), lambda d: pii.mask(pii.find(d)), lambda d: secrets.scan(d, scratch()), quality_rules.clean,
         lambda d: near_dup.classes(d, scratch(), 85), lambda d: toxicity.score(d, cnn, {}), quality_classifier.measured,

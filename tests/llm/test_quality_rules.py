@@ -32,10 +32,11 @@ def test_metrics_equal_the_definitions(spark):
 
 
 def test_lines_are_removed_before_documents_are_judged(spark):
-    prose = "\n".join(f"This is sentence number {i} of a plain text, and it says something else each time." for i in range(6))
+    rng = random.Random(5)
+    prose = "\n".join(" ".join(f"w{rng.randint(0, 9999)}" for _ in range(14)) + "." for i in range(6))
     noisy = prose + "\nHome | News | About | Contact\nLicensed under the Apache License, Version 2.0.\nOK\nBUY NOW BUY TODAY CHEAP\n" + prose.split("\n")[0]
-    shouting = "\n".join(f"THIS IS LINE {i} OF A VERY LOUD TEXT WITH MANY CAPITALS!!" for i in range(9))
-    half = prose + "\n" + "\n".join(f"w{i} w{i} w{i} w{i} w{i} w{i} w{i} w{i} w{i} w{i}" for i in range(20))
+    shouting = "\n".join(" ".join(f"LOUD{rng.randint(0, 9999)}" for _ in range(9)) + "!!" for i in range(9))
+    half = prose + "\n" + "\n".join(" ".join(f"x{i}{j} x{i}{j}" for j in range(5)) for i in range(10, 30))
     df = spark.createDataFrame([(1, prose), (2, noisy), (3, shouting), (4, half)], "doc_id long, text string")
     got = {r.doc_id: r for r in quality_rules.clean(df).collect()}
     assert got[1].quality_kept and got[1].quality_text == prose and got[1].quality_n_failed_lines == 0
