@@ -51,3 +51,10 @@ def test_no_cartesian_or_nested_loop_join(graph, ds):
 @pytest.mark.parametrize("ds", ["d01", "d03", "d06", "d13", "d14"])
 def test_soft_delete_filter_reaches_the_scan(graph, ds):
     assert "EqualTo(voided,0)" in plan(graph.get(ds))
+
+
+def test_last_visit_rows_reach_the_exchange_through_a_partial_limit(graph):
+    """Every exchange of visit rows lies above a partial limit on rank."""
+    p = plan(graph.get("d09"))
+    assert len(re.findall(r"WindowGroupLimit \[[^\]]*\], \[visit_date[^\]]*\], rank\(", p)) >= 2
+    assert "Partial" in p
