@@ -36,6 +36,7 @@ from cohortlake.llm.common import Scratch
 
 REVISIT_BYTES = 1000  # payloads below are always kept
 CHUNK = 1 << 20
+TASKS = 20_000  # tasks at most that archives are spread over
 LEVEL = 6
 
 
@@ -155,6 +156,16 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return rows.mapInArrow(run, "archive int, place long, page_id long, size long, sha1 string, sha256 binary")
 
 
+def _archives(records: DataFrame) -> int:
+    return (records.agg(F.max("archive")).first()[0] or 0) + 1
+
+
+def by_archive(rows: DataFrame, archives: int, order: str) -> DataFrame:
+    """An archive's rows together and in order, about one archive a task: the rows are few, but
+    each stands for a record to read or write, so small partitions must not be joined."""
+    return rows.repartition(min(archives, TASKS), "archive").sortWithinPartitions("archive", order)
+
+
 def decisions(records: DataFrame, scratch: Scratch, least: int = REVISIT_BYTES) -> DataFrame:
     """(archive, place, kept_id, revisit) for the records of equal payloads of at least
     ``least`` bytes: the largest page_id, then the first in archive order, is kept."""
@@ -210,7 +221,7 @@ def normalise(records: DataFrame, revisits: DataFrame, folder: str) -> DataFrame
     archives = records.select("archive").distinct().select("archive", F.lit(None).cast("long").alias("place"), F.lit(None).cast("long").alias("kept_id"), F.lit(False).alias("again"))
     rows = archives.unionByName(revisits.withColumn("again", F.lit(True)))
     # one row per archive and revisit; a task holds one archive's revisits at a time
-    rows = rows.repartition("archive").sortWithinPartitions("archive", "place")
+    rows = by_archive(rows, _archives(records), "place")
     return rows.mapInArrow(run, "archive int, place long, offset long, length long")
 
 
@@ -241,7 +252,7 @@ def read_back(index: DataFrame, folder: str) -> DataFrame:
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-    rows = index.select("archive", "offset", "length")
+    rows = by_archive(index.select("archive", "offset", "length"), _archives(index), "offset")
     return rows.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
