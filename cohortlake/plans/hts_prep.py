@@ -18,6 +18,7 @@ from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 # Fixed value: tests before this date are not reported.
 HTS_SINCE = dt.date(2015, 1, 1)
 
+# Columns a test carries, in source order.
 HTS_COLUMNS = [
     "test_date", "encounter_id", "site_code", "patient_pk", "patient_pk_hash", "emr", "project", "date_extracted",
     "ever_tested_for_hiv", "months_since_last_test", "client_tested_as", "entry_point", "test_strategy",
@@ -76,49 +77,35 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
     each with the test(s) done the same day. Month 3 reports days since
     enrolment. Rows are distinct.
 
-    Month 1 and month 3 are each reduced to their distinct output values per
-    key before they are combined, so the per-key combination stays as small
-    as the result itself.
+    The tests are read once: the dates of month 1 and month 3 are stacked and
+    joined to the tests of their day together, and then gathered per key into
+    one set for each month, which is as large as its part of the result.
     """
     a = AsOf.of(as_of)
     pkey = ["prep_number", "patient_pk", "site_code"]
     enrol = prep_patients.select(*pkey, "prep_enrollment_date")
-    tests = hts.select(*KEY, F.to_date("test_date").alias("day"), "test_date", "final_test_result")
+    tests = hts.select(*KEY, F.to_date("test_date").alias("day"), "test_date", F.col("final_test_result").alias("result"))
     refills = prep_pharmacy.filter(F.col("prep_number").isNotNull()).select(*pkey, "dispense_id", "dispense_date")
+    days_in = day_diff("prep_enrollment_date", "dispense_date").alias("days_in")
 
     first = first_per_key(refills, pkey, "dispense_date", ["dispense_id"]).join(enrol, pkey, "inner")
-    m1 = (
-        first.withColumn("refil1_diff_in_days", day_diff("prep_enrollment_date", "dispense_date"))
-        .filter(F.col("refil1_diff_in_days").between(30, 37))
-        .withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
-        .select(*KEY, "refil1_diff_in_days",
-                F.col("final_test_result").alias("test_results_month1"),
-                F.col("test_date").alias("test_date_month1"),
-                F.col("dispense_date").alias("dispense_date_month1"))
-        .distinct()
-    )
-    anchors = m1.select(*KEY, F.col("dispense_date_month1").alias("m1_date")).distinct()
-    m3 = (
-        follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67)
-        .withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
-        .join(enrol, pkey, "left")
-        .select(*KEY,
-                day_diff("prep_enrollment_date", "dispense_date").alias("refil3_diff_in_days"),
-                F.col("final_test_result").alias("test_results_month3"),
-                F.col("test_date").alias("test_date_month3"),
-                F.col("dispense_date").alias("dispense_date_month3"))
-        .distinct()
-    )
+    month1 = first.select(*KEY, days_in, "dispense_date").filter(F.col("days_in").between(30, 37)).distinct()
+    anchors = month1.select(*KEY, F.col("dispense_date").alias("m1_date")).distinct()
+    month3 = follow_up_in_window(refills, anchors, KEY, "dispense_date", "m1_date", 60, 67).join(enrol, pkey, "left")
+    month3 = month3.select(*KEY, days_in, "dispense_date").distinct()
+    dates = month1.withColumn("month", F.lit(1)).unionByName(month3.withColumn("month", F.lit(3)))
+    tested = dates.withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
+    one = F.struct("days_in", "result", "test_date", "dispense_date")
+    months = tested.groupBy(*KEY).agg(*[F.collect_set(F.when(F.col("month") == m, one)).alias(f"m{m}") for m in (1, 3)])
     clients = prep_patients.filter(F.col("prep_number").isNotNull()).select(
         "prep_number", "prep_number_hash", "patient_pk", "patient_pk_hash", "prep_enrollment_date", "site_code"
     ).distinct()
-    return (
-        clients.join(m1, KEY, "left").join(m3, KEY, "left")
-        .select(
-            "prep_number", "patient_pk", "patient_pk_hash", "prep_number_hash", "site_code",
-            "refil1_diff_in_days", "test_results_month1", "test_date_month1", "dispense_date_month1",
-            "refil3_diff_in_days", "test_results_month3", "test_date_month3", "dispense_date_month3",
-            a.load_date(),
-        )
-        .distinct()
-    )
+    out = clients.join(months, KEY, "left").withColumn("m1", F.explode_outer("m1")).withColumn("m3", F.explode_outer("m3"))
+    return out.select(
+        "prep_number", "patient_pk", "patient_pk_hash", "prep_number_hash", "site_code",
+        *[F.col(f"m{m}.{field}").alias(name.format(m))
+          for m in (1, 3)
+          for field, name in [("days_in", "refil{}_diff_in_days"), ("result", "test_results_month{}"),
+                              ("test_date", "test_date_month{}"), ("dispense_date", "dispense_date_month{}")]],
+        a.load_date(),
+    ).distinct()

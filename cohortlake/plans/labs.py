@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import below_or_in, ci_equals, ci_in, decimal_text, range_by_family
-from cohortlake.operators import first_per_key, latest_per_key, live, top_n_per_key, value_at_months
+from cohortlake.operators import first_per_key, latest_per_key, live, top_n_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -22,6 +22,7 @@ DIABETES_FAMILIES = [
     (["HgB", "HbsAg", "HBA1C"], 0.0, 6.5, True),
     (["FBS", "Blood Sugar"], 0.0, 7.0, False),
 ]
+# Columns a viral load carries, in source order.
 VL_COLUMNS = ["patient_id", "site_code", "patient_pk", "patient_pk_hash", "patient_id_hash", "visit_id",
               "ordered_by_date", "reported_by_date", "test_name", "test_result", "emr", "project"]
 
@@ -56,27 +57,31 @@ def viral_load_intervals(labs: DataFrame, art: DataFrame, as_of, months: Sequenc
     """Per patient with a live viral load and a live treatment record, the
     first result whose calendar month is exactly 6/12/18/24 months after the
     treatment start, with its date and suppressed flag (< 200 copies or a
-    "not detected" word)."""
+    "not detected" word).
+
+    The labs are read once: results are reduced to the first of each (key,
+    patient id, calendar month) with a partial aggregation, which also keeps every client,
+    and the flag is computed on the few results that are left.
+    """
     a = AsOf.of(as_of)
-    vl = live(viral_loads(labs)).withColumn(
-        "vl_sup", below_or_in("test_result", 200.0, SUPPRESSED_WORDS)
-    )
-    tx = live(art)
-    clients = (
-        vl.select(*KEY, "patient_id").distinct()
-        .join(tx.select(*KEY, "patient_pk_hash", "patient_id_hash"), KEY, "inner")
-        .distinct()
-    )
-    wide = value_at_months(
-        vl, tx, KEY, "ordered_by_date", "start_art_date", months,
-        ["test_result", "ordered_by_date", "vl_sup"], tie=LAB_TIE,
-        name=lambda m, v: {"test_result": f"vl_{m}_month", "ordered_by_date": f"vl_{m}_month_date",
-                           "vl_sup": f"vl_{m}_month_sup"}[v],
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    first = F.min(F.struct(F.col("ordered_by_date").alias("at"), *[F.col(c).alias(f"tie_{c}") for c in LAB_TIE],
+                           F.col("test_result").alias("result")))
+    monthly = live(viral_loads(labs)).groupBy(*KEY, "patient_id", month("ordered_by_date").alias("__month")).agg(first.alias("__first"))
+    tx = live(art).select(*KEY, "patient_pk_hash", "patient_id_hash", month("start_art_date").alias("__start"))
+    months_on = F.col("__month") - F.col("__start")
+    wide = monthly.join(tx, KEY).groupBy(*KEY).agg(
+        F.collect_set(F.struct("patient_id", "patient_pk_hash", "patient_id_hash")).alias("__clients"),
+        *[F.min(F.when(months_on == m, F.col("__first"))).alias(f"__m{m}") for m in months],
     )
-    return clients.join(wide, KEY, "left").select(
-        "patient_pk", "patient_id", "site_code", "patient_pk_hash", "patient_id_hash",
-        *[c for m in months for c in (f"vl_{m}_month", f"vl_{m}_month_date", f"vl_{m}_month_sup")],
-        a.load_date(),
+    values = []
+    for m in months:
+        result = F.col(f"__m{m}.result")
+        values += [result.alias(f"vl_{m}_month"), F.col(f"__m{m}.at").alias(f"vl_{m}_month_date"),
+                   F.when(F.col(f"__m{m}").isNotNull(), below_or_in(result, 200.0, SUPPRESSED_WORDS)).alias(f"vl_{m}_month_sup")]
+    return wide.withColumn("__client", F.explode("__clients")).select(
+        "patient_pk", "__client.patient_id", "site_code", "__client.patient_pk_hash", "__client.patient_id_hash",
+        *values, a.load_date(),
     )
 
 
