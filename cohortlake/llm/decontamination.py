@@ -87,8 +87,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that contain a benchmark item go."""
-    found = contained(docs, _benchmark(spark, sf_dir), Scratch(spark, "stage-leaks"))
-    leaked = found.select(F.col("doc_id").alias("__leaked")).distinct()
+    scratch = Scratch(spark, "stage-leaks")
+    found = contained(docs, _benchmark(spark, sf_dir), scratch)
+    leaked = common.sized(scratch.table(found.select(F.col("doc_id").alias("__leaked")).distinct(), "leaked"))
     return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["__leaked"]), "left_anti")
 
 
