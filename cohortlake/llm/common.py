@@ -46,6 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Rows of a narrow table that one task writes where their number is known.
+ROWS_A_TASK = 50_000
+
+
 class Scratch:
     """Tables in the shared folder. Writing one cuts the lineage: a lost
     executor costs only the tasks that read it, never the steps before it."""
@@ -57,7 +61,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write and read again. ``rows``, if the number of rows is known not to be
+        greater, lets a small table be written by few tasks, ``ROWS_A_TASK`` each."""
+        if rows is not None:
+            df = df.coalesce(1 + rows // ROWS_A_TASK)
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
