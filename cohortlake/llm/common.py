@@ -76,6 +76,14 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(conf).delete(path, True)
 
+    def keep_only(self, *names: str) -> None:
+        """Delete all tables but these."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(conf)
+        if fs.exists(root):
+            self.drop(*({s.getPath().getName() for s in fs.listStatus(root)} - {*names}))
+
 
 #: Rows of a narrow table (tens of bytes each) up to which it is sent to every executor.
 BROADCAST_ROWS = 400_000

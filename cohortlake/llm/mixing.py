@@ -103,6 +103,7 @@ def mix(df: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, mos
         F.col("source_size").alias(f"{p}source_size"), F.col("target").alias(f"{p}target"),
     )
     facts = scratch.table(facts, "facts")
+    scratch.keep_only("facts")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(f"{p}size", doc_id, F.md5(text)))
     out = rows.withColumn(f"{p}place", place).join(facts, keys)
     end = F.col(f"{p}before") + F.col(f"{p}place")

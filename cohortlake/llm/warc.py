@@ -261,7 +261,9 @@ def archive(pages: DataFrame, scratch: Scratch, folder: str | None = None) -> tu
     folder = folder or scratch.path("warc")
     records = scratch.table(write_archives(pages, folder), "records")
     revisits = scratch.table(decisions(records, scratch), "revisits")
-    return scratch.table(normalise(records, revisits, folder), "index"), folder
+    index = scratch.table(normalise(records, revisits, folder), "index")
+    scratch.drop("records", "revisits", "kept")
+    return index, folder
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     scratch = common.Scratch(spark, "pipeline")
-    docs = common.documents(spark, sf_dir)
+    docs, before = common.documents(spark, sf_dir), []
     for name, stage in STAGES:
         docs = scratch.table(stage(spark, docs, sf_dir), name)
+        scratch.drop(*before)
+        before = [name]
     return docs
