@@ -7,7 +7,8 @@ import __spark_entry__ as entry_mod
 from oracle.compare import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry_mod.queries())
+# the training-text queries (op*, pipeline) have tests of their own and may be absent
+NAMES = sorted(n for n in entry_mod.queries() if not n.startswith("op") and n != "pipeline")
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +17,8 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry_mod.oracle_sql()) == set(entry_mod.queries())
-    assert len(NAMES) == 44
+    assert set(NAMES) <= set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    assert len(NAMES) == 47
 
 
 def test_entry_runs(spark):
