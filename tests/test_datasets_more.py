@@ -83,7 +83,8 @@ def test_latest_prep_assessment_hash_and_nulls(spark):
         (4, "H4", 1, None, 5, *blank, None, None, None),
     ], schema)
     out = {r.patient_pk: r for r in hts_prep.latest_prep_assessment(df, AS_OF).collect()}
-    assert out[1].hiv_partner_ccc_number_hash == out[2].hiv_partner_ccc_number_hash is not None
+    assert None not in (out[1].hiv_partner_ccc_number_hash, out[2].hiv_partner_ccc_number_hash)
+    assert out[1].hiv_partner_ccc_number_hash != out[2].hiv_partner_ccc_number_hash   # the whole text is hashed
     assert (out[1].eligible_prep, out[2].eligible_prep, out[3].eligible_prep) == (1, 1, 0)
     assert out[3].visit_id == 4 and out[3].screened_prep == 1
     assert out[4].screened_prep == 0 and out[4].hiv_partner_ccc_number_hash is None
