@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from cohortlake.functions import (
+    plus_days_if_null,
     banded_days,
     below_or_in,
     contains_flags,
