@@ -38,6 +38,7 @@ REVISIT_BYTES = 1000  # payloads below are always kept
 CHUNK = 1 << 20
 TASKS = 20_000  # tasks at most that archives are spread over
 LEVEL = 6
+DATE = "1970-01-01T00:00:00Z"  # of every record: pages have no date of their own
 
 
 def gzip_writer() -> zlib._Compress:
@@ -48,7 +49,8 @@ def record(kind: str, page_id: int | None, url: str | None, digest: str, size: i
     """One WARC/1.1 record; a revisit holds the HTTP head only."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http if kind == "revisit" else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}",
+    name = f"urn:sha1:{digest}" if page_id is None else f"urn:page:{page_id}"
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}",
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe=":/?#[]@!$&'()*+,;=%~"))
