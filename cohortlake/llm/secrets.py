@@ -24,13 +24,23 @@ from cohortlake.llm import common, spans
 KINDS = ("assign", "access", "hex", "pem", "jwt", "code_host")
 BASE = KINDS[:3]
 
+#: A private key runs from its header to its END line or, without
+#: one, over the base64 lines that follow (line breaks may be escaped). No
+#: part runs over the five hyphens of a next header, so the search stays linear.
+PEM_HEAD = r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
+PEM_END = r"-----END [A-Z ]{0,24}PRIVATE KEY-----"
+NEW_LINE = r"(?:\r\n?+|\n|(?:\\r)?+\\n)"
+PEM_FIELDS = rf"(?:(?:{NEW_LINE}[A-Za-z][A-Za-z-]{{0,30}}+:(?:[^\r\n\\-]|-(?!----))*+)++{NEW_LINE})?+"
+PEM_LINES = (rf"{PEM_FIELDS}(?:[ \t]++[A-Za-z0-9+/]{{32,}}+={{0,2}}+)*+"
+             rf"""(?:{NEW_LINE}[ \t]*+[A-Za-z0-9+/]++={{0,2}}+(?=[ \t]*+(?:{NEW_LINE}|["']|\z))[ \t]*+)*+""")
+
 #: Patterns, written so that failing candidates that cannot be
 #: told apart by length later (hex) are not proposed at all.
 PATTERNS = {
     "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?[ ]*[:=][ ]*["']?[A-Za-z0-9+/_.=-]++""",
     "access": r"AKIA[A-Z0-9]++",
     "hex": r"[0-9a-f]{24,}+",
-    "pem": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----",
+    "pem": rf"{PEM_HEAD}(?:(?:[^-]++|-(?!----))*+{PEM_END}|{PEM_LINES})",
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
     "code_host": r"gh[pousr]_[A-Za-z0-9]{36,}+",
 }
@@ -40,6 +50,11 @@ EXAMPLE_OWNERS = 3
 
 
 def _value(kind: str, match: Column) -> Column:
+    """What owners are counted by: of a private key the body without line breaks
+    and other layout; a header without a body stands for itself."""
+    if kind == "pem":
+        body = F.regexp_replace(F.regexp_replace(match, rf"^{PEM_HEAD}|{PEM_END}\z", ""), r"\\[nrt]|[^A-Za-z0-9+/=]", "")
+        return F.when(body == "", match).otherwise(body)
     return F.regexp_replace(match, ASSIGN_HEAD, "") if kind == "assign" else match
 
 

@@ -103,3 +103,35 @@ def test_ownership_over_the_corpus_separates_examples_from_live_secrets(spark):
     got = {r.repository: [(s.kind, s["class"], s.n_owners, s.n_repositories) for s in (r.spans or [])] for r in found}
     assert got[0] == [] and got[9] == [("assign", "live", 1, 1)]
     assert got[10] == got[11] == [("code_host", "live", 1, 2)]
+
+
+def pem(body, end=True, kind="RSA ", line="\n"):
+    return f"-----BEGIN {kind}PRIVATE KEY-----{line}{body}" + (f"{line}-----END {kind}PRIVATE KEY-----" if end else "")
+
+
+def test_private_keys_are_told_apart_by_their_bodies(spark):
+    lines = [["".join(random.Random(k).choices("ABCDwxyz0189+/", k=64)) for _ in range(3)] + [f"tail{k}=="] for k in range(9)]
+    keys = ["\n".join(x) for x in lines]
+    rows = [(k, f"a {pem(keys[k])} b", f"s{k}") for k in range(3)]  # three owners, three keys
+    rows += [(10 + k, f"{pem(keys[3], kind='')} b", f"s{k}") for k in range(2)]  # one key of three owners, laid out in three ways
+    rows += [(12, "x = '" + pem(keys[3].replace("\n", "\\n"), line="\\n") + "'", "s2")]
+    rows += [(20 + k, f"{pem(keys[4 + k], end=False)}\nno key any more", f"s{k}") for k in range(3)]  # three keys without an END line
+    rows += [(30, pem(keys[7]) + pem(keys[8], end=False) + "\n" + pem(keys[7]), "s0"), (40, pem(keys[7].replace("\n", " "), end=False, line=" "), "s4")]
+    rows += [(50, pem("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F\n\n" + keys[8][:64], end=False) + "\n-- ", "s5")]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), Scratch(spark, "test")).collect()
+    got = {r.repository: [(s.start, s.end, s["class"]) for s in (r.spans or []) if s.kind == "pem"] for r in found}
+    assert all(got[k] == [(2, 2 + len(pem(keys[k])), "live")] for k in range(3))
+    assert got[10] == got[11] == got[12] == []
+    assert all(got[20 + k] == [(0, len(pem(keys[4 + k], end=False)), "live")] for k in range(3))
+    one, other = len(pem(keys[7])), len(pem(keys[8], end=False))
+    assert got[30] == [(0, one, "live"), (one, one + other, "live"), (one + other + 1, 2 * one + other + 1, "live")]
+    assert got[40] == [(0, len("-----BEGIN RSA PRIVATE KEY----- ") + 3 * 65 - 1, "live")]
+    assert got[50] == [(0, len(rows[-1][1]) - 4, "live")]
+
+
+def test_private_key_search_is_linear(spark):
+    given = ["-----BEGIN PRIVATE KEY-----" * 2000, "-----BEGIN PRIVATE KEY-----" + "a-" * 400000, "-----BEGIN PRIVATE KEY-----" + "\nabcd" * 100000, ("-----BEGIN PRIVATE KEY-----" + "\nab c" * 9) * 1000]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(given)], "doc_id long, text string, source string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.secret_spans if s.kind == "pem"] for r in secrets.candidates(df).collect()}
+    assert [len(got[i]) for i in range(4)] == [2000, 1, 1, 1000]
+    assert got[1] == [(0, 27)] and got[2] == [(0, len(given[2]))]
