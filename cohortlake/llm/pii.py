@@ -1,5 +1,5 @@
 """Personal data: patterns propose spans, checksums confirm them, and words
-nearby adjust their score. Built-in expressions only.
+nearby adjust their score; a word beside a list of one kind counts for the whole list. Built-in expressions only.
 
 Defined results: a null text counts as empty (no spans); any length is scanned
 whole; repeated rows give repeated results; an empty table gives an empty
@@ -99,7 +99,7 @@ def _confirmed(kind: str, p: Column) -> Column:
 def _score(kind: str, p: Column) -> Column:
     alone, beside = SCORES[kind]
     nearby = rf"(?i)(?<![\p{{L}}])(?:{CONTEXT_WORDS[kind]})(?![\p{{L}}])"
-    return F.when(F.concat_ws(" ", p["before"], p["after"]).rlike(nearby), F.lit(beside)).otherwise(F.lit(alone))
+    return F.when(F.concat_ws(" ", p["before"], p["after"], p["lead"], p["trail"]).rlike(nearby), F.lit(beside)).otherwise(F.lit(alone))
 
 
 def _keeps(kind: str):
@@ -124,10 +124,11 @@ def find(df: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
     out = df.withColumns({col("hit", k): spans.hits(body, PATTERNS[k], might.get(k, number)) for k in KINDS})
     out = out.withColumns({col("piece", k): spans.pieces(body, PATTERNS[k], F.col(col("hit", k))) for k in KINDS})
     out = out.withColumns({col("found", k): spans.proposals(F.col(col("hit", k)), F.col(col("piece", k))) for k in KINDS})
+    out = out.withColumns({col("placed", k): spans.placed(F.col(col("found", k)), F.col(col("piece", k))) for k in KINDS})
     parts = []
     for rank, k in enumerate(KINDS):
-        temporary += [col(step, k) for step in ("hit", "piece", "found")]
-        parts.append(spans.accepted(F.col(col("found", k)), _keeps(k), k, rank, partial(_score, k)))
+        temporary += [col(step, k) for step in ("hit", "piece", "found", "placed")]
+        parts.append(spans.accepted(F.col(col("placed", k)), _keeps(k), k, rank, partial(_score, k)))
     return out.withColumn(f"{prefix}spans", F.array_sort(F.concat(*parts))).drop(*temporary)
 
 

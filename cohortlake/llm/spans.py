@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from cohortlake.llm.common import let
 
-#: One proposal: code point positions (end exclusive), the match, and the text around it.
-PROPOSAL = "struct<start:int,end:int,value:string,before:string,after:string>"
+#: One proposal: code point positions (end exclusive) and the match.
+PROPOSAL = "struct<start:int,end:int,value:string>"
+#: A proposal with the text around it; ``lead`` and ``trail`` are what stands before
+#: and after the whole run of proposals that it belongs to, null where it stands alone.
+PLACED = "struct<start:int,end:int,value:string,before:string,after:string,lead:string,trail:string>"
 #: One accepted span; rank orders kinds that start at the same place.
 SPAN = "struct<start:int,rank:int,kind:string,end:int,score:int,value:string>"
 CONTEXT = 48  # code points of context kept on each side of a proposal
+#: Fixed value: what may stand between the proposals of a run: no letters or digits but an "and", "or" or list number.
+BETWEEN = r"^[^\p{L}\p{N}]*+(?:(?:(?i:and|or|und|oder|et|ou|y|o)|[0-9]{1,3})[^\p{L}\p{N}]++)?\z"
 
 
 def no(kind: str) -> Column:
@@ -36,25 +41,52 @@ def pieces(text: Column, pattern: str, found: Column) -> Column:
 
 def proposals(found: Column, between: Column) -> Column:
     """array<PROPOSAL> from matches and pieces."""
-    rows = F.arrays_zip(
-        found.alias("value"),
-        F.slice(between, F.lit(1), F.size(found)).alias("before"),
-        F.slice(between, F.lit(2), F.size(found)).alias("after"),
-    )
+    rows = F.arrays_zip(found.alias("value"), F.slice(between, F.lit(1), F.size(found)).alias("before"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["before"])
         end = start + F.length(x["value"])
-        one = F.struct(
-            start.alias("start"), end.alias("end"), x["value"].alias("value"),
-            F.right(x["before"], F.lit(CONTEXT)).alias("before"), F.left(x["after"], F.lit(CONTEXT)).alias("after"),
-        )
+        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), no(PROPOSAL).alias("out"))
     return F.when(F.size(found) > 0, F.aggregate(rows, start, step, lambda acc: acc["out"])).otherwise(no(PROPOSAL))
 
 
+def placed(found: Column, between: Column) -> Column:
+    """array<PLACED> from proposals and pieces: ``CONTEXT`` code points of the whole
+    text on both sides, across neighbouring matches, and the context of the run."""
+    kept = "struct<start:int,end:int,value:string,before:string,after:string,joined:boolean,lead:string>"
+    rows = F.transform(
+        F.arrays_zip(found.alias("p"), F.slice(between, F.lit(1), F.size(found)).alias("before"), F.slice(between, F.lit(2), F.size(found)).alias("after")),
+        lambda x: F.struct(
+            x["p"].alias("p"), F.right(x["before"], F.lit(CONTEXT)).alias("before"), F.left(x["after"], F.lit(CONTEXT)).alias("after"),
+            ((F.length(x["before"]) <= CONTEXT) & x["before"].rlike(BETWEEN)).alias("joins"),
+        ),
+    )
+    last = lambda *parts: F.right(F.concat(*parts), F.lit(CONTEXT))
+    first = lambda *parts: F.left(F.concat(*parts), F.lit(CONTEXT))
+
+    def forth(acc: Column, x: Column) -> Column:
+        before = last(acc["tail"], x["before"])
+        joined = x["joins"] & acc["lead"].isNotNull()
+        lead = F.when(joined, acc["lead"]).otherwise(before)
+        one = F.struct(*[x["p"][c].alias(c) for c in ("start", "end", "value")], before.alias("before"), x["after"].alias("after"), joined.alias("joined"), lead.alias("lead"))
+        return F.struct(last(acc["tail"], x["before"], x["p"]["value"]).alias("tail"), lead.alias("lead"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def back(acc: Column, x: Column) -> Column:
+        after = first(x["after"], acc["head"])
+        trail = F.when(acc["joined"], acc["trail"]).otherwise(after)
+        one = F.struct(*[x[c].alias(c) for c in ("start", "end", "value", "before")], after.alias("after"),
+                       F.when(x["joined"], x["lead"]).alias("lead"), F.when(acc["joined"], trail).alias("trail"))
+        return F.struct(first(x["value"], x["after"], acc["head"]).alias("head"), x["joined"].alias("joined"), trail.alias("trail"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    none = F.lit(None).cast("string")
+    ahead = F.aggregate(rows, F.struct(F.lit("").alias("tail"), none.alias("lead"), no(kept).alias("out")), forth, lambda acc: acc["out"])
+    start = F.struct(F.lit("").alias("head"), F.lit(False).alias("joined"), none.alias("trail"), no(PLACED).alias("out"))
+    return F.when(F.size(found) > 0, F.reverse(F.aggregate(F.reverse(ahead), start, back, lambda acc: acc["out"]))).otherwise(no(PLACED))
+
+
 def accepted(found: Column, keep, kind: str, rank: int, score) -> Column:
     """array<SPAN> of the proposals that ``keep`` holds for."""
     return F.transform(

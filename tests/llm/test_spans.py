@@ -135,3 +135,29 @@ def test_private_key_search_is_linear(spark):
     got = {r.doc_id: [(s.start, s.end) for s in r.secret_spans if s.kind == "pem"] for r in secrets.candidates(df).collect()}
     assert [len(got[i]) for i in range(4)] == [2000, 1, 1, 1000]
     assert got[1] == [(0, 27)] and got[2] == [(0, len(given[2]))]
+
+
+def test_lists_of_ids_are_reported_whole(spark):
+    ids = [f"{100 + k}-{10 + k % 80}-{1000 + 7 * k}" for k in range(60)]
+    given = ["ssn: " + ", ".join(ids), "; ".join(ids) + " (ssn)", "ids 1) " + "\n2) ".join(ids), "Identity numbers " + " | ".join(ids[:20]) + " and " + ids[20],
+             f"my ssn is {ids[0]}, while the order with the number\n{ids[1]} is a parcel that has nothing to do with it", f"{ids[0]}, {ids[1]} 😀é", None,
+             f"mail a {ids[0]}{' ' * 60}{ids[1]} ssn", f"ssn {ids[0]} 😀 {ids[1]}, é of {ids[2]}"]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    found = pii.find(df).collect()
+    got = {r.doc_id: [s.value for s in r.pii_spans if s.kind == "id"] for r in found}
+    assert got == {0: ids, 1: ids, 2: [], 3: ids[:21], 4: ids[:1], 5: [], 6: [], 7: ids[1:2], 8: ids[:3]}
+    assert all(given[r.doc_id][s.start:s.end] == s.value for r in found for s in r.pii_spans)
+    masked = {r.doc_id: r.text for r in pii.mask(pii.find(df)).collect()}
+    assert masked[0] == "ssn: " + ", ".join(["[ID]"] * 60)
+
+
+def test_context_is_cut_from_the_whole_text(spark):
+    given = [t for t in texts(["123-45-6789", "987-65-4321", "ssn ", " ", ", ", "é", "word of ", "😀", "x" * 9, "\n"], 8, []) if t]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r.doc_id: {(s.start, s.end) for s in r.pii_spans if s.kind == "id"} for r in pii.find(df).collect()}
+    n, near = 0, re.compile(r"(?i)(?<![^\W\d_])(?:" + pii.CONTEXT_WORDS["id"] + r")(?![^\W\d_])")
+    for i, t in enumerate(given):
+        beside = {m.span() for m in re.finditer(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", t) if near.search(t[max(0, m.start() - 48) : m.start()] + " " + t[m.end() : m.end() + 48])}
+        assert beside <= got[i], t
+        n += len(beside)
+    assert n > 300
