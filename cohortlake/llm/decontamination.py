@@ -59,9 +59,9 @@ def item_index(items: DataFrame, percent: int, item_id: str, text: str) -> DataF
     return full.select("item_id", "item", "shingle", "m", "need", "class_need", (place <= F.col("sketch")).alias("sketched"))
 
 
-def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int = PERCENT, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_item_shingles, n_shared, containment) of every document and item
-    with 100 * shared >= percent * item shingles."""
+def matches(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int = PERCENT, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc_id, row, item_id, m, n_shared) of every document text and item text with
+    100 * shared >= percent * item shingles; ``row`` is the digest of the document's text."""
     index = scratch.table(item_index(items, percent, item_id, text), "index")
     index = common.sized(index, BROADCAST_SHINGLES)
     probes = _shingles(docs, [F.col(doc_id).alias("doc_id")], text)
@@ -70,7 +70,13 @@ def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int
     met = scratch.table(met.select("doc_id", "row", "item_id", "item", "shingle", "m", "need", "sketched").distinct(), "met")
     pair = ["doc_id", "row", "item_id", "item"]
     counted = met.groupBy(*pair).agg(F.count("*").alias("n_shared"), F.first("m").alias("m"), F.first("need").alias("need"), F.max("sketched").alias("candidate"))
-    found = counted.filter("candidate and n_shared >= need").select("doc_id", "item_id", "m", "n_shared")
+    return counted.filter("candidate and n_shared >= need").select("doc_id", "row", "item_id", "m", "n_shared")
+
+
+def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int = PERCENT, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc_id, item_id, n_item_shingles, n_shared, containment) of every document and item
+    with 100 * shared >= percent * item shingles."""
+    found = matches(docs, items, scratch, percent, doc_id, item_id, text)
     best = F.max(F.struct((F.col("n_shared") / F.col("m")).alias("containment"), "m", "n_shared")).alias("best")
     found = found.groupBy("doc_id", "item_id").agg(best)
     return found.select("doc_id", "item_id", F.col("best.m").alias("n_item_shingles"), F.col("best.n_shared").alias("n_shared"), F.col("best.containment").alias("containment"))
@@ -86,11 +92,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that contain a benchmark item go."""
+    """Pipeline stage: documents that contain a benchmark item go; others that share their id stay."""
     scratch = Scratch(spark, "stage-leaks")
-    found = contained(docs, _benchmark(spark, sf_dir), scratch)
-    leaked = common.sized(scratch.table(found.select(F.col("doc_id").alias("__leaked")).distinct(), "leaked"))
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["__leaked"]), "left_anti")
+    found = matches(docs, _benchmark(spark, sf_dir), scratch)
+    leaked = common.sized(scratch.table(found.select(F.col("doc_id").alias("__leaked"), F.col("row").alias("__row")).distinct(), "leaked"))
+    on = docs["doc_id"].eqNullSafe(leaked["__leaked"]) & F.xxhash64(docs["text"]).eqNullSafe(leaked["__row"])
+    return docs.join(leaked, on, "left_anti")
 
 
 OP8_SQL = r"""

@@ -56,3 +56,13 @@ def test_finds_every_item_in_long_documents(spark, monkeypatch):
 def test_the_plan_runs_no_python(spark):
     out = decontamination.op8_decontaminate(spark, "/root/testdata/sf0.001")
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+
+
+def test_the_stage_keeps_clean_rows_that_share_an_id_with_a_leaked_one(spark, tmp_path):
+    leak = "one two three four five six seven eight"
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"a {leak} b"), (None, "clean text without an id"), (None, None), (7, leak.upper()), (7, "clean text with a repeated id"), (7, leak), (8, "clean")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = decontamination.stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([rows[1], rows[2], rows[4], rows[6]], key=repr)
