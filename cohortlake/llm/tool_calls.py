@@ -195,12 +195,25 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def marked(rows: DataFrame, mark: str) -> DataFrame:
+    """Ids with a mark in front, so that equal ids of different origins do not meet."""
+    out = rows.withColumn("call_id", F.concat(F.lit(mark), "call_id"))
+    return out.withColumn("after", F.transform("after", lambda x: F.concat(F.lit(mark), x))) if "after" in rows.columns else out
+
+
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn of all conversations as a linked, ordered and validated call or result."""
-    calls, results = turns_as_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    """Every tool call and tool result of all conversations, and every other turn read
+    as one (``turns_as_calls``), linked, ordered and validated."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    calls, results = (marked(part, "t") for part in parse(rows))
+    made = F.from_json("text", "tool_calls array<struct<id:string>>")["tool_calls"]
+    tool = (F.coalesce("role", F.lit("")) == "tool") | (F.coalesce(F.size(made), F.lit(0)) > 0)
+    turn_calls, turn_results = (marked(part, "n") for part in turns_as_calls(rows.filter(~tool)))
+    calls = calls.unionByName(turn_calls)
+    results = results.unionByName(turn_results)
     schemas = spark.createDataFrame([(k, json.dumps(v)) for k, v in TURN_SCHEMAS.items()], "name string, schema string")
     out = link(calls, results, schemas, Scratch(spark, "calls"))
-    return out.select(F.col("conversation").alias("conv_id"), "turn", "kind", "call_id", "name", "status", "level", "missing", F.array_join("errors", ",").alias("errors"), "canonical")
+    return out.select(F.col("conversation").alias("conv_id"), "turn", "kind", F.substr("call_id", F.lit(2)).alias("call_id"), "name", "status", "level", "missing", F.array_join("errors", ",").alias("errors"), "canonical")
 
 
 OP2_SQL = r"""

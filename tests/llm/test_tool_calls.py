@@ -59,3 +59,20 @@ def test_levels_of_random_graphs(spark):
 
 def test_no_messages(spark):
     assert run(spark, []) == []
+
+
+def test_the_query_links_tool_messages_and_reads_the_other_turns_as_calls(spark, tmp_path):
+    messages = [
+        (1, 0, "user", "words"), (1, 1, "assistant", "an answer"), (1, 2, "assistant", call(("turn-0", "reply", '{"words": 1}', None), ("b", "reply", "no json", ["turn-0"]))),
+        (1, 3, "tool", json.dumps({"tool_call_id": "b", "content": '{"z":1,"a":2.0}'})), (1, 4, "tool", json.dumps({"tool_call_id": "c", "content": None})),
+        (2, 0, "assistant", '{"tool_calls": []}'), (None, None, None, None),
+    ]
+    spark.createDataFrame(messages, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    out = tool_calls.op2_tool_calls(spark, str(tmp_path)).collect()
+    got = {(r.conv_id, r.turn, r.kind, r.call_id): (r.status, r.level, r.errors, r.canonical) for r in out}
+    assert len(out) == len(got) == 8
+    assert got[1, 0, "call", "turn-0"] == ("answered", 0, "$.words:minimum", '{"text":"words","words":1}')
+    assert got[1, 1, "result", "turn-0"][0] == "answer" and got[2, 0, "result", "turn--1"][0] == "orphan_result"
+    assert got[1, 2, "call", "turn-0"][:2] == ("unanswered", 0) and "$.text:required" in got[1, 2, "call", "turn-0"][2]
+    assert got[1, 2, "call", "b"] == ("answered", 1, "$:json", None)
+    assert got[1, 3, "result", "b"] == ("answer", None, None, '{"a":2,"z":1}') and got[1, 4, "result", "c"][0] == "orphan_result"
