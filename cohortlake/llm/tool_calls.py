@@ -37,6 +37,7 @@ from cohortlake.llm.common import Scratch
 CALLS = "conversation long, turn long, place int, call_id string, name string, arguments string, after array<string>"
 RESULTS = "conversation long, turn long, place int, call_id string, content string"
 KEY = ["conversation", "call_id"]
+NODE = ["conversation", "node"]  # a call in the order: its id, or its own number where it has none
 
 
 def canonical(value) -> str:
@@ -91,29 +92,29 @@ def parse(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn"
 
 
 def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
-    """(conversation, call_id, level, missing) of the calls that need others."""
-    nodes = calls.select(*KEY).distinct()
-    wants = calls.select(*KEY, F.explode("after").alias("parent")).distinct()
-    there = nodes.select("conversation", F.col("call_id").alias("parent"), F.lit(True).alias("there"))
-    edges = scratch.table(wants.join(there, ["conversation", "parent"], "left").select(*KEY, "parent", F.coalesce("there", F.lit(False)).alias("there")), "edges")
-    waiting = scratch.table(edges.filter("there").select(*KEY, "parent"), "waiting-0")
-    missing = edges.groupBy(*KEY).agg(F.count(F.when(~F.col("there"), 1)).alias("missing"), F.max("there").alias("waits"))
-    done = missing.filter("not waits").select(*KEY, F.lit(0).alias("level"))
+    """(conversation, node, level, missing) of the calls that need others."""
+    nodes = calls.select(*NODE).distinct()
+    wants = calls.select(*NODE, F.explode("after").alias("parent")).withColumn("parent", F.concat(F.lit("="), "parent")).distinct()
+    there = nodes.select("conversation", F.col("node").alias("parent"), F.lit(True).alias("there"))
+    edges = scratch.table(wants.join(there, ["conversation", "parent"], "left").select(*NODE, "parent", F.coalesce("there", F.lit(False)).alias("there")), "edges")
+    waiting = scratch.table(edges.filter("there").select(*NODE, "parent"), "waiting-0")
+    missing = edges.groupBy(*NODE).agg(F.count(F.when(~F.col("there"), 1)).alias("missing"), F.max("there").alias("waits"))
+    done = missing.filter("not waits").select(*NODE, F.lit(0).alias("level"))
     level = 0
     while not waiting.isEmpty():
         # calls that still wait for something waiting are not ready
-        blocked = waiting.select("conversation", F.col("call_id").alias("parent")).distinct()
-        left = waiting.join(blocked, ["conversation", "parent"], "left_semi").select(*KEY, "parent")
+        blocked = waiting.select("conversation", F.col("node").alias("parent")).distinct()
+        left = waiting.join(blocked, ["conversation", "parent"], "left_semi").select(*NODE, "parent")
         left = scratch.table(left, f"waiting-{level + 1}")
-        ready = waiting.select(*KEY).distinct().join(left.select(*KEY).distinct(), KEY, "left_anti")
+        ready = waiting.select(*NODE).distinct().join(left.select(*NODE).distinct(), NODE, "left_anti")
         ready = scratch.table(ready, f"ready-{level + 1}")
         if ready.isEmpty():
             break  # cycles, and what stands behind them
         level += 1
         done = done.unionByName(ready.withColumn("level", F.lit(level)))
         waiting = left
-    stuck = waiting.select(*KEY).distinct().withColumn("level", F.lit(None).cast("int"))
-    return missing.select(*KEY, "missing").join(done.unionByName(stuck), KEY)
+    stuck = waiting.select(*NODE).distinct().withColumn("level", F.lit(None).cast("int"))
+    return missing.select(*NODE, "missing").join(done.unionByName(stuck), NODE)
 
 
 def checked(rows: DataFrame) -> DataFrame:
@@ -149,14 +150,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, scratch: Scra
     """One row per call and per result: conversation, turn, place, kind, call_id, name, status,
     level, missing, canonical, errors. ``schemas`` has (name, schema as JSON); a call
     of an unknown name has null errors."""
-    calls, results = scratch.table(calls, "calls"), scratch.table(results, "results")
+    node = F.coalesce(F.concat(F.lit("="), "call_id"), F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")))
+    calls, results = scratch.table(calls.withColumn("node", node), "calls"), scratch.table(results, "results")
     at = F.struct("turn", "place")
     first = scratch.table(calls.groupBy(*KEY).agg(F.min(at).alias("first")), "first")
     met = results.join(first.hint("shuffle_hash"), KEY, "left").withColumn("at", at)
     answers = met.filter("at > first").groupBy(*KEY).agg(F.min("at").alias("answer"))
     answers = scratch.table(answers, "answers")
-    order = scratch.table(levels(calls.filter("call_id is not null"), scratch), "levels")
-    made = calls.join(first.hint("shuffle_hash"), KEY, "left").join(answers.hint("shuffle_hash"), KEY, "left").join(order.hint("shuffle_hash"), KEY, "left")
+    order = scratch.table(levels(calls, scratch), "levels")
+    made = calls.join(first.hint("shuffle_hash"), KEY, "left").join(answers.hint("shuffle_hash"), KEY, "left").join(order.hint("shuffle_hash"), NODE, "left")
     status = F.when(F.col("call_id").isNull(), "no_id").when(at != F.col("first"), "repeated_call").when(F.col("answer").isNull(), "unanswered").otherwise("answered")
     level = F.when(F.col("missing").isNull(), F.lit(0)).otherwise(F.col("level"))
     made = made.select("conversation", "turn", "place", F.lit("call").alias("kind"), "call_id", "name", status.alias("status"), level.alias("level"),

@@ -57,6 +57,17 @@ def test_levels_of_random_graphs(spark):
     assert {(r.conversation, r.call_id): r.level for r in run(spark, rows)} == want
 
 
+def test_calls_without_id_stand_behind_what_they_need(spark):
+    out = run(spark, [
+        (1, 0, "assistant", call(("a", "other", "{}", None), ("b", "other", "{}", ["a"]), (None, "other", "{}", ["b", "nowhere"]), (None, "other", "{}", None), (None, "other", "{}", ["a"]))),
+        (1, 1, "assistant", call(("x", "other", "{}", ["y"]), ("y", "other", "{}", ["x"]), (None, "other", "{}", ["x", "a"]))),
+    ])
+    got = {(r.turn, r.place): (r.status, r.level, r.missing) for r in out}
+    assert got[0, 1] == ("unanswered", 1, 0)
+    assert (got[0, 2], got[0, 3], got[0, 4]) == (("no_id", 2, 1), ("no_id", 0, 0), ("no_id", 1, 0))
+    assert got[1, 2] == ("no_id", None, 0)
+
+
 def test_no_messages(spark):
     assert run(spark, []) == []
 
