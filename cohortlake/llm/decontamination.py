@@ -6,8 +6,9 @@ contains at least ``percent`` of an item's m shingles, at most m minus that
 many are missing, so it holds at least one of the m - ceil(percent * m) + 1
 minwise (least-hashed) shingles of the item: that sketch, as long as the size
 partition's largest item needs, finds every candidate. A document only meets
-partitions whose items its length has room for. Candidates are verified by
-counting the distinct shingles that document and item share.
+partitions whose items its length has room for. One pass joins the texts with all
+item shingles, not with the sketches first, and counts the distinct shingles that
+document and item share; every pair with enough of them has a sketched one.
 
 A shingle is the text of five lower-cased words with single spaces, so equal
 shingles are equal texts. Items and documents of one to four words are one shingle
