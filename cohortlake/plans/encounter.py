@@ -33,6 +33,22 @@ def last_encounter_as_at(visit_as_at: DataFrame, dispense_as_at: DataFrame, as_o
     )
 
 
+#: Treatment rows of a key up to which its pairs are built from one row of arrays.
+ROWS_IN_PLACE = 64
+#: Pairs that a share of a larger key builds, about.
+PAIRS_A_SHARE = 100_000
+
+
+def treatments(art: DataFrame) -> DataFrame:
+    """Live treatment rows, each different one once, hash-distributed by the key.
+
+    D06 and D07 read this one distribution. The distinct over all columns keeps
+    filters and column pruning of the readers above the exchange, so that their
+    plans share it (ReusedExchange). Rows without a key join nothing and go."""
+    rows = live(art).filter(F.col("site_code").isNotNull() & F.col("patient_pk").isNotNull())
+    return rows.select(*IDS, "start_art_date", "last_visit", "expected_return").repartition(*KEY).distinct()
+
+
 def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of) -> DataFrame:
     """Per live treatment patient, the latest of (newest dispense, the
     treatment record's last visit, newest visit), each on or before the end of
@@ -41,11 +57,14 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     visit appointment missing -> visit + 30 d; final appointment more than
     365 d after ``as_of`` or missing -> encounter + 30 d.
 
-    The treatment record is joined twice on the key, as in the source rules;
-    with one record per key both joins are row-preserving, with several the
-    combinations are kept and collapsed by the final distinct. Each join
-    takes the distinct (key, date) values only, so the combinations are
-    bounded by distinct treatment dates per key, which also bounds the output.
+    The treatment record is joined twice on the key, as in the source rules, and
+    the result is distinct: the first record gives an encounter and an appointment,
+    the second one can only raise the encounter. So of a key's pairs only those count in
+    which the second encounter is not before the first: a key's distinct encounters from
+    the first one's on. Keys of at most ``ROWS_IN_PLACE`` rows expand in
+    place; a larger key's appointments are dealt by hash to shares that each hold
+    all its encounters, as many shares as its number of pairs asks for, so no task
+    builds more than about ``PAIRS_A_SHARE`` of them.
     """
     a = AsOf.of(as_of)
     eopm = a.eopm_lit()
@@ -56,9 +75,6 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
         F.col("dispense_date").alias("ph_date"),
         repair_return_date("expected_return", "dispense_date").alias("ph_next"),
     )
-    art_dates = live(art).filter(F.col("last_visit") <= eopm).select(
-        *KEY, F.col("last_visit").alias("art_last"), F.col("expected_return").alias("art_return")
-    )
     lv = latest_per_key(
         live(visits).filter(F.col("visit_date") <= eopm), KEY, "visit_date", VISIT_TIE
     ).select(
@@ -66,30 +82,55 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
         F.col("visit_date").alias("v_date"),
         plus_days_if_null("next_appointment_date", "visit_date").alias("v_next"),
     )
-    # The result is DISTINCT, so each side of the key joins only needs its
-    # distinct values: duplicated treatment rows cannot multiply rows.
-    patients = live(art).select(*IDS).distinct()
-    step1 = patients.join(ph, KEY, "left").join(art_dates.distinct(), KEY, "left").select(
-        *IDS,
-        later_of("ph_date", "art_last").alias("enc1"),
-        later_of("ph_next", "art_return").alias("next1"),
-    )
-    step2 = step1.join(art_dates.select(*KEY, F.col("art_last").alias("art_last2")).distinct(), KEY, "left").select(
-        *IDS, later_of("enc1", "art_last2").alias("enc2"), "next1"
-    )
-    combined = step2.join(lv, KEY, "left").select(
-        *IDS,
-        later_of("enc2", "v_date").alias("last_encounter_date"),
-        later_of("next1", "v_next").alias("next_raw"),
+    tx = treatments(art)
+    counted = F.col("last_visit") <= eopm
+    booked = lambda next_raw: F.when(day_diff(a.lit(), next_raw) <= 365, next_raw)
+    n = F.col("__n").cast("double")
+    # distributed again, so that the (usually empty) list is known before what joins it is planned
+    large = (
+        tx.groupBy(*KEY).agg(F.count(F.when(counted, 1)).alias("__n")).filter(F.col("__n") > ROWS_IN_PLACE)
+        .select(*KEY, F.ceil(n * n / PAIRS_A_SHARE).cast("int").alias("__ways")).repartition(*KEY)
     )
-    return (
-        combined.filter(F.col("last_encounter_date") <= eopm)
-        .select(
-            *IDS,
-            "last_encounter_date",
-            F.when(day_diff(a.lit(), "next_raw") <= 365, F.col("next_raw"))
-            .otherwise(plus_days("last_encounter_date", 30)).alias("next_appointment_date"),
+
+    def with_events(rows: DataFrame) -> DataFrame:
+        """Each treatment row with the encounter and the appointment that it gives,
+        null if it does not count, and what the key has without any such row."""
+        joined = rows.join(ph, KEY, "left").join(lv, KEY, "left")
+        seen, next_raw = later_of("ph_date", "v_date"), later_of("ph_next", "v_next")
+        return joined.withColumns({
+            "__own": F.struct(seen.alias("seen"), booked(next_raw).alias("booked")),
+            "__seen": F.when(counted, F.greatest(seen, F.col("last_visit"))),
+            "__booked": F.when(counted, booked(F.greatest(next_raw, F.col("expected_return")))),
+        })
+
+    def result(rows: DataFrame, seen, next_booked) -> DataFrame:
+        out = rows.select(*IDS, seen.alias("last_encounter_date"), next_booked.alias("__booked"))
+        return out.filter(F.col("last_encounter_date") <= eopm).select(
+            *IDS, "last_encounter_date",
+            F.coalesce("__booked", plus_days("last_encounter_date", 30)).alias("next_appointment_date"),
             a.load_date(),
-        )
-        .distinct()
+        ).distinct()
+
+    rest = [c for c in IDS if c not in KEY]
+    event = F.struct(F.col("__seen").alias("seen"), F.col("__booked").alias("booked"))
+    usual = with_events(tx.join(large.select(*KEY), KEY, "left_anti")).groupBy(*KEY).agg(
+        F.collect_set(F.struct(*rest)).alias("__ids"), F.max("__own").alias("__own"),
+        F.collect_set(F.when(counted, event)).alias("__events"),
     )
+    usual = usual.withColumn("__id", F.explode("__ids")).withColumn("__first", F.explode_outer("__events"))
+    later = F.array_distinct(F.transform("__events", lambda e: e["seen"]))
+    usual = usual.withColumn("__last", F.explode_outer(F.filter(later, lambda d: d >= F.col("__first.seen"))))
+    none = F.col("__first").isNull()
+    usual = usual.select(*KEY, *[F.col(f"__id.{c}").alias(c) for c in rest], "__own", "__first", "__last")
+    usual = result(usual, F.when(none, F.col("__own.seen")).otherwise(F.col("__last")),
+                   F.when(none, F.col("__own.booked")).otherwise(F.col("__first.booked")))
+
+    cell = [*KEY, "__share"]
+    every = F.explode(F.sequence(F.lit(0), F.col("__ways") - 1))
+    many = with_events(tx.join(large, KEY))
+    first = many.groupBy(*KEY, "__ways", "__booked").agg(F.min("__seen").alias("__from")).filter(F.col("__from").isNotNull())
+    first = first.withColumn("__share", F.pmod(F.xxhash64("__booked"), F.col("__ways")).cast("int")).drop("__ways")
+    seen = many.select(*KEY, "__ways", "__seen").distinct().filter(F.col("__seen").isNotNull()).withColumn("__share", every).drop("__ways")
+    clients = many.select(*IDS, "__ways").distinct().withColumn("__share", every).drop("__ways")
+    pairs = first.join(seen, cell).filter(F.col("__seen") >= F.col("__from")).join(clients, cell)
+    return usual.unionByName(result(pairs, F.col("__seen"), F.col("__booked")))

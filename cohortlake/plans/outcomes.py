@@ -10,6 +10,7 @@ from cohortlake.functions import ci_in, day_diff, ladder
 from cohortlake.operators import join_group_facts, latest_as_at, latest_by_group, live
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
+from cohortlake.plans.encounter import treatments
 
 # Exit reasons that mean the patient died.
 DEATH_REASONS = ["DIED", "dead", "Death", "Died"]
@@ -56,9 +57,9 @@ def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame,
         *KEY, "exit_date", "exit_reason", "effective_discontinuation_date", "re_enrollment_date"
     )
     enc = last_encounter.select(*KEY, "last_encounter_date", "next_appointment_date")
-    tx = live(art).filter(F.col("start_art_date").isNotNull()).select(
-        *KEY, "start_art_date", F.col("expected_return").alias("art_expected_return")
-    )
+    # the distribution of the treatment rows that D06 reads; rows without a start go only
+    # with the final grouping, as a filter here would be pushed below it and make it another one
+    tx = treatments(art).select(*KEY, "start_art_date", F.col("expected_return").alias("art_expected_return"))
     base = (
         patients.select("patient_id", "patient_pk", "patient_id_hash", "patient_pk_hash", "site_code", "emr", "project")
         .join(tx, KEY, "inner")
@@ -70,9 +71,14 @@ def art_outcomes(patients: DataFrame, art: DataFrame, last_encounter: DataFrame,
         "exit_reason", "exit_date", "last_encounter_date", "next_appointment_date",
         ladder(outcome_rules(a)).alias("art_outcome"),
         "site_code", "emr", "project", "re_enrollment_date", "effective_discontinuation_date",
-    ).distinct().withColumn("site_code", F.col("site_code").cast("string"))
-    # distinct before the (one-to-one) cast to text: the distinct then reuses
+    )
+    # grouped before the (one-to-one) cast to text: the grouping then reuses
     # the hash partitioning on (site_code, patient_pk) of the joins above
+    outcomes = (
+        outcomes.groupBy(*outcomes.columns).agg(F.max("start_art_date").alias("__started"))
+        .filter(F.col("__started").isNotNull()).drop("__started")
+        .withColumn("site_code", F.col("site_code").cast("string"))
+    )
     uploads = latest_by_group(
         manifest.select(F.col("site_code").cast("string").alias("site_code"), "date_recieved"),
         ["site_code"], "date_recieved", "date_uploaded",
