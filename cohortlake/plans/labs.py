@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.functions import below_or_in, ci_equals, ci_in, decimal_text, range_by_family
+from cohortlake.functions import below_or_in, decimal_text, range_by_family
 from cohortlake.operators import first_per_key, latest_per_key, live, top_n_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
+from cohortlake.sources.clustering import CLUSTERED, family
 
 LAB_TIE = ["lab_id"]
 
@@ -28,8 +29,8 @@ VL_COLUMNS = ["patient_id", "site_code", "patient_pk", "patient_pk_hash", "patie
 
 
 def viral_loads(labs: DataFrame) -> DataFrame:
-    """Viral-load rows with a result."""
-    return labs.filter(ci_equals("test_name", "Viral Load") & F.col("test_result").isNotNull())
+    """Viral-load rows with a result; of clustered labs the reader skips the other families."""
+    return labs.filter(family(labs, CLUSTERED["ct_patient_labs"], ["Viral Load"]) & F.col("test_result").isNotNull())
 
 
 def baseline_viral_load(labs: DataFrame, as_of) -> DataFrame:
@@ -90,7 +91,7 @@ def latest_diabetes_test(labs: DataFrame, as_of=None) -> DataFrame:
     controlled flag by family range. No load date (as in the source)."""
     names = [n for fam, *_ in DIABETES_FAMILIES for n in fam]
     keys = ["patient_pk_hash", "site_code"]
-    top = latest_per_key(live(labs).filter(ci_in("test_name", names)), keys, "ordered_by_date", LAB_TIE)
+    top = latest_per_key(live(labs).filter(family(labs, CLUSTERED["ct_patient_labs"], names)), keys, "ordered_by_date", LAB_TIE)
     value = decimal_text("test_result", 18, 2)
     key_ok = F.col("patient_pk_hash").isNotNull() & F.col("site_code").isNotNull()
     return top.select(
