@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from cohortlake.params import AsOf
-from cohortlake.plans import encounter, hts_prep, labs, obs, outcomes, pbfw, pharmacy, pregnancy, programmes, visits
+from cohortlake.plans import encounter, hts_prep, labs, obs, outcomes, pbfw, pharmacy, pregnancy, programmes, visit_pass, visits
 
 # Dataset id -> (name, upstream dataset ids). Order is a valid build order.
 DATASETS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -48,10 +48,19 @@ def query_name(ds_id: str) -> str:
 
 
 class DatasetGraph:
-    def __init__(self, tables, as_of, overrides: dict[str, DataFrame] | None = None):
+    def __init__(self, tables, as_of, overrides: dict[str, DataFrame] | None = None, visit_candidates: DataFrame | None = None):
+        """``visit_candidates``: the written result of ``visit_pass.candidates``, read instead of the visits
+        where a dataset reduces them per key."""
         self.t = tables
         self.as_of = AsOf.of(as_of)
         self._over = overrides or {}
+        self._candidates = visit_candidates
+
+    def _visits(self, *kinds: str) -> DataFrame:
+        """The clinical visits, or the candidates of these kinds where there are any."""
+        if self._candidates is None:
+            return self.t.ct_patient_visits
+        return visit_pass.of_kind(self._candidates, *kinds)
 
     def get(self, ds_id: str) -> DataFrame:
         if ds_id in self._over:
@@ -60,11 +69,11 @@ class DatasetGraph:
 
     @cached_property
     def d01(self):
-        return visits.last_visit(self.t.ct_patient_visits, self.as_of)
+        return visits.last_visit(self._visits("newest"), self.as_of)
 
     @cached_property
     def d02(self):
-        return visits.last_visit_as_at(self.t.ct_patient_visits, self.as_of)
+        return visits.last_visit_as_at(self._visits("newest"), self.as_of)
 
     @cached_property
     def d03(self):
@@ -81,7 +90,7 @@ class DatasetGraph:
     @cached_property
     def d06(self):
         t = self.t
-        return encounter.last_encounter(t.ct_patient_pharmacy, t.ct_art_patients, t.ct_patient_visits, self.as_of)
+        return encounter.last_encounter(t.ct_patient_pharmacy, t.ct_art_patients, self._visits("newest_to_month_end"), self.as_of)
 
     @cached_property
     def d07(self):
@@ -91,12 +100,12 @@ class DatasetGraph:
 
     @cached_property
     def d08(self):
-        return visits.latest_weight_height(self.t.ct_patient_visits, self.as_of)
+        return visits.latest_weight_height(self._visits("newest_weighed"), self.as_of)
 
     @cached_property
     def d09(self):
         t = self.t
-        return obs.latest_obs(t.ct_patient, t.ct_patient_visits, t.ct_ipt, self.get("d06"), self.get("d08"),
+        return obs.latest_obs(t.ct_patient, self._visits("newest"), t.ct_ipt, self.get("d06"), self.get("d08"),
                               self.as_of)
 
     @cached_property
@@ -106,8 +115,9 @@ class DatasetGraph:
         # uses are computed (same distinct rows, far less work)
         src = self._over.get("d09")
         if src is None:
-            src = obs.pregnancy_obs(t.ct_patient, t.ct_patient_visits)
-        return pbfw.pbfw(src, t.ct_art_patients, t.ct_patient, self.get("d01"), t.ct_patient_visits,
+            src = obs.pregnancy_obs(t.ct_patient, self._visits("newest"))
+        first = self._visits("first_pregnant", "first_pregnant_or_breastfeeding")
+        return pbfw.pbfw(src, t.ct_art_patients, t.ct_patient, self.get("d01"), first,
                          t.mnch_anc_visits, t.mnch_pnc_visits, t.mnch_mat_visits, t.mnch_arts, t.mnch_enrolments,
                          self.as_of)
 
@@ -134,12 +144,12 @@ class DatasetGraph:
     @cached_property
     def d16(self):
         t = self.t
-        return pregnancy.pregnancy_at_initiation(t.ct_patient_visits, t.ct_patient, t.ct_art_patients, self.as_of)
+        return pregnancy.pregnancy_at_initiation(self._visits("first_pregnant_live"), t.ct_patient, t.ct_art_patients, self.as_of)
 
     @cached_property
     def d17(self):
         t = self.t
-        return pregnancy.pregnancy_during_art(t.ct_patient_visits, t.ct_patient, t.ct_art_patients, self.as_of)
+        return pregnancy.pregnancy_during_art(self._visits("first_pregnant_live"), t.ct_patient, t.ct_art_patients, self.as_of)
 
     @cached_property
     def d18(self):

@@ -26,6 +26,14 @@ def _yes(c: str):
     return ci_equals(c, "Yes")
 
 
+def pregnant_visit():
+    return _yes("pregnant")
+
+
+def breastfeeding_visit():
+    return _yes("breastfeeding")
+
+
 def pbfw_visits(obs: DataFrame, art: DataFrame, patients: DataFrame, last_visit: DataFrame, as_of) -> DataFrame:
     """Women from the latest observations: pregnant, or breastfeeding with an
     age over 10 and a gestation start within 450 days of the end of the
@@ -63,7 +71,7 @@ def first_pregnant_or_breastfeeding_visit(visits: DataFrame, art: DataFrame) ->
     per-key flag "has a qualifying treatment record"; the flag picks the
     candidate. Visits are not joined to the treatment table row by row.
     """
-    preg, bf = _yes("pregnant"), _yes("breastfeeding")
+    preg, bf = pregnant_visit(), breastfeeding_visit()
     order = F.struct(F.col("visit_date").isNotNull().alias("dated"), F.col("visit_date").alias("d"))
     cand = visits.filter(preg | bf).groupBy(*KEY).agg(
         F.min(F.when(preg, order)).alias("first_pregnant"),

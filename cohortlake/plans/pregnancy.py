@@ -15,9 +15,13 @@ from cohortlake.plans import KEY
 PREGNANT_YES = ["YES", "Y"]
 
 
+def pregnant_answer() -> Column:
+    return ci_in("pregnant", PREGNANT_YES)
+
+
 def _first_pregnant_women(visits: DataFrame, patients: DataFrame, art: DataFrame) -> DataFrame:
     first = first_per_key(
-        live(visits).filter(ci_in("pregnant", PREGNANT_YES)), KEY, "visit_date", ["visit_id"]
+        live(visits).filter(pregnant_answer()), KEY, "visit_date", ["visit_id"]
     ).select(*KEY, "visit_date")
     women = live(patients).filter(ci_equals("gender", "Female")).select(
         *KEY, "patient_id", "patient_pk_hash", "patient_id_hash", "registration_at_ccc"

@@ -3,17 +3,18 @@
 Each dataset is written with the staging-and-swap sink; datasets that others
 depend on (D01, D02, D04, D06, D08, D09) are read back from their written
 table, which cuts the lineage: a lost executor later in the run recomputes
-from the shared files, not from the base tables.
+from the shared files, not from the base tables. The clinical visits are reduced
+once for all datasets that rank them per key (``visit_pass``).
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.params import AsOf
-from cohortlake.plans import KEY
+from cohortlake.plans import KEY, visit_pass
 from cohortlake.plans.graph import DATASETS, DatasetGraph
 from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table, read_marker, remove_marker, write_marker
 from cohortlake.sources.tables import read_table
@@ -35,6 +36,26 @@ def _mark(spark: SparkSession, path: str, as_of) -> None:
     write_marker(spark, _marker(path), AsOf.of(as_of).day.isoformat())
 
 
+def _visit_candidates(spark: SparkSession, tables, as_of, out_dir: str | None, database: str | None, wanted: set[str],
+                      resume: bool) -> DataFrame | None:
+    """The visits reduced once for all wanted datasets that rank them per key, written
+    and read back; None where less than two of them are wanted."""
+    users = sorted(wanted & visit_pass.USES.keys())
+    if len(users) < 2:
+        return None
+    kinds = sorted({k for u in users for k in visit_pass.USES[u]})
+    if database:
+        table = f"{database}.visit_candidates"
+        overwrite_catalog_table(visit_pass.candidates(tables.ct_patient_visits, as_of, kinds), table)
+        return spark.table(table)
+    path, done = f"{out_dir.rstrip('/')}/visit_candidates", f"{AsOf.of(as_of).day.isoformat()} {','.join(kinds)}"
+    if not (resume and read_marker(spark, _marker(path)) == done):
+        remove_marker(spark, _marker(path))
+        overwrite_table(visit_pass.candidates(tables.ct_patient_visits, as_of, kinds), path)
+        write_marker(spark, _marker(path), done)
+    return spark.read.parquet(path)
+
+
 def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[str] | None = None,
             database: str | None = None, buckets: int | None = None, resume: bool = False) -> dict[str, float]:
     """Build every dataset (or ``only`` these and what they need) into
@@ -54,10 +75,11 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[
                 stack.append(u)
     written: dict = {}
     timings: dict[str, float] = {}
+    reduced = _visit_candidates(spark, tables, as_of, out_dir, database, wanted, resume)
     for ds_id, (name, _) in DATASETS.items():
         if ds_id not in wanted:
             continue
-        graph = DatasetGraph(tables, as_of, overrides=written)
+        graph = DatasetGraph(tables, as_of, overrides=written, visit_candidates=reduced)
         t0 = time.time()
         path = f"{out_dir.rstrip('/')}/{ds_id}_{name}.parquet" if out_dir else None
         if resume and path and not database and _completed(spark, path, as_of):
