@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import day_diff, later_of, later_strict, plus_days, plus_days_if_null, repair_return_date
-from cohortlake.operators import full_merge, latest_per_key, live
+from cohortlake.operators import full_merge, in_tasks, latest_per_key, live
 from cohortlake.params import AsOf
 from cohortlake.plans import IDS, KEY
 from cohortlake.plans.pharmacy import DISPENSE_TIE
@@ -132,5 +132,6 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     first = first.withColumn("__share", F.pmod(F.xxhash64("__booked"), F.col("__ways")).cast("int")).drop("__ways")
     seen = many.select(*KEY, "__ways", "__seen").distinct().filter(F.col("__seen").isNotNull()).withColumn("__share", every).drop("__ways")
     clients = many.select(*IDS, "__ways").distinct().withColumn("__share", every).drop("__ways")
+    first, seen, clients = (in_tasks(df, *cell) for df in (first, seen, clients))
     pairs = first.join(seen, cell).filter(F.col("__seen") >= F.col("__from")).join(clients, cell)
     return usual.unionByName(result(pairs, F.col("__seen"), F.col("__booked")))

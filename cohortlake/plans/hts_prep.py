@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ci_equals, day_diff, hash_id
-from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, latest_per_key
+from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, large_keys, latest_per_key, split_product
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
@@ -18,6 +18,9 @@ from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
 # Fixed value: tests before this date are not reported.
 HTS_SINCE = dt.date(2015, 1, 1)
 
+#: Pairs of month 1 and month 3 rows of a key that one task builds, about.
+PAIRS_A_TASK = 100_000
+
 # Columns a test carries, in source order.
 HTS_COLUMNS = [
     "test_date", "encounter_id", "site_code", "patient_pk", "patient_pk_hash", "emr", "project", "date_extracted",
@@ -77,9 +80,10 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
     each with the test(s) done the same day. Month 3 reports days since
     enrolment. Rows are distinct.
 
-    The tests are read once: the dates of month 1 and month 3 are stacked and
-    joined to the tests of their day together, and then gathered per key into
-    one set for each month, which is as large as its part of the result.
+    The tests are read once: the dates of month 1 and month 3 are stacked and joined to
+    the tests of their day together, and each different row is flagged with the months it
+    belongs to. A key's months meet as rows, never as arrays; the clients of a key with
+    very many of both are met by several tasks (``split_product``).
     """
     a = AsOf.of(as_of)
     pkey = ["prep_number", "patient_pk", "site_code"]
@@ -95,17 +99,28 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
     month3 = month3.select(*KEY, days_in, "dispense_date").distinct()
     dates = month1.withColumn("month", F.lit(1)).unionByName(month3.withColumn("month", F.lit(3)))
     tested = dates.withColumn("day", F.to_date("dispense_date")).join(tests, [*KEY, "day"], "left")
-    one = F.struct("days_in", "result", "test_date", "dispense_date")
-    months = tested.groupBy(*KEY).agg(*[F.collect_set(F.when(F.col("month") == m, one)).alias(f"m{m}") for m in (1, 3)])
+    # one distribution by key, read for both months: flags that come from the grouping
+    # are not pushed below it
+    fields = ["days_in", "result", "test_date", "dispense_date"]
+    rows = tested.select(*KEY, *fields, "month").repartition(*KEY).groupBy(*KEY, *fields).agg(
+        *[F.max(F.col("month") == m).alias(f"in{m}") for m in (1, 3)])
+    sizes = rows.groupBy(*KEY).agg(*[F.sum(F.col(f"in{m}").cast("int")).cast("double").alias(f"n{m}") for m in (1, 3)])
+    pairs = F.col("n1") * F.col("n3")
+    large = large_keys(sizes, KEY, pairs > PAIRS_A_TASK, pairs / PAIRS_A_TASK)
+    months = [rows.filter(f"in{m}").select(*KEY, *[F.col(c).alias(f"{c}{m}") for c in fields]) for m in (1, 3)]
     clients = prep_patients.filter(F.col("prep_number").isNotNull()).select(
         "prep_number", "prep_number_hash", "patient_pk", "patient_pk_hash", "prep_enrollment_date", "site_code"
-    ).distinct()
-    out = clients.join(months, KEY, "left").withColumn("m1", F.explode_outer("m1")).withColumn("m3", F.explode_outer("m3"))
-    return out.select(
-        "prep_number", "patient_pk", "patient_pk_hash", "prep_number_hash", "site_code",
-        *[F.col(f"m{m}.{field}").alias(name.format(m))
-          for m in (1, 3)
-          for field, name in [("days_in", "refil{}_diff_in_days"), ("result", "test_results_month{}"),
-                              ("test_date", "test_date_month{}"), ("dispense_date", "dispense_date_month{}")]],
-        a.load_date(),
-    ).distinct()
+    )
+
+    def result(met: DataFrame) -> DataFrame:
+        return met.select(
+            "prep_number", "patient_pk", "patient_pk_hash", "prep_number_hash", "site_code",
+            *[F.col(f"{field}{m}").alias(name.format(m))
+              for m in (1, 3)
+              for field, name in [("days_in", "refil{}_diff_in_days"), ("result", "test_results_month{}"),
+                                  ("test_date", "test_date_month{}"), ("dispense_date", "dispense_date_month{}")]],
+            a.load_date(),
+        ).distinct()
+
+    usual = clients.join(large.select(*KEY), KEY, "left_anti").join(months[0], KEY, "left").join(months[1], KEY, "left")
+    return result(usual).unionByName(result(split_product(clients.distinct(), months, KEY, large)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import below_or_in, decimal_text, range_by_family
@@ -71,19 +71,18 @@ def viral_load_intervals(labs: DataFrame, art: DataFrame, as_of, months: Sequenc
     monthly = live(viral_loads(labs)).groupBy(*KEY, "patient_id", month("ordered_by_date").alias("__month")).agg(first.alias("__first"))
     tx = live(art).select(*KEY, "patient_pk_hash", "patient_id_hash", month("start_art_date").alias("__start"))
     months_on = F.col("__month") - F.col("__start")
-    wide = monthly.join(tx, KEY).groupBy(*KEY).agg(
-        F.collect_set(F.struct("patient_id", "patient_pk_hash", "patient_id_hash")).alias("__clients"),
-        *[F.min(F.when(months_on == m, F.col("__first"))).alias(f"__m{m}") for m in months],
-    )
+    # a client's first results, then the key's: both on the one distribution by key
+    client = ["patient_id", "patient_pk_hash", "patient_id_hash"]
+    own = monthly.join(tx, KEY).groupBy(*KEY, *client).agg(
+        *[F.min(F.when(months_on == m, F.col("__first"))).alias(f"__m{m}") for m in months])
+    of_key = Window.partitionBy(*KEY)
+    wide = own.select(*KEY, *client, *[F.min(f"__m{m}").over(of_key).alias(f"__m{m}") for m in months])
     values = []
     for m in months:
         result = F.col(f"__m{m}.result")
         values += [result.alias(f"vl_{m}_month"), F.col(f"__m{m}.at").alias(f"vl_{m}_month_date"),
                    F.when(F.col(f"__m{m}").isNotNull(), below_or_in(result, 200.0, SUPPRESSED_WORDS)).alias(f"vl_{m}_month_sup")]
-    return wide.withColumn("__client", F.explode("__clients")).select(
-        "patient_pk", "__client.patient_id", "site_code", "__client.patient_pk_hash", "__client.patient_id_hash",
-        *values, a.load_date(),
-    )
+    return wide.select("patient_pk", "patient_id", "site_code", "patient_pk_hash", "patient_id_hash", *values, a.load_date())
 
 
 def latest_diabetes_test(labs: DataFrame, as_of=None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import banded_days, ci_in, not_blank, year_boundary_diff
-from cohortlake.operators import latest_per_key, live
+from cohortlake.operators import large_keys, latest_per_key, live, split_product
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -29,38 +29,61 @@ _VISIT_SETS = [
 ]
 
 
-def last_visit_attribute_sets(visits: DataFrame, ipt: DataFrame | None,
-                              groups: list[str] | None = None) -> DataFrame:
-    """Per key, the distinct values of each attribute group at the last visit,
-    and of the TB screening when the newest screening is that same visit.
+#: Rows of a last visit up to which its values are gathered per key; larger visits go through ``split_product``.
+ROWS_IN_PLACE = 64
+#: Rows of a large last visit that ask for one more share.
+ROWS_A_SHARE = 16
 
-    The rows of the last visit are those of rank 1 by (date, visit id), so each
-    map task forwards only a key's newest visit (a partial limit) and one
-    exchange on the key carries them; the newest screening, one row per key,
-    joins after that. A visit without date or id is no last visit. Each set
-    holds the distinct values of one visit.
+
+def last_visit_rows(visits: DataFrame, sets: list) -> DataFrame:
+    """The different rows of each key's last visit.
+
+    These are the rows of rank 1 by (date, visit id), so each map task forwards only a
+    key's newest visit (a partial limit) and one exchange on the key carries them. A visit
+    without date or id is no last visit. The distinct over all columns keeps this one
+    distribution for all readers.
     """
-    sets = [g for g in _VISIT_SETS if groups is None or g[0] in groups]
     attr_cols = sorted({c for _, _, cols in sets for c in cols} | {"adherence_category"})
     newest = Window.partitionBy(*KEY).orderBy(F.col("visit_date").desc_nulls_last(), F.col("visit_id").desc_nulls_last())
-    rows = (
+    return (
         live(visits).select(*KEY, "visit_date", "visit_id", *attr_cols)
         .withColumn("__rank", F.rank().over(newest)).filter("__rank = 1").drop("__rank")
         .filter(F.col("visit_date").isNotNull() & F.col("visit_id").isNotNull())
         .distinct()
     )
+
+
+def last_visit_sets(rows: DataFrame, sets: list) -> DataFrame:
+    """Per key, the distinct values of each attribute group, with the visit's date and id."""
     aggs = []
     for name, cond, cols in sets:
         kept = F.struct(*[F.col(c) for c in cols])
         aggs.append(F.collect_set(kept if cond is None else F.when(cond(), kept)).alias(name))
-    out = rows.groupBy(*KEY).agg(*aggs, F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
-    if ipt is not None:
-        screening = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
-            *KEY, F.col("visit_date").alias("__tb_date"), F.col("visit_id").alias("__tb_id"), "tb_screening")
-        same = (F.col("__tb_date") == F.col("__date")) & (F.col("__tb_id") == F.col("__id"))
-        found = F.when(same, F.array(F.struct("tb_screening")))
-        out = out.join(screening, KEY, "left").withColumn("s_tb", found).drop("__tb_date", "__tb_id", "tb_screening")
-    return out.drop("__date", "__id")
+    return rows.groupBy(*KEY).agg(*aggs, F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
+
+
+def last_visit_parts(rows: DataFrame, sets: list) -> list[DataFrame]:
+    """The same groups as rows: one table (key, group as a struct) for each."""
+    parts = []
+    for name, cond, cols in sets:
+        kept = rows if cond is None else rows.filter(cond())
+        parts.append(kept.select(*KEY, F.struct(*[F.col(c) for c in cols]).alias(name)).distinct())
+    return parts
+
+
+def _large_visits(rows: DataFrame) -> DataFrame:
+    n = F.col("__n")
+    return large_keys(rows.groupBy(*KEY).agg(F.count("*").alias("__n")), KEY, n > ROWS_IN_PLACE, n / ROWS_A_SHARE)
+
+
+def _tb(rows: DataFrame, ipt: DataFrame) -> DataFrame:
+    """``rows`` (with ``__date`` and ``__id`` of the last visit) with ``s_tb``: the newest
+    screening, one row per key, where it is of that same visit."""
+    screening = latest_per_key(live(ipt), KEY, "visit_date", ["visit_id"]).select(
+        *KEY, F.col("visit_date").alias("__tb_date"), F.col("visit_id").alias("__tb_id"), "tb_screening")
+    same = (F.col("__tb_date") == F.col("__date")) & (F.col("__tb_id") == F.col("__id"))
+    return rows.join(screening, KEY, "left").withColumn("s_tb", F.when(same, F.struct("tb_screening"))).drop(
+        "__tb_date", "__tb_id", "tb_screening", "__date", "__id")
 
 
 def pregnancy_obs(patients: DataFrame, visits: DataFrame) -> DataFrame:
@@ -70,10 +93,14 @@ def pregnancy_obs(patients: DataFrame, visits: DataFrame) -> DataFrame:
     adherence, care model, stability, family planning, WHO stage, TB). D10
     takes a DISTINCT over these values, so the set of rows it sees is the
     same as from the full D09."""
-    sets = last_visit_attribute_sets(visits, None, groups=["s_pregnant", "s_bf"])
-    out = live(patients).select("patient_pk_hash", "patient_pk", "site_code").join(sets, KEY, "left")
-    for name in ["s_pregnant", "s_bf"]:
-        out = out.withColumn(name, F.explode_outer(name))
+    sets = [g for g in _VISIT_SETS if g[0] in ("s_pregnant", "s_bf")]
+    rows = last_visit_rows(visits, sets)
+    large = _large_visits(rows)
+    base = live(patients).select("patient_pk_hash", "patient_pk", "site_code")
+    usual = base.join(large.select(*KEY), KEY, "left_anti").join(last_visit_sets(rows, sets), KEY, "left")
+    for name, *_ in sets:
+        usual = usual.withColumn(name, F.explode_outer(name))
+    out = usual.drop("__date", "__id").unionByName(split_product(base, last_visit_parts(rows, sets), KEY, large))
     return out.select(
         "patient_pk_hash", "patient_pk", "site_code",
         F.col("s_pregnant.pregnant").alias("pregnant"),
@@ -111,17 +138,27 @@ def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame,
     distinct values at the last visit (or several encounter rows) give several
     output rows. Upstream D06 is consumed once."""
     a = AsOf.of(as_of)
-    pts = live(patients)
     wh = weight_height.select("patient_pk_hash", "site_code", F.col("weight").alias("latest_weight"),
                               F.col("height").alias("latest_height"))
-    out = (
-        pts.select("patient_pk_hash", "patient_pk", "site_code")
-        .join(wh, ["patient_pk_hash", "site_code"], "left")
-        .join(encounter_facts(patients, last_encounter), KEY, "left")
-        .join(last_visit_attribute_sets(visits, ipt), KEY, "left")
-    )
-    for name in ["s_age", "s_mmd", *[n for n, _, _ in _VISIT_SETS], "s_tb"]:
-        out = out.withColumn(name, F.explode_outer(name))
+    base = live(patients).select("patient_pk_hash", "patient_pk", "site_code")
+    facts = encounter_facts(patients, last_encounter)
+    rows = last_visit_rows(visits, _VISIT_SETS)
+    large = _large_visits(rows)
+    visit = rows.groupBy(*KEY).agg(F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
+
+    def with_facts(keyed: DataFrame) -> DataFrame:
+        met = _tb(keyed.join(facts, KEY, "left"), ipt)
+        return met.withColumn("s_age", F.explode_outer("s_age")).withColumn("s_mmd", F.explode_outer("s_mmd"))
+
+    # usual visits: one row of value sets per key, expanded in place
+    usual = base.join(large.select(*KEY), KEY, "left_anti").join(last_visit_sets(rows, _VISIT_SETS), KEY, "left")
+    usual = with_facts(usual)
+    for name, *_ in _VISIT_SETS:
+        usual = usual.withColumn(name, F.explode_outer(name))
+    # large ones: every set as rows of its own, multiplied by several tasks
+    spread = with_facts(base.join(large.select(*KEY), KEY, "left_semi").join(visit, KEY, "left"))
+    spread = split_product(spread, last_visit_parts(rows, _VISIT_SETS), KEY, large)
+    out = usual.unionByName(spread).join(wh, ["patient_pk_hash", "site_code"], "left")
     # an age seen n times gives n rows, as separate rows of the source would
     out = out.withColumn("__rep", F.explode_outer(F.array_repeat(F.lit(1), F.col("s_age.n").cast("int"))))
     return out.select(

@@ -72,18 +72,20 @@ def first_pregnant_or_breastfeeding_visit(visits: DataFrame, art: DataFrame) ->
     candidate. Visits are not joined to the treatment table row by row.
     """
     preg, bf = pregnant_visit(), breastfeeding_visit()
-    order = F.struct(F.col("visit_date").isNotNull().alias("dated"), F.col("visit_date").alias("d"))
-    cand = visits.filter(preg | bf).groupBy(*KEY).agg(
-        F.min(F.when(preg, order)).alias("first_pregnant"),
-        F.min(order).alias("first_any"),
-    )
+    # a null date counts as the first: a minimum and a flag, both of fixed width, so that the
+    # visits are reduced by a hash aggregate without sorting them
+    def first(of, name):
+        return [F.min(F.when(of, F.col("visit_date"))).alias(name), F.max(F.when(of, F.col("visit_date").isNull())).alias(f"{name}_undated")]
+
+    cand = visits.filter(preg | bf).groupBy(*KEY).agg(*first(preg, "first_pregnant"), *first(preg | bf, "first_any"))
+    date = lambda name: F.when(~F.coalesce(f"{name}_undated", F.lit(False)), F.col(name))
     art_ok = (
         art.filter(year_boundary_diff("dob", "last_visit") > MIN_AGE_FIRST_VISIT)
         .select(*KEY).distinct().withColumn("art_ok", F.lit(True))
     )
     return cand.join(art_ok, KEY, "left").select(
         *KEY,
-        F.when(F.col("art_ok"), F.col("first_any.d")).otherwise(F.col("first_pregnant.d")).alias("anc_date1"),
+        F.when(F.col("art_ok"), date("first_any")).otherwise(date("first_pregnant")).alias("anc_date1"),
     )
 
 

@@ -64,3 +64,67 @@ def test_last_encounter_pairs_of_large_and_small_keys(spark, monkeypatch, in_pla
         frame(visits, "visit_id bigint, visit_date date, next_appointment_date date"), AS_OF)
     names = [c.split()[0] for c in IDS.split(", ")]
     assert rows(out, *names, "last_encounter_date", "next_appointment_date") == last_encounters(pharmacy, art, visits)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(("ds", "module", "name"), [("d09", "obs", "ROWS_IN_PLACE"), ("d10", "obs", "ROWS_IN_PLACE"), ("d23", "hts_prep", "PAIRS_A_TASK")])
+def test_large_key_branch_gives_the_same_rows(spark, monkeypatch, ds, module, name):
+    import importlib
+
+    plan = importlib.import_module(f"cohortlake.plans.{module}")
+    from cohortlake.params import FIXTURE_AS_OF
+    from cohortlake.plans.graph import DatasetGraph
+    from cohortlake.sources.adapter import FixtureTables
+
+    graph = lambda: DatasetGraph(FixtureTables(spark, SF), FIXTURE_AS_OF).get(ds)
+    want = rows(graph())
+    monkeypatch.setattr(plan, name, 0.5)  # every key counts as large
+    if module == "obs":
+        monkeypatch.setattr(plan, "ROWS_A_SHARE", 1)
+    assert rows(graph()) == want
+
+
+def test_prevention_refills_gather_no_arrays(spark):
+    from cohortlake.params import FIXTURE_AS_OF
+    from cohortlake.plans.graph import DatasetGraph
+    from cohortlake.sources.adapter import FixtureTables
+
+    plan = DatasetGraph(FixtureTables(spark, SF), FIXTURE_AS_OF).get("d23")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
+
+
+def test_refills_of_one_client_with_very_many_tests(spark, monkeypatch):
+    """Every refill day has 40 tests: 1,600 pairs of one key, next to an ordinary one."""
+    from cohortlake.plans import hts_prep
+
+    monkeypatch.setattr(hts_prep, "PAIRS_A_TASK", 50)
+    enrol = [("P1", "N1", 1, "H1", D(2020, 1, 1), 7), ("P2", "N2", 2, "H2", D(2020, 1, 1), 7), ("P3", "N3", 3, "H3", None, 7)]
+    refills = [("P1", 1, 7, 1, D(2020, 2, 2)), ("P1", 1, 7, 2, D(2020, 4, 4)), ("P2", 2, 7, 3, D(2020, 2, 2))]
+    tests = [(7, 1, day, f"r{n}") for day in (D(2020, 2, 2), D(2020, 4, 4)) for n in range(40)] + [(7, 2, D(2020, 2, 2), "Negative")]
+    out = hts_prep.prep_refills(
+        spark.createDataFrame(enrol, "prep_number string, prep_number_hash string, patient_pk bigint, patient_pk_hash string, prep_enrollment_date date, site_code int"),
+        spark.createDataFrame(refills, "prep_number string, patient_pk bigint, site_code int, dispense_id bigint, dispense_date date"),
+        spark.createDataFrame(tests, "site_code int, patient_pk bigint, test_date date, final_test_result string"), AS_OF).collect()
+    of = lambda pk: {(r.test_results_month1, r.test_results_month3) for r in out if r.patient_pk == pk}
+    assert of(1) == {(f"r{i}", f"r{j}") for i in range(40) for j in range(40)}
+    assert of(2) == {("Negative", None)} and of(3) == {(None, None)} and len(out) == 1602
+
+
+def test_split_product_spreads_one_key_and_keeps_rows_without_partners(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlake.operators import large_keys, split_product
+
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
+    values = lambda name: spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias(name))
+    none = spark.createDataFrame([], "k int, w int")
+    sizes = base.groupBy("k").agg(F.count("*").alias("n"))
+    large = large_keys(sizes, ["k"], F.col("k") <= 2, F.lit(13))
+    out = split_product(base, [values("y"), none, values("z"), values("v")], ["k"], large)
+    counted = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in counted) == 100**3 + 1
+    assert max(r["count"] for r in counted) < 0.5 * 100**3  # eight partitions, thirteen shares
+    assert out.filter("k = 1").distinct().count() == 100**3
+    assert [tuple(r) for r in out.filter("k = 2").collect()] == [(2, "b", None, None, None, None)]
