@@ -1,4 +1,10 @@
-"""Products of rows within a key, spread over tasks where a key has very many of them."""
+"""Products of rows within a key, spread over tasks where a key has very many of them.
+
+A key's rows are multiplied in cells (key, share): one side is dealt to the key's shares by its
+hash, the others are copied to every share. Each combination is met in exactly one
+cell, a key's product is built by as many tasks as it has shares, and the share is a pure
+function of the row, so task retries see the same rows.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Column of a list of large keys: shares that the key's rows are dealt to.
-WAYS = "__ways"
+#: Columns of a key's number of shares and of a row's share.
+WAYS, SHARE = "__ways", "__share"
 
 
 def large_keys(sizes: DataFrame, keys: Sequence[str], large: Column, ways: Column) -> DataFrame:
@@ -21,26 +27,19 @@ def large_keys(sizes: DataFrame, keys: Sequence[str], large: Column, ways: Colum
     return sizes.filter(large).select(*keys, F.greatest(F.ceil(ways).cast("int"), F.lit(1)).alias(WAYS)).repartition(*keys)
 
 
-def split_product(base: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str], large: DataFrame) -> DataFrame:
-    """``base`` left-joined to each part on ``keys``, for the keys of ``large`` (keys, ``__ways``) only.
-
-    Before each join the rows so far are dealt by their hash to the key's shares, and the
-    part's rows are copied to every share. So a key's product is built by as many
-    tasks as it has shares, no value list of a key is ever gathered into one row, and
-    a share that meets no part row keeps its rows, as a left join does. The share is a pure
-    function of the row, so task retries see the same rows.
-    """
-    rows, share = base.join(large, list(keys)), "__share"
-    for part in parts:
-        own = [c for c in rows.columns if c not in keys and c != WAYS]
-        copies = part.join(large, list(keys)).withColumn(share, F.explode(F.sequence(F.lit(0), F.col(WAYS) - 1))).drop(WAYS)
-        dealt = rows.withColumn(share, F.pmod(F.xxhash64(*own), F.col(WAYS)).cast("int"))
-        rows = in_tasks(dealt, *keys, share).join(in_tasks(copies, *keys, share), [*keys, share], "left").drop(share)
-    return rows.drop(WAYS)
-
-
 def in_tasks(df: DataFrame, *by: str) -> DataFrame:
     """``df`` distributed by the columns to as many tasks as the session shuffles to. Rows about to be
     multiplied are few and small; with the number given they are not put together by their size,
     nor is the distribution left out where the other side of a join turns out small."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def dealt(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows of large keys (with ``__ways``), each in one share of its key, chosen by the hash of ``by``."""
+    share = F.pmod(F.xxhash64(*by), F.col(WAYS)).cast("int")
+    return in_tasks(df.withColumn(SHARE, share).drop(WAYS), *keys, SHARE)
+
+
+def copied(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of large keys (with ``__ways``), each in every share of its key."""
+    return in_tasks(df.withColumn(SHARE, F.explode(F.sequence(F.lit(0), F.col(WAYS) - 1))).drop(WAYS), *keys, SHARE)

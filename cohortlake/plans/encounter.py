@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import day_diff, later_of, later_strict, plus_days, plus_days_if_null, repair_return_date
-from cohortlake.operators import full_merge, in_tasks, latest_per_key, live
+from cohortlake.operators import copied, dealt, full_merge, large_keys, latest_per_key, live
 from cohortlake.params import AsOf
 from cohortlake.plans import IDS, KEY
 from cohortlake.plans.pharmacy import DISPENSE_TIE
@@ -86,21 +86,19 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     counted = F.col("last_visit") <= eopm
     booked = lambda next_raw: F.when(day_diff(a.lit(), next_raw) <= 365, next_raw)
     n = F.col("__n").cast("double")
-    # distributed again, so that the (usually empty) list is known before what joins it is planned
-    large = (
-        tx.groupBy(*KEY).agg(F.count(F.when(counted, 1)).alias("__n")).filter(F.col("__n") > ROWS_IN_PLACE)
-        .select(*KEY, F.ceil(n * n / PAIRS_A_SHARE).cast("int").alias("__ways")).repartition(*KEY)
-    )
+    large = large_keys(tx.groupBy(*KEY).agg(F.count(F.when(counted, 1)).alias("__n")), KEY, n > ROWS_IN_PLACE, n * n / PAIRS_A_SHARE)
+
+    def with_facts(rows: DataFrame) -> DataFrame:
+        """What the key has without its treatment rows."""
+        return rows.join(ph, KEY, "left").join(lv, KEY, "left").withColumns(
+            {"__from_seen": later_of("ph_date", "v_date"), "__from_next": later_of("ph_next", "v_next")})
 
     def with_events(rows: DataFrame) -> DataFrame:
-        """Each treatment row with the encounter and the appointment that it gives,
-        null if it does not count, and what the key has without any such row."""
-        joined = rows.join(ph, KEY, "left").join(lv, KEY, "left")
-        seen, next_raw = later_of("ph_date", "v_date"), later_of("ph_next", "v_next")
-        return joined.withColumns({
-            "__own": F.struct(seen.alias("seen"), booked(next_raw).alias("booked")),
-            "__seen": F.when(counted, F.greatest(seen, F.col("last_visit"))),
-            "__booked": F.when(counted, booked(F.greatest(next_raw, F.col("expected_return")))),
+        """The encounter and the appointment that each treatment row gives, null if it does not count."""
+        return rows.withColumns({
+            "__own": F.struct(F.col("__from_seen").alias("seen"), booked(F.col("__from_next")).alias("booked")),
+            "__seen": F.when(counted, F.greatest("__from_seen", "last_visit")),
+            "__booked": F.when(counted, booked(F.greatest("__from_next", "expected_return"))),
         })
 
     def result(rows: DataFrame, seen, next_booked) -> DataFrame:
@@ -113,7 +111,7 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
 
     rest = [c for c in IDS if c not in KEY]
     event = F.struct(F.col("__seen").alias("seen"), F.col("__booked").alias("booked"))
-    usual = with_events(tx.join(large.select(*KEY), KEY, "left_anti")).groupBy(*KEY).agg(
+    usual = with_events(with_facts(tx.join(large.select(*KEY), KEY, "left_anti"))).groupBy(*KEY).agg(
         F.collect_set(F.struct(*rest)).alias("__ids"), F.max("__own").alias("__own"),
         F.collect_set(F.when(counted, event)).alias("__events"),
     )
@@ -125,13 +123,12 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     usual = result(usual, F.when(none, F.col("__own.seen")).otherwise(F.col("__last")),
                    F.when(none, F.col("__own.booked")).otherwise(F.col("__first.booked")))
 
-    cell = [*KEY, "__share"]
-    every = F.explode(F.sequence(F.lit(0), F.col("__ways") - 1))
-    many = with_events(tx.join(large, KEY))
+    facts = with_facts(large).select(*KEY, "__ways", "__from_seen", "__from_next").repartition(*KEY)
+    many = with_events(tx.join(facts, KEY))
     first = many.groupBy(*KEY, "__ways", "__booked").agg(F.min("__seen").alias("__from")).filter(F.col("__from").isNotNull())
-    first = first.withColumn("__share", F.pmod(F.xxhash64("__booked"), F.col("__ways")).cast("int")).drop("__ways")
-    seen = many.select(*KEY, "__ways", "__seen").distinct().filter(F.col("__seen").isNotNull()).withColumn("__share", every).drop("__ways")
-    clients = many.select(*IDS, "__ways").distinct().withColumn("__share", every).drop("__ways")
-    first, seen, clients = (in_tasks(df, *cell) for df in (first, seen, clients))
-    pairs = first.join(seen, cell).filter(F.col("__seen") >= F.col("__from")).join(clients, cell)
+    seen = many.select(*KEY, "__ways", "__seen").distinct().filter(F.col("__seen").isNotNull())
+    clients = tx.join(large, KEY).select(*IDS, "__ways").distinct()
+    cell = [*KEY, "__share"]
+    pairs = dealt(first, KEY, ["__booked"]).join(copied(seen, KEY), cell).filter(F.col("__seen") >= F.col("__from"))
+    pairs = pairs.join(copied(clients, KEY), cell)
     return usual.unionByName(result(pairs, F.col("__seen"), F.col("__booked")))

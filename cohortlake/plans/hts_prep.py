@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ci_equals, day_diff, hash_id
-from cohortlake.operators import dedup_encounters, first_per_key, follow_up_in_window, large_keys, latest_per_key, split_product
+from cohortlake.operators import copied, dealt, dedup_encounters, first_per_key, follow_up_in_window, large_keys, latest_per_key
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 from cohortlake.plans.schema import PREP_VISIT_COLUMNS, RISK_TEXT_COLUMNS
@@ -82,8 +82,8 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
 
     The tests are read once: the dates of month 1 and month 3 are stacked and joined to
     the tests of their day together, and each different row is flagged with the months it
-    belongs to. A key's months meet as rows, never as arrays; the clients of a key with
-    very many of both are met by several tasks (``split_product``).
+    belongs to. A key's months meet as rows, never as arrays; those of a key with
+    very many of both meet in several tasks (``operators.product``).
     """
     a = AsOf.of(as_of)
     pkey = ["prep_number", "patient_pk", "site_code"]
@@ -123,4 +123,8 @@ def prep_refills(prep_patients: DataFrame, prep_pharmacy: DataFrame, hts: DataFr
         ).distinct()
 
     usual = clients.join(large.select(*KEY), KEY, "left_anti").join(months[0], KEY, "left").join(months[1], KEY, "left")
-    return result(usual).unionByName(result(split_product(clients.distinct(), months, KEY, large)))
+    cell = [*KEY, "__share"]
+    # a large key has rows of both months
+    many = dealt(months[0].join(large, KEY), KEY, [f"{c}1" for c in fields]).join(copied(months[1].join(large, KEY), KEY), cell)
+    many = many.join(copied(clients.join(large, KEY).distinct(), KEY), cell)
+    return result(usual).unionByName(result(many))

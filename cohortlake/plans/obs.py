@@ -3,11 +3,13 @@ encounter, multi-month dispensing, and attributes of the last visit."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import banded_days, ci_in, not_blank, year_boundary_diff
-from cohortlake.operators import large_keys, latest_per_key, live, split_product
+from cohortlake.operators import in_tasks, latest_per_key, live
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY
 
@@ -29,10 +31,8 @@ _VISIT_SETS = [
 ]
 
 
-#: Rows of a last visit up to which its values are gathered per key; larger visits go through ``split_product``.
-ROWS_IN_PLACE = 64
-#: Rows of a large last visit that ask for one more share.
-ROWS_A_SHARE = 16
+#: Rows of the product of a key's value sets that one task builds, about.
+ROWS_A_SHARE = 10_000
 
 
 def last_visit_rows(visits: DataFrame, sets: list) -> DataFrame:
@@ -54,7 +54,8 @@ def last_visit_rows(visits: DataFrame, sets: list) -> DataFrame:
 
 
 def last_visit_sets(rows: DataFrame, sets: list) -> DataFrame:
-    """Per key, the distinct values of each attribute group, with the visit's date and id."""
+    """Per key, the distinct values of each attribute group, with the visit's date and id.
+    A set holds what a single visit holds."""
     aggs = []
     for name, cond, cols in sets:
         kept = F.struct(*[F.col(c) for c in cols])
@@ -62,18 +63,33 @@ def last_visit_sets(rows: DataFrame, sets: list) -> DataFrame:
     return rows.groupBy(*KEY).agg(*aggs, F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
 
 
-def last_visit_parts(rows: DataFrame, sets: list) -> list[DataFrame]:
-    """The same groups as rows: one table (key, group as a struct) for each."""
-    parts = []
-    for name, cond, cols in sets:
-        kept = rows if cond is None else rows.filter(cond())
-        parts.append(kept.select(*KEY, F.struct(*[F.col(c) for c in cols]).alias(name)).distinct())
-    return parts
-
+def expanded(wide: DataFrame, names: list[str], weight=None) -> DataFrame:
+    """``wide`` (one row per key, with arrays) with every set of values in ``names`` exploded.
 
-def _large_visits(rows: DataFrame) -> DataFrame:
-    n = F.col("__n")
-    return large_keys(rows.groupBy(*KEY).agg(F.count("*").alias("__n")), KEY, n > ROWS_IN_PLACE, n / ROWS_A_SHARE)
+    A key whose product is large goes out in as many shares as its size asks for: each
+    share has a slice of the largest set and all of the others, and the shares are
+    distributed before anything is multiplied, so several tasks build the product. A
+    usual key is one share. ``weight``: how many rows an element of the first set stands for.
+    """
+    sizes = [F.greatest(F.size(n), F.lit(1)) for n in names]
+    if weight is not None:
+        sizes.append(F.greatest(F.aggregate(names[0], F.lit(0.0), lambda acc, x: acc + weight(x)), F.lit(1.0)))
+    product = reduce(lambda a, b: a * b, [n.cast("double") for n in sizes])
+    largest = F.greatest(*[F.coalesce(F.size(n), F.lit(0)) for n in names], F.lit(1))
+    ways = F.least(F.ceil(product / ROWS_A_SHARE), largest).cast("int")
+    split = wide.withColumn("__largest", largest).withColumn("__ways", ways)
+    split = split.withColumn("__share", F.explode(F.sequence(F.lit(0), F.col("__ways") - 1)))
+    taken = F.lit(False)
+    for name in names:  # the first of the largest sets is the one that is cut
+        cut = (F.col("__ways") > 1) & (F.coalesce(F.size(name), F.lit(0)) == F.col("__largest")) & ~taken
+        mine = F.filter(F.col(name), lambda x, i: F.pmod(i, F.col("__ways")) == F.col("__share"))
+        split = split.withColumn(f"__cut_{name}", F.when(cut, mine).otherwise(F.col(name)))
+        taken = taken | cut
+    split = split.withColumns({n: F.col(f"__cut_{n}") for n in names}).drop(*[f"__cut_{n}" for n in names])
+    out = in_tasks(split.drop("__largest", "__ways"), *KEY, "__share").drop("__share")
+    for name in names:
+        out = out.withColumn(name, F.explode_outer(name))
+    return out
 
 
 def _tb(rows: DataFrame, ipt: DataFrame) -> DataFrame:
@@ -94,13 +110,9 @@ def pregnancy_obs(patients: DataFrame, visits: DataFrame) -> DataFrame:
     takes a DISTINCT over these values, so the set of rows it sees is the
     same as from the full D09."""
     sets = [g for g in _VISIT_SETS if g[0] in ("s_pregnant", "s_bf")]
-    rows = last_visit_rows(visits, sets)
-    large = _large_visits(rows)
     base = live(patients).select("patient_pk_hash", "patient_pk", "site_code")
-    usual = base.join(large.select(*KEY), KEY, "left_anti").join(last_visit_sets(rows, sets), KEY, "left")
-    for name, *_ in sets:
-        usual = usual.withColumn(name, F.explode_outer(name))
-    out = usual.drop("__date", "__id").unionByName(split_product(base, last_visit_parts(rows, sets), KEY, large))
+    wide = base.join(last_visit_sets(last_visit_rows(visits, sets), sets), KEY, "left").drop("__date", "__id")
+    out = expanded(wide, [name for name, *_ in sets])
     return out.select(
         "patient_pk_hash", "patient_pk", "site_code",
         F.col("s_pregnant.pregnant").alias("pregnant"),
@@ -140,25 +152,10 @@ def latest_obs(patients: DataFrame, visits: DataFrame, ipt: DataFrame,
     a = AsOf.of(as_of)
     wh = weight_height.select("patient_pk_hash", "site_code", F.col("weight").alias("latest_weight"),
                               F.col("height").alias("latest_height"))
-    base = live(patients).select("patient_pk_hash", "patient_pk", "site_code")
-    facts = encounter_facts(patients, last_encounter)
-    rows = last_visit_rows(visits, _VISIT_SETS)
-    large = _large_visits(rows)
-    visit = rows.groupBy(*KEY).agg(F.max("visit_date").alias("__date"), F.max("visit_id").alias("__id"))
-
-    def with_facts(keyed: DataFrame) -> DataFrame:
-        met = _tb(keyed.join(facts, KEY, "left"), ipt)
-        return met.withColumn("s_age", F.explode_outer("s_age")).withColumn("s_mmd", F.explode_outer("s_mmd"))
-
-    # usual visits: one row of value sets per key, expanded in place
-    usual = base.join(large.select(*KEY), KEY, "left_anti").join(last_visit_sets(rows, _VISIT_SETS), KEY, "left")
-    usual = with_facts(usual)
-    for name, *_ in _VISIT_SETS:
-        usual = usual.withColumn(name, F.explode_outer(name))
-    # large ones: every set as rows of its own, multiplied by several tasks
-    spread = with_facts(base.join(large.select(*KEY), KEY, "left_semi").join(visit, KEY, "left"))
-    spread = split_product(spread, last_visit_parts(rows, _VISIT_SETS), KEY, large)
-    out = usual.unionByName(spread).join(wh, ["patient_pk_hash", "site_code"], "left")
+    base = live(patients).select("patient_pk_hash", "patient_pk", "site_code").join(wh, ["patient_pk_hash", "site_code"], "left")
+    wide = base.join(encounter_facts(patients, last_encounter), KEY, "left")
+    wide = _tb(wide.join(last_visit_sets(last_visit_rows(visits, _VISIT_SETS), _VISIT_SETS), KEY, "left"), ipt)
+    out = expanded(wide, ["s_age", *[name for name, *_ in _VISIT_SETS], "s_mmd"], lambda age: age["n"].cast("double"))
     # an age seen n times gives n rows, as separate rows of the source would
     out = out.withColumn("__rep", F.explode_outer(F.array_repeat(F.lit(1), F.col("s_age.n").cast("int"))))
     return out.select(

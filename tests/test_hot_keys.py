@@ -69,7 +69,7 @@ def test_last_encounter_pairs_of_large_and_small_keys(spark, monkeypatch, in_pla
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize(("ds", "module", "name"), [("d09", "obs", "ROWS_IN_PLACE"), ("d10", "obs", "ROWS_IN_PLACE"), ("d23", "hts_prep", "PAIRS_A_TASK")])
+@pytest.mark.parametrize(("ds", "module", "name"), [("d09", "obs", "ROWS_A_SHARE"), ("d10", "obs", "ROWS_A_SHARE"), ("d23", "hts_prep", "PAIRS_A_TASK")])
 def test_large_key_branch_gives_the_same_rows(spark, monkeypatch, ds, module, name):
     import importlib
 
@@ -81,8 +81,6 @@ def test_large_key_branch_gives_the_same_rows(spark, monkeypatch, ds, module, na
     graph = lambda: DatasetGraph(FixtureTables(spark, SF), FIXTURE_AS_OF).get(ds)
     want = rows(graph())
     monkeypatch.setattr(plan, name, 0.5)  # every key counts as large
-    if module == "obs":
-        monkeypatch.setattr(plan, "ROWS_A_SHARE", 1)
     assert rows(graph()) == want
 
 
@@ -112,19 +110,31 @@ def test_refills_of_one_client_with_very_many_tests(spark, monkeypatch):
     assert of(2) == {("Negative", None)} and of(3) == {(None, None)} and len(out) == 1602
 
 
-def test_split_product_spreads_one_key_and_keeps_rows_without_partners(spark):
+def test_a_large_last_visit_is_multiplied_by_several_tasks(spark):
+    """100 values in each of three sets of one visit: a million rows of one key."""
     from pyspark.sql import functions as F
 
-    from cohortlake.operators import large_keys, split_product
+    from cohortlake.plans import obs
 
-    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
-    values = lambda name: spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias(name))
-    none = spark.createDataFrame([], "k int, w int")
-    sizes = base.groupBy("k").agg(F.count("*").alias("n"))
-    large = large_keys(sizes, ["k"], F.col("k") <= 2, F.lit(13))
-    out = split_product(base, [values("y"), none, values("z"), values("v")], ["k"], large)
+    sets = [(f"s{i}", None, [f"v{i}"]) for i in range(3)]
+    visits = spark.range(100).selectExpr("1 as site_code", "1L as patient_pk", "DATE'2020-01-01' as visit_date", "5L as visit_id", "0 as voided", "'x' as adherence_category",
+                                         *[f"concat('a{i}', id) as v{i}" for i in range(3)])
+    base = spark.createDataFrame([(1, 1), (1, 2), (None, None)], "site_code int, patient_pk bigint")
+    wide = base.join(obs.last_visit_sets(obs.last_visit_rows(visits, sets), sets), ["site_code", "patient_pk"], "left")
+    out = obs.expanded(wide, ["s0", "s1", "s2"])
     counted = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert sum(r["count"] for r in counted) == 100**3 + 1
-    assert max(r["count"] for r in counted) < 0.5 * 100**3  # eight partitions, thirteen shares
-    assert out.filter("k = 1").distinct().count() == 100**3
-    assert [tuple(r) for r in out.filter("k = 2").collect()] == [(2, "b", None, None, None, None)]
+    assert sum(r["count"] for r in counted) == 100**3 + 2 and max(r["count"] for r in counted) < 0.5 * 100**3
+    assert out.filter("patient_pk = 1").select("s0.v0", "s1.v1", "s2.v2").distinct().count() == 100**3
+
+
+def test_cells_spread_one_key_and_meet_every_pair_once(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlake.operators import copied, dealt, large_keys
+
+    values = lambda name: spark.range(200).select(F.lit(1).alias("k"), F.col("id").alias(name))
+    large = large_keys(values("x").groupBy("k").agg(F.count("*").alias("n")), ["k"], F.col("n") > 5, F.col("n") / 10)
+    met = dealt(values("x").join(large, "k"), ["k"], ["x"]).join(copied(values("y").join(large, "k"), ["k"]), ["k", "__share"])
+    counted = met.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert met.select("x", "y").distinct().count() == 200**2 == met.count()
+    assert max(r["count"] for r in counted) < 0.5 * 200**2
