@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlake.params import AsOf
 from cohortlake.plans import KEY, visit_pass
 from cohortlake.plans.graph import DATASETS, DatasetGraph
+from cohortlake.sources import versioned
 from cohortlake.sources.sink import overwrite_catalog_table, overwrite_table, read_marker, remove_marker, write_marker
 from cohortlake.sources.tables import read_table
 
@@ -57,12 +58,16 @@ def _visit_candidates(spark: SparkSession, tables, as_of, out_dir: str | None, d
 
 
 def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[str] | None = None,
-            database: str | None = None, buckets: int | None = None, resume: bool = False) -> dict[str, float]:
+            database: str | None = None, buckets: int | None = None, resume: bool = False,
+            gapless: bool = False) -> dict[str, float]:
     """Build every dataset (or ``only`` these and what they need) into
     ``<out_dir>/<id>_<name>.parquet``, or, with ``database``, into catalog
     tables ``<database>.<id>_<name>`` bucketed by the patient key when
     ``buckets`` is given; returns seconds per dataset.
 
+    With ``gapless``, readers never find a table absent: folders hold versions with one
+    pointer (read them with ``read_table`` or ``versioned.read``), catalog tables are views.
+
     With ``resume`` (folder output), datasets already completed for the same
     reporting date by an earlier, interrupted run are not rebuilt (reported
     as -1); they are still read back for the datasets that depend on them."""
@@ -91,10 +96,10 @@ def refresh(spark: SparkSession, tables, as_of, out_dir: str | None, only: list[
         if database:
             table = f"{database}.{ds_id}_{name}"
             keyed = buckets and all(c in df.columns for c in KEY)
-            overwrite_catalog_table(df, table, KEY if keyed else None, buckets)
+            overwrite_catalog_table(df, table, KEY if keyed else None, buckets, view=gapless)
         else:
             remove_marker(spark, _marker(path))   # a half-swapped table never looks finished
-            overwrite_table(df, path)
+            versioned.commit(df, path) if gapless else overwrite_table(df, path)
             _mark(spark, path, as_of)
         timings[ds_id] = round(time.time() - t0, 3)
         if ds_id in UPSTREAM:
@@ -119,6 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--database", help="write catalog tables in this database instead of --out")
     p.add_argument("--buckets", type=int, help="bucket catalog tables by the patient key")
     p.add_argument("--resume", action="store_true", help="skip datasets already written for this --as-of")
+    p.add_argument("--gapless", action="store_true", help="versioned folders, or views, so that readers never find a table absent")
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reporting date, default today")
     p.add_argument("--only", nargs="*", help="dataset ids, e.g. d07 d09 (their upstream is built too)")
     args = p.parse_args(argv)
@@ -126,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     if not (args.out or args.database):
         p.error("one of --out or --database is required")
     timings = refresh(spark, TableSet(spark, args.tables), args.as_of, args.out, args.only, args.database,
-                      args.buckets, args.resume)
+                      args.buckets, args.resume, args.gapless)
     print(json.dumps(timings))
 
 

@@ -6,11 +6,12 @@ gap and a failed build left no table. Here the new data is written completely
 for the old table with two checked renames; if the second fails, the old table
 is put back, and it is deleted only when the new one stands. Between the two
 renames the name is absent for a moment; readers that cannot bear that read
-a view (``overwrite_catalog_table`` with ``view=True``).
+a view (``overwrite_catalog_table`` with ``view=True``) or a folder of versions (``versioned``).
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -72,21 +73,26 @@ def overwrite_catalog_table(df: DataFrame, name: str, bucket_by: list[str] | Non
     The data is written as ``<name>__staging``; then the old table is renamed,
     the staging table takes its name, and only then the old one is dropped (on
     failure it gets its name back). With ``view`` the data goes to a table with a name of
-    its own and the view ``name`` is switched to it in one step, without a gap;
-    tables of earlier runs are left to the caller.
+    its own and the view ``name`` is switched to it in one step, without a gap; of the
+    tables of earlier runs the last one stays for readers that are still in it.
 
     With ``bucket_by`` (e.g. site_code, patient_pk) and ``buckets``, rows are
     hash-bucketed and sorted on those columns, so later windows and joins on
     the same key read co-located data and need no exchange.
     """
     spark = df.sparkSession
-    staging = f"{name}__{uuid.uuid4().hex[:8]}" if view else f"{name}__staging"
+    staging = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}" if view else f"{name}__staging"
     writer = df.write.mode("overwrite").format("parquet")
     if bucket_by:
         writer = writer.bucketBy(buckets or 200, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(staging)
     if view:
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {staging}")
+        database, _, plain = name.rpartition(".")
+        listed = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{plain}__v*'").collect()
+        earlier = sorted(r["tableName"] for r in listed if r["tableName"] < staging.rpartition(".")[2].lower())
+        for old in earlier[:-1]:
+            spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{old}")
         return name
     previous = f"{name}__previous"
     if spark.catalog.tableExists(previous):

@@ -8,10 +8,13 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cohortlake.sources import versioned
+from cohortlake.sources.schemas import conform
+
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """``<base>/<name>.parquet`` (a file or a folder of part files)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    """``<base>/<name>.parquet`` (a file, a folder of part files or a folder of versions)."""
+    return versioned.read(spark, f"{base.rstrip('/')}/{name}.parquet")
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -21,8 +24,10 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[st
 class TableSet:
     """Clinical tables stored as ``<base>/<name>.parquet``, exposed as attributes
     (the same interface as the fixture adapter). A table is listed and its
-    footers are read once, when it is first used; with ``schemas`` (table name ->
-    schema) footers are not read, and a file of other types fails the scan."""
+    footers are read once, when it is first used, and it is held against the registry of
+    base tables (``sources.schemas``): missing columns are an error, other types are cast.
+    With ``schemas`` (table name -> schema) the footers of those tables are not read, and a file
+    of other types fails the scan."""
 
     def __init__(self, spark: SparkSession, base: str, schemas: Mapping[str, StructType] | None = None):
         self.spark = spark
@@ -32,9 +37,11 @@ class TableSet:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        path = f"{self.base.rstrip('/')}/{name}.parquet"
-        reader = self.spark.read
-        table = (reader.schema(self.schemas[name]) if name in self.schemas else reader).parquet(path)
+        if name in self.schemas:
+            path = f"{self.base.rstrip('/')}/{name}.parquet"
+            table = self.spark.read.schema(self.schemas[name]).parquet(versioned.current(self.spark, path) or path)
+        else:
+            table = conform(read_table(self.spark, self.base, name), name)
         setattr(self, name, table)  # later uses find the attribute itself
         return table
 
@@ -49,7 +56,7 @@ class CatalogTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.table(f"{self.database}.{name}" if self.database else name)
+        return conform(self.spark.table(f"{self.database}.{name}" if self.database else name), name)
 
 
 class JdbcTables:
@@ -77,9 +84,9 @@ class JdbcTables:
         table = self.table_names.get(name, name)
         if name in self.bounds:
             lo, hi = self.bounds[name]
-            return self.spark.read.jdbc(self.url, table, column=self.partition_column, lowerBound=lo,
-                                        upperBound=hi, numPartitions=self.num_partitions,
-                                        properties=self.properties)
+            return conform(self.spark.read.jdbc(self.url, table, column=self.partition_column, lowerBound=lo,
+                                                upperBound=hi, numPartitions=self.num_partitions,
+                                                properties=self.properties), name)
         if name not in self.single_task:
             raise ValueError(f"{name} has no bounds on {self.partition_column}; give them, or name it in single_task")
-        return self.spark.read.jdbc(self.url, table, properties=self.properties)
+        return conform(self.spark.read.jdbc(self.url, table, properties=self.properties), name)
