@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from cohortlake.llm.common import let
 
+#: Elements that a scan collects before it hands them on, and how often these are collected again.
+BLOCK, LEVELS = 16, 4
+
 #: One proposal: code point positions (end exclusive) and the match.
 PROPOSAL = "struct<start:int,end:int,value:string>"
 #: A proposal with the text around it; ``lead`` and ``trail`` are what stands before
@@ -39,18 +42,48 @@ def pieces(text: Column, pattern: str, found: Column) -> Column:
     return F.when(F.size(found) > 0, F.split(text, pattern, -1)).otherwise(no("string"))
 
 
+def scan(rows: Column, state: Column, output: str, step) -> Column:
+    """array<output> of the second results of ``step(state, row) -> (state, output)``, the state handed on
+    from row to row.
+
+    An aggregate copies what it has gathered at every step, so one array of all outputs would cost
+    the square of the rows. Here outputs are gathered in blocks, blocks in blocks of blocks, and so
+    on: an output is copied at most ``BLOCK`` times on each level, and rows / 8192 times on the last.
+    """
+    def cut(given: Column, size: int) -> Column:
+        last = F.floor((F.size(given) - 1) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(given, b * size + 1, F.lit(size)))
+
+    def nested(given: Column, level: int) -> Column:
+        return given if level == 1 else F.transform(cut(given, BLOCK ** (level - 1)), lambda part: nested(part, level - 1))
+
+    def gathered(part: Column, before: Column, level: int, finish) -> Column:
+        kind = f"{'array<' * (level - 1)}{output}{'>' * (level - 1)}"
+
+        def add(acc: Column, x: Column) -> Column:
+            if level == 1:
+                after, made = step(acc["state"], x)
+                return F.struct(after.alias("state"), F.concat(acc["out"], F.array(made)).alias("out"))
+            return gathered(x, acc["state"], level - 1, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+        return F.aggregate(part, F.struct(before.alias("state"), no(kind).alias("out")), add, finish)
+
+    done = gathered(nested(rows, LEVELS), state, LEVELS, lambda d: d["out"])
+    for _ in range(LEVELS - 1):
+        done = F.flatten(done)
+    return F.when(F.size(rows) > 0, done).otherwise(no(output))
+
+
 def proposals(found: Column, between: Column) -> Column:
     """array<PROPOSAL> from matches and pieces."""
     rows = F.arrays_zip(found.alias("value"), F.slice(between, F.lit(1), F.size(found)).alias("before"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["before"])
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["before"])
         end = start + F.length(x["value"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return end, F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
 
-    start = F.struct(F.lit(0).alias("at"), no(PROPOSAL).alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(rows, start, step, lambda acc: acc["out"])).otherwise(no(PROPOSAL))
+    return F.when(F.size(found) > 0, let(rows, lambda r: scan(r, F.lit(0), PROPOSAL, step))).otherwise(no(PROPOSAL))
 
 
 def placed(found: Column, between: Column) -> Column:
@@ -67,24 +100,26 @@ def placed(found: Column, between: Column) -> Column:
     last = lambda *parts: F.right(F.concat(*parts), F.lit(CONTEXT))
     first = lambda *parts: F.left(F.concat(*parts), F.lit(CONTEXT))
 
-    def forth(acc: Column, x: Column) -> Column:
+    def forth(acc: Column, x: Column) -> tuple[Column, Column]:
         before = last(acc["tail"], x["before"])
         joined = x["joins"] & acc["lead"].isNotNull()
         lead = F.when(joined, acc["lead"]).otherwise(before)
         one = F.struct(*[x["p"][c].alias(c) for c in ("start", "end", "value")], before.alias("before"), x["after"].alias("after"), joined.alias("joined"), lead.alias("lead"))
-        return F.struct(last(acc["tail"], x["before"], x["p"]["value"]).alias("tail"), lead.alias("lead"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.struct(last(acc["tail"], x["before"], x["p"]["value"]).alias("tail"), lead.alias("lead")), one
 
-    def back(acc: Column, x: Column) -> Column:
+    def back(acc: Column, x: Column) -> tuple[Column, Column]:
         after = first(x["after"], acc["head"])
         trail = F.when(acc["joined"], acc["trail"]).otherwise(after)
         one = F.struct(*[x[c].alias(c) for c in ("start", "end", "value", "before")], after.alias("after"),
                        F.when(x["joined"], x["lead"]).alias("lead"), F.when(acc["joined"], trail).alias("trail"))
-        return F.struct(first(x["value"], x["after"], acc["head"]).alias("head"), x["joined"].alias("joined"), trail.alias("trail"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.struct(first(x["value"], x["after"], acc["head"]).alias("head"), x["joined"].alias("joined"), trail.alias("trail")), one
 
     none = F.lit(None).cast("string")
-    ahead = F.aggregate(rows, F.struct(F.lit("").alias("tail"), none.alias("lead"), no(kept).alias("out")), forth, lambda acc: acc["out"])
-    start = F.struct(F.lit("").alias("head"), F.lit(False).alias("joined"), none.alias("trail"), no(PLACED).alias("out"))
-    return F.when(F.size(found) > 0, F.reverse(F.aggregate(F.reverse(ahead), start, back, lambda acc: acc["out"]))).otherwise(no(PLACED))
+    forward = F.struct(F.lit("").alias("tail"), none.alias("lead"))
+    backward = F.struct(F.lit("").alias("head"), F.lit(False).alias("joined"), none.alias("trail"))
+    ahead = let(rows, lambda r: scan(r, forward, kept, forth))
+    both = let(F.reverse(ahead), lambda r: F.reverse(scan(r, backward, PLACED, back)))
+    return F.when(F.size(found) > 0, both).otherwise(no(PLACED))
 
 
 def accepted(found: Column, keep, kind: str, rank: int, score) -> Column:
@@ -110,26 +145,26 @@ def count_kind(spans: Column, kind: str) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by ``[KIND]``; overlapping spans become
     one mask, named by the first. The text is split into code points once."""
-    mask_type = "struct<start:int,end:int,kind:string>"
-
-    def merge(acc: Column, s: Column) -> Column:
-        one = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        last = F.element_at(acc, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        return (
-            F.when(F.size(acc) == 0, F.array(one))
-            .when(s["start"] < last["end"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined)))
-            .otherwise(F.concat(acc, F.array(one)))
-        )
-
-    def rebuild(chars: Column) -> Column:
-        def emit(acc: Column, m: Column) -> Column:
-            kept = F.slice(chars, acc["at"] + 1, m["start"] - acc["at"])
-            label = F.array(F.concat(F.lit("["), F.upper(m["kind"]), F.lit("]")))
-            return F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(F.array_join(kept, "")), label).alias("out"))
-
-        start = F.struct(F.lit(0).alias("at"), no("string").alias("out"))
-        return F.aggregate(F.aggregate(spans, no(mask_type), merge), start, emit, lambda a: F.concat(
-            F.array_join(a["out"], ""), F.array_join(F.slice(chars, a["at"] + 1, F.size(chars)), "")))
-
-    return F.when(F.size(spans) > 0, let(F.split(text, "", -1), rebuild)).otherwise(text)
+    reached = "struct<start:int,kind:string,opens:boolean,end:int>"
+
+    def step(end: Column, s: Column) -> tuple[Column, Column]:
+        opens = s["start"] >= end
+        reach = F.greatest(end, s["end"])
+        return reach, F.struct(s["start"].alias("start"), s["kind"].alias("kind"), opens.alias("opens"), reach.alias("end"))
+
+    def masks(found: Column) -> Column:
+        """A mask begins with a span that opens and reaches as far as the span before the next that opens."""
+        n = F.size(found)
+        following = F.concat(F.slice(F.transform(found, lambda f: f["opens"]), F.lit(2), n), F.array(F.lit(True)))
+        closing = F.filter(F.arrays_zip(found.alias("f"), following.alias("next")), lambda z: z["next"])
+        return F.arrays_zip(F.filter(found, lambda f: f["opens"]).alias("open"), F.transform(closing, lambda z: z["f"]["end"]).alias("end"))
+
+    def rebuild(chars: Column, m: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(m, lambda x: x["end"]))
+        parts = F.transform(F.arrays_zip(m.alias("m"), F.slice(ends, F.lit(1), F.size(m)).alias("at")), lambda x: F.concat(
+            F.array_join(F.slice(chars, x["at"] + 1, x["m"]["open"]["start"] - x["at"]), ""), F.lit("["), F.upper(x["m"]["open"]["kind"]), F.lit("]")))
+        rest = F.slice(chars, F.element_at(ends, -1) + 1, F.size(chars))
+        return F.concat(F.array_join(parts, ""), F.array_join(rest, ""))
+
+    done = let(scan(spans, F.lit(0), reached, step), lambda found: let(masks(found), lambda m: let(F.split(text, "", -1), lambda chars: rebuild(chars, m))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)

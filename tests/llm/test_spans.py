@@ -161,3 +161,32 @@ def test_context_is_cut_from_the_whole_text(spark):
         assert beside <= got[i], t
         n += len(beside)
     assert n > 300
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark, tmp_path):
+    """Positions, context and masks of a long page in time that grows with its matches."""
+    import time
+
+    text = " ".join(f"user{i}@example.com" if i % 3 else "ssn 123-45-6789," for i in range(100_000))
+    spark.createDataFrame([(1, text), (2, "ann@b.co")], "doc_id long, text string").write.parquet(f"{tmp_path}/t")
+    began = time.time()
+    out = {r.doc_id: r for r in pii.mask(pii.find(spark.read.parquet(f"{tmp_path}/t"))).collect()}
+    assert time.time() - began < 90  # quadratic steps would take hours
+    found = out[1].pii_spans
+    assert len(found) == 100_000 and all(text[s.start : s.end] == s.value for s in found[::997])
+    assert out[1].text == " ".join("[EMAIL]" if i % 3 else "ssn [ID]," for i in range(100_000)) and out[2].text == "[EMAIL]"
+
+
+def test_personal_data_needs_no_python(spark):
+    plan = pii.mask(pii.find(spark.createDataFrame([(1, "x")], "doc_id long, text string")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_overlapping_spans_make_one_mask(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlake.llm import spans
+
+    rows = [(0, 0, "a", 3, 1, "x"), (1, 1, "b", 2, 1, "x"), (2, 1, "b", 6, 1, "x"), (6, 0, "c", 8, 1, "x"), (9, 0, "d", 12, 1, "x"), (10, 2, "e", 11, 1, "x")]
+    df = spark.createDataFrame([("0123456789é1Z", rows)], f"text string, spans array<{spans.SPAN}>")
+    assert df.select(spans.masked(F.col("text"), F.col("spans")).alias("t")).first().t == "[A][C]8[D]Z"
