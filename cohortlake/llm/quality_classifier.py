@@ -162,11 +162,17 @@ def measured(df: DataFrame, text: str = "text", name: str = "measures") -> DataF
     return arrow_rows.append(df, text, [field], lambda texts: [(measures(t),) for t in texts], drop=(text,))
 
 
+def learned_from(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, measures, y): one row per labelled id; of rows that share an id, the one with the least measures."""
+    met = rows.join(ids, F.col("doc_id") == F.col("labelled_id"))
+    return met.groupBy("doc_id").agg(F.min("measures").alias("measures"), F.max("y").alias("y"))
+
+
 def train(rows: DataFrame, labels: DataFrame, label: str, eligible, per_class: int = PER_CLASS) -> dict:
     """Fit on the measures of a bounded sample of labelled rows (doc_id, measures)."""
     ids, counts = labelled.sample(labels, label, eligible, per_class)
     ids = F.broadcast(ids.withColumnRenamed("doc_id", "labelled_id"))  # at most 2 * per_class ids
-    found = rows.join(ids, F.col("doc_id") == F.col("labelled_id")).dropDuplicates(["doc_id"]).select("doc_id", "measures", "y").toPandas().sort_values("doc_id")
+    found = learned_from(rows, ids).toPandas().sort_values("doc_id")
     x = np.array(found["measures"].tolist(), float).reshape(len(found), len(FEATURES))
     y = found["y"].to_numpy(float)
     weight = np.array([counts[int(v)] / max(1, (y == v).sum()) for v in y])
