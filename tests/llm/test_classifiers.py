@@ -62,3 +62,42 @@ def test_pairs_learn_what_single_features_cannot():
     model = quality_classifier.fit(x[:3000], y[:3000], np.ones(3000))
     assert ((quality_classifier.scores(model, x[3000:]) >= 0.5) == y[3000:]).mean() > 0.9
     assert any({a, b} == {0, 1} for a, b, _ in model["pairs"])
+
+
+def test_rows_that_share_a_labelled_id_are_reduced_in_spark_and_dealt_in_any_order(spark):
+    """A third of the rows bear one labelled id: one row of each labelled id reaches the driver, and models do not depend on how rows are dealt."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    rows = [(i if i % 3 else 0, " ".join(word() for _ in range(rng.randint(3, 40))) + (" HATE" if i % 2 else ""), rng.choice(["en", "fr", None])) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(0, 600)], "doc_id long, quality int, toxic int")
+    ids = labels.select(F.col("doc_id").alias("labelled_id"), F.col("toxic").alias("y"))
+    found = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(seed + 2)
+        words = toxicity.learned_from(docs, ids)
+        assert words.count() == 401 == words.select("doc_id").distinct().count()
+        measured = quality_classifier.measured(docs.select("doc_id", "text"))
+        assert quality_classifier.learned_from(measured, ids).count() == 401
+        model = quality_classifier.train(measured, labels, "quality", F.lit(True))
+        cnn, cuts = toxicity.train(docs, labels, "toxic", F.lit(True))
+        found.append(([t.tolist() for t in model["tables"]], [p[2].tolist() for p in model["pairs"]], {k: np.asarray(v, object).tobytes() if not isinstance(v, np.ndarray) else v.tobytes() for k, v in cnn.items() if isinstance(v, np.ndarray)}, cuts))
+    assert found[0] == found[1]
+
+
+def test_additive_scores_are_sums_of_table_entries():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, len(quality_classifier.FEATURES)))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(float)
+    model = quality_classifier.fit(x, y, np.ones(300))
+    for row, got in zip(x[:40], quality_classifier.scores(model, x[:40]), strict=True):
+        raw = model["base"]
+        for f, table in enumerate(model["tables"]):
+            raw += table[sum(e <= row[f] for e in model["edges"][f])]
+        for a, b, table in model["pairs"]:
+            raw += table[sum(e <= row[a] for e in model["coarse"][a]), sum(e <= row[b] for e in model["coarse"][b])]
+        assert abs(got - 1 / (1 + np.exp(-raw))) < 1e-9
