@@ -8,7 +8,7 @@ offset per source, a document is emitted once for each integer that its part
 of the sum crosses. The order by size makes the emitted words follow the target
 closely, whatever the offset.
 
-The order is (size class, hashed share, size, doc_id, text digest). Classes and
+The order is (size class, share hashed from doc_id and text, size, doc_id, text digest). Classes and
 shares make buckets, so that a source with a third of all rows is ranked by
 many tasks: bucket counts are summed up first (classes of a source, then
 shares of a class), rows are ranked within their bucket only.
@@ -44,7 +44,8 @@ def _bucketed(df: DataFrame, source: str, doc_id: str, text: str, p: str) -> Dat
     return out.withColumns({
         f"{p}source": F.when(F.col(source).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source))),
         f"{p}class": F.floor(F.log(F.col(f"{p}size") + 1) * CLASSES_PER_E).cast("int"),
-        f"{p}share": (_number(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), 8) % SHARES).cast("int"),
+        # the text shares in, so that rows without an id, or with a common one, spread as well
+        f"{p}share": (_number(F.concat_ws(":", F.col(doc_id).cast("string"), F.md5(text)), 8) % SHARES).cast("int"),
     })
 
 
@@ -147,7 +148,7 @@ t AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, level * weigh
 r AS (SELECT doc_id, size, source_size, target,
         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
         row_number() OVER (PARTITION BY t.source ORDER BY floor(ln(size + 1) * 12),
-          ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT % 1024, size, doc_id NULLS FIRST, md5(text) NULLS FIRST) AS place,
+          ('0x' || md5(concat_ws(':', doc_id::VARCHAR, md5(text)))[1:8])::BIGINT % 1024, size, doc_id NULLS FIRST, md5(text) NULLS FIRST) AS place,
         (('0x' || md5('mix:' || CASE WHEN t.source IS NULL THEN 'n' ELSE 's' || t.source END)[1:4])::BIGINT % 1024 + 0.5::DOUBLE) / 1024 AS start
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

@@ -66,3 +66,13 @@ def test_copies_are_systematic_within_a_source(spark):
         assert abs(sum(r.mix_copies for r in own) - rate * len(own)) <= 2
     assert [r.mix_copies for r in got if r.source is None] == [0]
     assert mixing.emitted(out).count() == sum(r.mix_copies for r in got)
+
+
+def test_rows_without_an_id_spread_over_buckets(spark):
+    """A third of the rows have no id: no bucket holds more than a small share of them."""
+    from pyspark.sql import functions as F
+
+    rows = [(None if i % 3 == 0 else i, f"word{i} of some text {i}", "s") for i in range(3000)]
+    df = mixing._bucketed(spark.createDataFrame(rows, "doc_id long, text string, source string"), "source", "doc_id", "text", "mix_")
+    largest = df.groupBy("mix_source", "mix_class", "mix_share").count().agg(F.max("count")).first()[0]
+    assert largest <= 15
