@@ -5,10 +5,11 @@ Items are partitioned by size (shingles, in powers of two). If a document
 contains at least ``percent`` of an item's m shingles, at most m minus that
 many are missing, so it holds at least one of the m - ceil(percent * m) + 1
 minwise (least-hashed) shingles of the item: that sketch, as long as the size
-partition's largest item needs, finds every candidate. A document only meets
-partitions whose items its length has room for. One pass joins the texts with all
-item shingles, not with the sketches first, and counts the distinct shingles that
-document and item share; every pair with enough of them has a sketched one.
+partition's largest item needs, finds every candidate. The texts are searched for
+sketched shingles only, about a quarter of all, and a document only meets
+partitions whose items its length has room for. Candidates are written as distinct
+(document, item) pairs. Only the documents among them are read a second time, and the
+shingles that each pair shares are counted on the shingles themselves.
 
 A shingle is the text of five lower-cased words with single spaces, so equal
 shingles are equal texts. Items and documents of one to four words are one shingle
@@ -30,7 +31,7 @@ from cohortlake.llm.common import Scratch
 
 WIDTH = 5
 PERCENT = 80
-BROADCAST_SHINGLES = 200_000  # item shingles (about 100 bytes each) up to which they are sent to every executor
+BROADCAST_SHINGLES = 200_000  # sketched item shingles (about 100 bytes each) up to which they are sent to every executor
 
 
 #: Fixed value: at the start of each word, that word and the four behind it. The
@@ -64,14 +65,24 @@ def matches(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int =
     """(doc_id, row, item_id, m, n_shared) of every document text and item text with
     100 * shared >= percent * item shingles; ``row`` is the digest of the document's text."""
     index = scratch.table(item_index(items, percent, item_id, text), "index")
-    index = common.sized(index, BROADCAST_SHINGLES)
+    sketches = scratch.table(index.filter("sketched").select("shingle", "item_id", "item", "class_need"), "sketches")
+    sketches = common.sized(sketches, BROADCAST_SHINGLES)
     probes = _shingles(docs, [F.col(doc_id).alias("doc_id")], text)
-    # one pass over the texts; only shingles that some item has are kept
-    met = probes.join(index, "shingle").filter((F.col("class_need") == 1) | (F.col("length") >= 2 * (F.col("class_need") + WIDTH - 1) - 1))
-    met = scratch.table(met.select("doc_id", "row", "item_id", "item", "shingle", "m", "need", "sketched").distinct(), "met")
+    # first reading: documents that hold a sketched shingle of an item their length has room for
+    room = (F.col("class_need") == 1) | (F.col("length") >= 2 * (F.col("class_need") + WIDTH - 1) - 1)
     pair = ["doc_id", "row", "item_id", "item"]
-    counted = met.groupBy(*pair).agg(F.count("*").alias("n_shared"), F.first("m").alias("m"), F.first("need").alias("need"), F.max("sketched").alias("candidate"))
-    return counted.filter("candidate and n_shared >= need").select("doc_id", "row", "item_id", "m", "n_shared")
+    met = probes.join(sketches, "shingle").filter(room).select(*pair).distinct()
+    candidates = scratch.table(met, "candidates")
+    # second reading, of these documents alone: all shingles of the pairs are counted
+    named = scratch.table(candidates.select(F.col("doc_id").alias("own_id"), F.col("row").alias("own")).distinct(), "named")
+    on = F.col(doc_id).eqNullSafe(F.col("own_id")) & (F.xxhash64(text) == F.col("own"))
+    again = docs.select(doc_id, text).join(common.sized(named), on, "left_semi")
+    held = _shingles(again, [F.col(doc_id).alias("doc_id")], text).select("doc_id", "row", "shingle").distinct().withColumnsRenamed({"doc_id": "own_id", "row": "own"})
+    full = index.select(F.col("item_id").alias("full_id"), F.col("item").alias("full"), "shingle", "m", "need")
+    asked = candidates.join(full, F.col("item_id").eqNullSafe(F.col("full_id")) & (F.col("item") == F.col("full")))
+    both = asked.join(held, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row") == F.col("own")) & (asked["shingle"] == held["shingle"]))
+    counted = both.groupBy(*pair).agg(F.count("*").alias("n_shared"), F.first("m").alias("m"), F.first("need").alias("need"))
+    return counted.filter("n_shared >= need").select("doc_id", "row", "item_id", "m", "n_shared")
 
 
 def contained(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int = PERCENT, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
