@@ -13,18 +13,20 @@ of a conversation's calls is (level, turn, place); a call's level is one more th
 greatest of those it needs, 0 for none, null on or behind a cycle. Calls that
 are named in ``after`` but do not exist are left out and counted in ``missing``.
 
-Calls and results meet in hash joins on (conversation, id), levels are found in
-rounds (one per level) that only touch the calls still waiting, and no
-conversation is gathered in one task.
+Calls and results meet in hash joins on (conversation, id); records without an id
+or a conversation stay out of these joins. A conversation's calls are ordered in one
+task where at most ``EDGES_IN_PLACE`` needs connect them; larger conversations are
+ordered in rounds (one per level) that only touch the calls still waiting.
 
-Defined results: null or unparsable texts make no records; empty and long texts
-go through whole; repeated messages make repeated records (the first by turn
+Defined results: null or unparsable texts, and tool messages without an id and a
+content, make no records; long texts go through whole; repeated messages make repeated records (the first by turn
 and place counts); an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +39,7 @@ from cohortlake.llm.common import Scratch
 CALLS = "conversation long, turn long, place int, call_id string, name string, arguments string, after array<string>"
 RESULTS = "conversation long, turn long, place int, call_id string, content string"
 KEY = ["conversation", "call_id"]
+EDGES_IN_PLACE = 100_000  # needs among a conversation's calls that one task takes
 NODE = ["conversation", "node"]  # a call in the order: its id, or its own number where it has none
 
 
@@ -88,6 +91,7 @@ def parse(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn"
     calls = calls.select("conversation", "turn", "place", F.col("c.id").alias("call_id"), "c.name", "c.arguments", "c.after")
     result = F.from_json("text", "tool_call_id string, content string")
     results = rows.filter("role = 'tool'").select("conversation", "turn", F.lit(0).alias("place"), result.alias("r"))
+    results = results.filter(F.col("r.tool_call_id").isNotNull() | F.col("r.content").isNotNull())
     return calls, results.select("conversation", "turn", "place", F.col("r.tool_call_id").alias("call_id"), F.col("r.content").alias("content"))
 
 
@@ -100,7 +104,43 @@ def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
     waiting = scratch.table(edges.filter("there").select(*NODE, "parent"), "waiting-0")
     missing = edges.groupBy(*NODE).agg(F.count(F.when(~F.col("there"), 1)).alias("missing"), F.max("there").alias("waits"))
     done = missing.filter("not waits").select(*NODE, F.lit(0).alias("level"))
-    level = 0
+    sizes = scratch.table(waiting.groupBy("conversation").agg(F.count("*").alias("n")).filter(F.col("n") > EDGES_IN_PLACE), "large")
+    few = waiting
+    if not sizes.isEmpty():
+        large = common.sized(sizes.select("conversation"))
+        few = waiting.join(large, "conversation", "left_anti")
+        done = done.unionByName(in_rounds(scratch.table(waiting.join(large, "conversation", "left_semi"), "waiting-large"), scratch))
+    done = done.unionByName(few.groupBy("conversation").applyInArrow(ordered, "conversation bigint, node string, level int"))
+    return missing.select(*NODE, "missing").join(done, NODE)
+
+
+def ordered(edges: pa.Table) -> pa.Table:
+    """(conversation, node, level) of one conversation's calls that wait for others: one more than the
+    greatest level they need, null in cycles and behind them. At most ``EDGES_IN_PLACE`` edges."""
+    needs, needed_by = defaultdict(set), defaultdict(list)
+    for node, parent in zip(edges.column("node").to_pylist(), edges.column("parent").to_pylist(), strict=True):
+        needs[node].add(parent)
+    for node, parents in needs.items():
+        for parent in parents:
+            needed_by[parent].append(node)
+    level = {parent: 0 for parent in needed_by if parent not in needs}
+    queue = deque(level)
+    open_ = {node: len(parents) for node, parents in needs.items()}
+    while queue:
+        parent = queue.popleft()
+        for node in needed_by[parent]:
+            open_[node] -= 1
+            if not open_[node]:
+                level[node] = 1 + max(level[x] for x in needs[node])
+                queue.append(node)
+    nodes = list(needs)
+    return pa.table({"conversation": pa.array([edges.column("conversation")[0].as_py()] * len(nodes), pa.int64()), "node": pa.array(nodes, pa.string()),
+                     "level": pa.array([level.get(n) for n in nodes], pa.int32())})
+
+
+def in_rounds(waiting: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same for conversations of any size: a round per level over the calls that still wait."""
+    done, level = None, 0
     while not waiting.isEmpty():
         # calls that still wait for something waiting are not ready
         blocked = waiting.select("conversation", F.col("node").alias("parent")).distinct()
@@ -111,10 +151,11 @@ def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
         if ready.isEmpty():
             break  # cycles, and what stands behind them
         level += 1
-        done = done.unionByName(ready.withColumn("level", F.lit(level)))
+        now = ready.withColumn("level", F.lit(level))
+        done = now if done is None else done.unionByName(now)
         waiting = left
     stuck = waiting.select(*NODE).distinct().withColumn("level", F.lit(None).cast("int"))
-    return missing.select(*NODE, "missing").join(done.unionByName(stuck), NODE)
+    return stuck if done is None else done.unionByName(stuck)
 
 
 def checked(rows: DataFrame) -> DataFrame:
@@ -146,6 +187,17 @@ def checked(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*kept, T.StructField("canonical", T.StringType()), T.StructField("errors", T.ArrayType(T.StringType()))]))
 
 
+def _joined(rows: DataFrame, facts: list[DataFrame]) -> DataFrame:
+    """``rows`` left-joined to per-id facts. Rows without an id or a conversation meet none: they
+    are not shuffled by that key, so very many of them are no single task's."""
+    keyed = F.col("conversation").isNotNull() & F.col("call_id").isNotNull()
+    out, rest = rows.filter(keyed), rows.filter(~keyed)
+    for f in facts:
+        out = out.join(f.hint("shuffle_hash"), KEY, "left")
+        rest = rest.withColumns({c: F.lit(None).cast(f.schema[c].dataType) for c in f.columns if c not in KEY})
+    return out.unionByName(rest)
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per call and per result: conversation, turn, place, kind, call_id, name, status,
     level, missing, canonical, errors. ``schemas`` has (name, schema as JSON); a call
@@ -154,11 +206,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, scratch: Scra
     calls, results = scratch.table(calls.withColumn("node", node), "calls"), scratch.table(results, "results")
     at = F.struct("turn", "place")
     first = scratch.table(calls.groupBy(*KEY).agg(F.min(at).alias("first")), "first")
-    met = results.join(first.hint("shuffle_hash"), KEY, "left").withColumn("at", at)
+    met = _joined(results, [first]).withColumn("at", at)
     answers = met.filter("at > first").groupBy(*KEY).agg(F.min("at").alias("answer"))
     answers = scratch.table(answers, "answers")
     order = scratch.table(levels(calls, scratch), "levels")
-    made = calls.join(first.hint("shuffle_hash"), KEY, "left").join(answers.hint("shuffle_hash"), KEY, "left").join(order.hint("shuffle_hash"), NODE, "left")
+    made = _joined(calls, [first, answers]).join(order.hint("shuffle_hash"), NODE, "left")
     status = F.when(F.col("call_id").isNull(), "no_id").when(at != F.col("first"), "repeated_call").when(F.col("answer").isNull(), "unanswered").otherwise("answered")
     level = F.when(F.col("missing").isNull(), F.lit(0)).otherwise(F.col("level"))
     made = made.select("conversation", "turn", "place", F.lit("call").alias("kind"), "call_id", "name", status.alias("status"), level.alias("level"),
@@ -167,7 +219,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, scratch: Scra
     made = common.spread_lookup(made, known, "name", F.concat_ws(":", "conversation", "turn", "place"))
     status = (F.when(F.col("call_id").isNull(), "no_id").when(F.col("first").isNull(), "orphan_result").when(F.col("at") < F.col("first"), "early_result")
               .when(F.col("at") == F.col("answer"), "answer").otherwise("repeated_result"))
-    got = met.join(answers.hint("shuffle_hash"), KEY, "left")
+    got = _joined(met, [answers])
     got = got.select("conversation", "turn", "place", F.lit("result").alias("kind"), "call_id", F.lit(None).cast("string").alias("name"), status.alias("status"),
                      F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("missing"), F.col("content").alias("payload"), F.lit(None).cast("string").alias("schema"))
     return checked(made.unionByName(got))

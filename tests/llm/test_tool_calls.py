@@ -87,3 +87,34 @@ def test_the_query_links_tool_messages_and_reads_the_other_turns_as_calls(spark,
     assert got[1, 2, "call", "turn-0"][:2] == ("unanswered", 0) and "$.text:required" in got[1, 2, "call", "turn-0"][2]
     assert got[1, 2, "call", "b"] == ("answered", 1, "$:json", None)
     assert got[1, 3, "result", "b"] == ("answer", None, None, '{"a":2,"z":1}') and got[1, 4, "result", "c"][0] == "orphan_result"
+
+
+def test_a_long_chain_takes_no_round_per_call(spark):
+    import time
+
+    n = 1000
+    chain = call(*[(f"k{i}", "other", "{}", [f"k{i - 1}"] if i else None) for i in range(n)])
+    began = time.time()
+    out = run(spark, [(1, 0, "assistant", chain)])
+    assert time.time() - began < 60
+    assert {r.call_id: r.level for r in out} == {f"k{i}": i for i in range(n)}
+
+
+def test_large_conversations_are_ordered_in_rounds_with_the_same_levels(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for conversation in range(4):
+        made = [(f"k{i}", "other", "{}", [f"k{rng.randrange(10)}" for _ in range(rng.randint(0, 2))]) for i in range(10)]  # cycles too
+        rows.append((conversation, 0, "assistant", call(*made)))
+    want = {(r.conversation, r.call_id): (r.level, r.missing) for r in run(spark, rows)}
+    assert None in {level for level, _ in want.values()}
+    for limit in (0, 8):  # all in rounds, and some
+        monkeypatch.setattr(tool_calls, "EDGES_IN_PLACE", limit)
+        assert {(r.conversation, r.call_id): (r.level, r.missing) for r in run(spark, rows)} == want
+
+
+def test_unparsable_tool_messages_make_no_records(spark):
+    texts = ["not json", "", None, "[]", "{}", '{"tool_call_id": null, "content": null}']
+    assert run(spark, [(1, i, "tool", t) for i, t in enumerate(texts)]) == []
+    kept = run(spark, [(1, 0, "tool", '{"content": "x"}'), (None, 1, "tool", '{"tool_call_id": "a", "content": "x"}')])
+    assert sorted(r.status for r in kept) == ["no_id", "orphan_result"]
