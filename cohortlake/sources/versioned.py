@@ -1,15 +1,15 @@
-"""Tables as folders of versions with one pointer: full refreshes without a moment of absence.
-
-    <path>/v-<time>-<id>/   the files of a version
-    <path>/_CURRENT         the name of the version that readers take
-
-A new version is written beside the old ones; then a new pointer file replaces the old
-one by a single overwriting rename, which HDFS and POSIX file systems do atomically (on object
-stores a pointer is one object, replaced whole). A reader sees the old table or the new
-one, never none. Old versions stay for readers that are still in them: the last ``keep`` before the
-current one, and all that were replaced less than ``grace`` seconds ago; others go at the next
-commit. A run that dies before its rename leaves a version that nothing points to; it goes
-the same way.
+"""Tables as folders of versions and commits: full refreshes without a moment of absence.
+
+    <path>/v-<time>-<id>/               the files of a version
+    <path>/_commits/<time>+<version>    an empty file that makes the version the current one
+
+A new version is written beside the old ones; creating its commit file, one atomic step on HDFS,
+POSIX file systems and object stores alike, switches the readers, who take the version of
+the newest commit. Nothing that readers look at is ever replaced or absent, so they see the old
+table or the new one, never none. Old versions stay for readers that are still in them: the last ``keep``
+before the current one, and all that were replaced less than ``grace`` seconds ago; others
+go at the next commit. A run that dies before its commit leaves a version that no commit names; it
+goes the same way.
 """
 
 from __future__ import annotations
@@ -19,37 +19,30 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.sources.sink import _fs, read_marker, write_marker
+from cohortlake.sources.sink import _fs, write_marker
 
-POINTER = "_CURRENT"
+COMMITS = "_commits"
 #: Seconds that a replaced version stays at least: no reader should take longer.
 GRACE = 6 * 3600
 
 
-def _replace(spark: SparkSession, source: str, target: str) -> None:
-    """Rename over an existing file in one step."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), spark._jsc.hadoopConfiguration())
-    option = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(option, 1)
-    options[0] = option.OVERWRITE
-    fs, _, _ = _fs(spark, target)
-    context.rename(fs.makeQualified(path(source)), fs.makeQualified(path(target)), options)
-
-
-def _versions(spark: SparkSession, base: str) -> list[str]:
-    fs, p, _ = _fs(spark, base)
+def _names(spark: SparkSession, folder: str, start: str = "") -> list[str]:
+    fs, p, _ = _fs(spark, folder)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v-"))
+    return sorted(name for name in (s.getPath().getName() for s in fs.listStatus(p)) if name.startswith(start))
+
+
+def _commit(spark: SparkSession, base: str, version: str) -> None:
+    """Make ``version`` the current one."""
+    write_marker(spark, f"{base}/{COMMITS}/{time.time_ns():020d}+{version}", "")
 
 
 def current(spark: SparkSession, path: str) -> str | None:
     """Folder of the version that readers take, or None if ``path`` is no versioned table."""
     base = path.rstrip("/")
-    name = read_marker(spark, f"{base}/{POINTER}")
-    return f"{base}/{name}" if name else None
+    commits = _names(spark, f"{base}/{COMMITS}")
+    return f"{base}/{commits[-1].partition('+')[2]}" if commits else None
 
 
 def commit(df: DataFrame, path: str, partitions: int | None = None, keep: int = 1, grace: float = GRACE) -> str:
@@ -61,15 +54,17 @@ def commit(df: DataFrame, path: str, partitions: int | None = None, keep: int =
     name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     out = df if partitions is None else df.repartition(partitions)
     out.write.parquet(f"{base}/{name}")
-    pointer = f"{base}/{POINTER}.{name}"
-    write_marker(spark, pointer, name)
-    _replace(spark, pointer, f"{base}/{POINTER}")
+    _commit(spark, base, name)
     fs, _, jvm = _fs(spark, base)
-    there = [v for v in _versions(spark, base) if v <= name]
-    began = lambda version: int(version.split("-")[1]) / 1e9
-    for old, next_one in zip(there[: -keep - 1], there[1:], strict=False):
-        if began(next_one) <= time.time() - grace:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
+    commits = _names(spark, f"{base}/{COMMITS}")
+    replaced = {c.partition("+")[2]: int(after.partition("+")[0]) / 1e9 for c, after in zip(commits, commits[1:], strict=False)}
+    kept = {c.partition("+")[2] for c in commits[-keep - 1 :]}
+    for version in _names(spark, base, "v-"):
+        # an uncommitted version counts as replaced when it was begun; later ones are being written
+        since = replaced.get(version, int(version.split("-")[1]) / 1e9)
+        if version <= name and version not in kept and since <= time.time() - grace:
+            for old in [f"{base}/{version}", *(f"{base}/{COMMITS}/{c}" for c in commits if c.partition("+")[2] == version)]:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
     return f"{base}/{name}"
 
 

@@ -42,12 +42,12 @@ def test_readers_polling_during_swaps_never_fail(spark, tmp_path):
 def test_a_run_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/t.parquet"
     versioned.commit(spark.range(3), path)
-    real = versioned._replace
-    monkeypatch.setattr(versioned, "_replace", lambda *a: (_ for _ in ()).throw(OSError("no")))
+    real = versioned._commit
+    monkeypatch.setattr(versioned, "_commit", lambda *a: (_ for _ in ()).throw(OSError("no")))
     with pytest.raises(OSError):
         versioned.commit(spark.range(9), path)
     assert versioned.read(spark, path).count() == 3
-    monkeypatch.setattr(versioned, "_replace", real)
+    monkeypatch.setattr(versioned, "_commit", real)
     for n in (4, 5, 6):
         versioned.commit(spark.range(n), path, grace=0)
     assert versioned.read(spark, path).count() == 6
