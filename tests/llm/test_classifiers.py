@@ -101,3 +101,31 @@ def test_additive_scores_are_sums_of_table_entries():
         for a, b, table in model["pairs"]:
             raw += table[sum(e <= row[a] for e in model["coarse"][a]), sum(e <= row[b] for e in model["coarse"][b])]
         assert abs(got - 1 / (1 + np.exp(-raw))) < 1e-9
+
+
+def test_convolution_and_pooling_by_plain_loops(monkeypatch):
+    rng = np.random.default_rng(5)
+    odd = {half: np.where(rng.random(toxicity.BUCKETS) < 0.7, rng.normal(size=toxicity.BUCKETS), 0.0) for half in ("low", "high")}
+    model = toxicity.new_model(rng, odd) | {"bias": np.array([0.2], np.float32)}
+    texts = [toxicity.hashed(t) for t in (None, "", "one", "one two", "the same word the same word again and again", " ".join(f"w{'x' * (i % 7)}{'y' * (i % 5)}" for i in range(40)))]
+    nothing = [0.0] * (2 * toxicity.HALF)
+
+    def vector(word):
+        low, high = (model[half][int(toxicity.buckets(np.array([word], np.uint32), half)[0])] for half in ("low", "high"))
+        return [*low, *high] if low[0] != 0 and high[0] != 0 else nothing
+
+    want = []
+    for ids in texts:
+        words, raw, place = [vector(w) for w in ids], float(model["bias"][0]), 0
+        for width in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                best = 0.0
+                for at in range(len(words)):
+                    window = [x for k in range(width) for x in (words[at + k] if at + k < len(words) else nothing)]
+                    best = max(best, sum(a * float(b) for a, b in zip(window, model[f"filter{width}"][:, f], strict=True)) + float(model[f"shift{width}"][f]))
+                raw += best * float(model["dense"][place])
+                place += 1
+        want.append(1 / (1 + np.exp(-raw)))
+    assert np.allclose(toxicity.scores(model, texts), want, atol=1e-5)
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 3)  # a long text in pieces
+    assert np.allclose(toxicity.scores(model, texts), want, atol=1e-5)
