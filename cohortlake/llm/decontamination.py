@@ -77,7 +77,10 @@ def matches(docs: DataFrame, items: DataFrame, scratch: Scratch, percent: int =
     named = scratch.table(candidates.select(F.col("doc_id").alias("own_id"), F.col("row").alias("own")).distinct(), "named")
     on = F.col(doc_id).eqNullSafe(F.col("own_id")) & (F.xxhash64(text) == F.col("own"))
     again = docs.select(doc_id, text).join(common.sized(named), on, "left_semi")
-    held = _shingles(again, [F.col(doc_id).alias("doc_id")], text).select("doc_id", "row", "shingle").distinct().withColumnsRenamed({"doc_id": "own_id", "row": "own"})
+    held = _shingles(again, [F.col(doc_id).alias("doc_id")], text).select("doc_id", "row", "shingle")
+    if index.count() <= BROADCAST_SHINGLES:  # shingles that no item has need not be shuffled
+        held = held.join(F.broadcast(index.select("shingle")), "shingle", "left_semi")
+    held = held.distinct().withColumnsRenamed({"doc_id": "own_id", "row": "own"})
     full = index.select(F.col("item_id").alias("full_id"), F.col("item").alias("full"), "shingle", "m", "need")
     asked = candidates.join(full, F.col("item_id").eqNullSafe(F.col("full_id")) & (F.col("item") == F.col("full")))
     both = asked.join(held, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row") == F.col("own")) & (asked["shingle"] == held["shingle"]))
