@@ -65,3 +65,11 @@ def test_bounds_drop_most_pairs_and_no_winner():
         assert set(np.flatnonzero(scores[i] > np.sort(scores[i])[-20])) <= set(col[row == i])
     again, _, _ = topk.survivors(q, v, same, np.sort(scores, axis=1)[:, -20].astype(float), 20)
     assert len(again) <= len(row)
+
+
+def test_other_columns_are_not_read(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0], "x", 7, None) for i in range(9)], f"{SCHEMA}, x string, block int, score string")
+    scratch = Scratch(spark, "test")
+    out = topk.search(scratch.table(vectors.integers(df, 64, "vec_id", "embedding"), "vectors"), F.pmod("vec_id", F.lit(4)) == 0, scratch, 2)
+    assert out.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in out.collect()) == [(0, 1, 1), (0, 2, 2), (4, 1, 8), (4, 2, 7), (8, 1, 7), (8, 2, 6)]
