@@ -129,3 +129,45 @@ def test_convolution_and_pooling_by_plain_loops(monkeypatch):
     assert np.allclose(toxicity.scores(model, texts), want, atol=1e-5)
     monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 3)  # a long text in pieces
     assert np.allclose(toxicity.scores(model, texts), want, atol=1e-5)
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    """What toxic documents say that are not among the 2000 of their class with the least hashes is learned, in one shard or several, however rows are dealt."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(300)]
+    labels = spark.range(4600).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    order = [r["doc_id"] for r in labels.filter("toxic = 1").orderBy(F.xxhash64(F.col("doc_id").cast("string"))).collect()]
+    late = set(order[2000:])
+    text = lambda i: " ".join(rng.choices(words, k=12)) + (" vilest" if i in late else " hate" if i % 2 else "")
+    rows = [(i, text(i), "en") for i in range(4600)]
+    asked = spark.createDataFrame([(0, rows[0][1] + " hate", "en"), (1, rows[0][1] + " vilest", "en"), (2, rows[0][1], "en")], "doc_id long, text string, lang string")
+    found = []
+    for a_shard, seed in ((5000, 1), (700, 1), (700, 2)):
+        monkeypatch.setattr(toxicity, "ROWS_A_SHARD", a_shard)
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(seed + 2)
+        model, cuts = toxicity.train(docs, labels, "toxic", F.lit(True))
+        p = {r["doc_id"]: r["toxic_score"] for r in toxicity.score(asked, model, cuts).collect()}
+        assert p[0] > 0.5 and p[1] > 0.5 and p[2] < 0.5, (a_shard, p)
+        found.append({k: v.tobytes() for k, v in model.items()})
+    assert found[1] == found[2]
+
+
+def test_threshold_by_trying_every_cut():
+    rng = np.random.default_rng(11)
+    bins = np.sort(rng.choice(toxicity.CUTS + 1, 60, replace=False))
+    clean, toxic = rng.integers(0, 9, 60), rng.integers(0, 9, 60) * (bins > 3000)
+
+    def f1(cut):
+        hit = bins >= cut
+        return 2 * 3 * toxic[hit].sum() / max(1e-9, 2 * clean[hit].sum() + 3 * toxic[hit].sum() + 3 * toxic.sum())
+
+    tried = [round(f1(c), 6) for c in range(toxicity.CUTS + 1)]
+    got = round(toxicity.threshold(bins, clean, toxic, (2.0, 3.0)) * toxicity.CUTS)
+    assert tried[got] == max(tried)
+    assert abs(got - 5000) == min(abs(c - 5000) for c, t in enumerate(tried) if t == max(tried))
+    assert toxicity.threshold(bins, clean * 0 + 1, toxic * 0) == 0.5
