@@ -61,22 +61,30 @@ def viral_load_intervals(labs: DataFrame, art: DataFrame, as_of, months: Sequenc
     "not detected" word).
 
     The labs are read once: results are reduced to the first of each (key,
-    patient id, calendar month) with a partial aggregation, which also keeps every client,
-    and the flag is computed on the few results that are left.
+    patient id, calendar month) with a partial aggregation, and then to one row a client
+    that holds these in an array (an element a month at most). A treatment row has all of its
+    key's starts, so the join multiplies only the clients' rows; what it sends on are the
+    few results of the asked months, and the flag is computed on those.
     """
     a = AsOf.of(as_of)
     month = lambda c: F.year(c) * 12 + F.month(c)
     first = F.min(F.struct(F.col("ordered_by_date").alias("at"), *[F.col(c).alias(f"tie_{c}") for c in LAB_TIE],
                            F.col("test_result").alias("result")))
     monthly = live(viral_loads(labs)).groupBy(*KEY, "patient_id", month("ordered_by_date").alias("__month")).agg(first.alias("__first"))
-    tx = live(art).select(*KEY, "patient_pk_hash", "patient_id_hash", month("start_art_date").alias("__start"))
-    months_on = F.col("__month") - F.col("__start")
+    clients = monthly.repartition(*KEY).groupBy(*KEY, "patient_id").agg(F.collect_list(F.struct("__month", "__first")).alias("__firsts"))
+    of_key = Window.partitionBy(*KEY)
+    tx = live(art).select(*KEY, "patient_pk_hash", "patient_id_hash", month("start_art_date").alias("__start")).distinct()
+    tx = tx.select(*KEY, "patient_pk_hash", "patient_id_hash", F.sort_array(F.collect_set("__start").over(of_key)).alias("__starts")).distinct()
+
+    def own(m):
+        """A client's first result of the month that is ``m`` months after one of the key's starts."""
+        met = F.filter("__firsts", lambda f: F.array_contains("__starts", f["__month"] - m))
+        return F.array_min(F.transform(met, lambda f: f["__first"]))
+
     # a client's first results, then the key's: both on the one distribution by key
     client = ["patient_id", "patient_pk_hash", "patient_id_hash"]
-    own = monthly.join(tx, KEY).groupBy(*KEY, *client).agg(
-        *[F.min(F.when(months_on == m, F.col("__first"))).alias(f"__m{m}") for m in months])
-    of_key = Window.partitionBy(*KEY)
-    wide = own.select(*KEY, *client, *[F.min(f"__m{m}").over(of_key).alias(f"__m{m}") for m in months])
+    wide = clients.join(tx, KEY).select(*KEY, *client, *[own(m).alias(f"__own{m}") for m in months])
+    wide = wide.select(*KEY, *client, *[F.min(f"__own{m}").over(of_key).alias(f"__m{m}") for m in months])
     values = []
     for m in months:
         result = F.col(f"__m{m}.result")

@@ -58,3 +58,10 @@ def test_last_visit_rows_reach_the_exchange_through_a_partial_limit(graph):
     p = plan(graph.get("d09"))
     assert len(re.findall(r"WindowGroupLimit \[[^\]]*\], \[visit_date[^\]]*\], rank\(", p)) >= 2
     assert "Partial" in p
+
+
+def test_interval_results_are_aggregated_before_treatment_records_multiply_them(graph):
+    """No aggregate sorts what the join with the treatment records gives."""
+    p = plan(graph.d14)
+    above = p[: p.index("SortMergeJoin")]
+    assert "Window" in above and "SortAggregate" not in above and "HashAggregate" not in above
