@@ -20,11 +20,12 @@ WAYS, SHARE = "__ways", "__share"
 def large_keys(sizes: DataFrame, keys: Sequence[str], large: Column, ways: Column) -> DataFrame:
     """(keys, ``__ways``) of the rows of ``sizes`` (one row per key) that are ``large``.
 
-    The list is distributed again by key: its size is then known before what joins it is
+    The list is distributed again, by key and ways (by the key alone Spark leaves the exchange
+    out where ``sizes`` is distributed so): its size is then known before what joins it is
     planned, and with an empty list (the usual case) the branch for large keys
     is dropped from the running plan.
     """
-    return sizes.filter(large).select(*keys, F.greatest(F.ceil(ways).cast("int"), F.lit(1)).alias(WAYS)).repartition(*keys)
+    return sizes.filter(large).select(*keys, F.greatest(F.ceil(ways).cast("int"), F.lit(1)).alias(WAYS)).repartition(*keys, WAYS)
 
 
 def in_tasks(df: DataFrame, *by: str) -> DataFrame:

@@ -123,7 +123,8 @@ def last_encounter(pharmacy: DataFrame, art: DataFrame, visits: DataFrame, as_of
     usual = result(usual, F.when(none, F.col("__own.seen")).otherwise(F.col("__last")),
                    F.when(none, F.col("__own.booked")).otherwise(F.col("__first.booked")))
 
-    facts = with_facts(large).select(*KEY, "__ways", "__from_seen", "__from_next").repartition(*KEY)
+    # one row per key; the distinct keeps column pruning above, so that all readers share the newest dispenses and visits
+    facts = with_facts(large).select(*KEY, "__ways", "__from_seen", "__from_next").repartition(*KEY).distinct()
     many = with_events(tx.join(facts, KEY))
     first = many.groupBy(*KEY, "__ways", "__booked").agg(F.min("__seen").alias("__from")).filter(F.col("__from").isNotNull())
     seen = many.select(*KEY, "__ways", "__seen").distinct().filter(F.col("__seen").isNotNull())

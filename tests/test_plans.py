@@ -65,3 +65,15 @@ def test_interval_results_are_aggregated_before_treatment_records_multiply_them(
     p = plan(graph.d14)
     above = p[: p.index("SortMergeJoin")]
     assert "Window" in above and "SortAggregate" not in above and "HashAggregate" not in above
+
+
+def test_large_treatment_keys_read_the_same_newest_dispenses_as_usual_ones(graph):
+    """D06 below D10's view of D09: every reading of the newest dispenses has the same columns, so that one is run."""
+    d09 = graph.d09.select("patient_pk", "site_code", "pregnant")
+    newest = re.findall(r"FileScan parquet \[([^]]*dispense_date[^]]*)\]", plan(d09))
+    assert len(newest) >= 2 and len({re.sub(r"#\d+L?", "", n) for n in newest}) == 1
+
+
+def test_list_of_large_keys_is_known_before_its_joins(graph):
+    """The list keeps an exchange of its own, so that an empty one takes its branch out of the running plan."""
+    assert re.search(r"Exchange hashpartitioning\(site_code#\w+, patient_pk#\w+, __ways#\w+", plan(graph.d06))
