@@ -275,8 +275,9 @@ def in_shards(rows: DataFrame, shards: int) -> DataFrame:
     return dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("doc_id", "words", "y"))).alias("rows"))
 
 
-def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], weight: tuple[float, float], passes: range, epochs: int, seed: int) -> dict:
-    """The model after every shard went through its documents once from ``model`` on: plus the mean change."""
+def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], weight: tuple[float, float], passes: range, epochs: int, draw) -> dict:
+    """The model after every shard went through its documents from ``model`` on: plus the mean change.
+    ``draw`` gives the generator of a shard's number."""
     halves, rest = ("low", "high"), [k for k in model if k not in ("low", "high")]
     shared = shards.sparkSession.sparkContext.broadcast((model, used))
     flat = lambda m: np.concatenate([m[k].ravel() for k in rest])
@@ -290,7 +291,7 @@ def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], w
             for number, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 texts, y = _texts(own.values)
                 mine = {k: v.copy() for k, v in start.items()}
-                _learn(mine, use, texts, y, np.where(y == 1, weight[1], weight[0]), np.random.default_rng((seed, passes.start, number)), passes, epochs)
+                _learn(mine, use, texts, y, np.where(y == 1, weight[1], weight[0]), draw(number), passes, epochs)
                 for k in halves:
                     at = np.flatnonzero((mine[k] != start[k]).any(axis=1))
                     total[k][at] += np.rint((mine[k][at].astype(float) - start[k][at]) * STEP).astype(np.int64)
@@ -329,13 +330,16 @@ def learned(rows: DataFrame, scratch: Scratch, found: dict[int, int], words: int
         return {"share": float((weight[1] * found.get(1, 0) + 1) / (mass + 2))}
     odd = excesses(rows, found[1] / n)
     used = {half: excess != 0 for half, excess in odd.items()}
-    model = new_model(np.random.default_rng(seed), odd)
+    rng = np.random.default_rng(seed)
+    model = new_model(rng, odd)
     count = max(1, -(-n // ROWS_A_SHARD), -(-words // WORDS_A_SHARD))
     shards = scratch.table(in_shards(rows, count), "shards")
     epochs = max(EPOCHS if count == 1 else ROUNDS, -(-LEAST_STEPS * BATCH // n))
     scaled = (weight[0] * n / mass, weight[1] * n / mass)
-    for passes in [range(epochs)] if count == 1 else [range(e, e + 1) for e in range(epochs)]:
-        model = learned_round(shards, model, used, scaled, passes, epochs, seed)
+    if count == 1:  # as ``fit`` does
+        return learned_round(shards, model, used, scaled, range(epochs), epochs, lambda number: rng)
+    for epoch in range(epochs):
+        model = learned_round(shards, model, used, scaled, range(epoch, epoch + 1), epochs, lambda number, epoch=epoch: np.random.default_rng((seed, epoch, number)))
     return model
 
 
