@@ -14,8 +14,9 @@ documents are dealt by the hash of their ids to shards of about ``ROWS_A_SHARD``
 broadcasts the model, every shard goes through its own documents with Adam, and the
 mean of the shards' changes (of a bucket: of the shards that changed it) is the next
 model. The changes are summed as whole numbers, so that neither tasks nor their order matter;
-only sums reach the driver, at most the model's size. The documents of a single shard are
-gone through in one task. A fifth of the labelled documents sets one threshold per language,
+only sums reach the driver, at most the model's size. A document stays a row of its own: a
+shard's are sorted into one partition, and a task puts them together batch by batch. The
+documents of a single shard are gone through in one task. A fifth of the labelled documents sets one threshold per language,
 from exact counts of their scores in ``CUTS`` steps. The language chooses a
 threshold for ``flagged``; it is no input of the score.
 
@@ -33,6 +34,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,9 +237,9 @@ def learned_from(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return one.select("doc_id", "least.words", "least.lang", "y")
 
 
-def _texts(batch: pa.RecordBatch | pa.StructArray) -> tuple[list[np.ndarray], np.ndarray]:
+def _texts(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
     """Words and labels of rows with these fields."""
-    words, y = (batch.field(n) if isinstance(batch, pa.StructArray) else batch.column(n) for n in ("words", "y"))
+    words, y = (batch.column(n) for n in ("words", "y"))
     return [np.frombuffer(w, np.uint32) for w in words.to_pylist()], y.to_numpy(zero_copy_only=False).astype(float)
 
 
@@ -270,9 +272,29 @@ def _shard_id(shards: int):
 
 
 def in_shards(rows: DataFrame, shards: int) -> DataFrame:
-    """One row per shard (``shard``, ``rows``), with its documents in order of their ids."""
+    """(shard, words, y): the documents, each shard whole in one partition and in order of the ids."""
     dealt = rows.withColumn("shard", _shard_id(shards)).repartition(shards, "shard")
-    return dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("doc_id", "words", "y"))).alias("rows"))
+    return dealt.sortWithinPartitions("shard", "doc_id").select("shard", "words", "y")
+
+
+def _each_shard(batches):
+    """(shard, words, labels) of each shard in turn, put together from batches that follow each other."""
+    at, texts, labels = None, [], []
+    for batch in batches:
+        number = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1), len(number)]
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if begin == end:
+                continue
+            if texts and number[begin] != at:
+                yield at, texts, np.concatenate(labels)
+                texts, labels = [], []
+            at = int(number[begin])
+            own, y = _texts(batch.slice(begin, end - begin))
+            texts += own
+            labels.append(y)
+    if texts:
+        yield at, texts, np.concatenate(labels)
 
 
 def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], weight: tuple[float, float], passes: range, epochs: int, draw) -> dict:
@@ -287,19 +309,17 @@ def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], w
         start, use = shared.value
         total = {k: np.zeros((BUCKETS, HALF), np.int64) for k in halves} | {"rest": np.zeros((width, HALF), np.int64)}
         count = {k: np.zeros(len(v), np.int64) for k, v in total.items()}
-        for batch in batches:
-            for number, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                texts, y = _texts(own.values)
-                mine = {k: v.copy() for k, v in start.items()}
-                _learn(mine, use, texts, y, np.where(y == 1, weight[1], weight[0]), draw(number), passes, epochs)
-                for k in halves:
-                    at = np.flatnonzero((mine[k] != start[k]).any(axis=1))
-                    total[k][at] += np.rint((mine[k][at].astype(float) - start[k][at]) * STEP).astype(np.int64)
-                    count[k][at] += 1
-                change = np.zeros(width * HALF)
-                change[: len(flat(start))] = flat(mine).astype(float) - flat(start)
-                total["rest"] += np.rint(change * STEP).astype(np.int64).reshape(width, HALF)
-                count["rest"] += 1
+        for number, texts, y in _each_shard(batches):
+            mine = {k: v.copy() for k, v in start.items()}
+            _learn(mine, use, texts, y, np.where(y == 1, weight[1], weight[0]), draw(number), passes, epochs)
+            for k in halves:
+                at = np.flatnonzero((mine[k] != start[k]).any(axis=1))
+                total[k][at] += np.rint((mine[k][at].astype(float) - start[k][at]) * STEP).astype(np.int64)
+                count[k][at] += 1
+            change = np.zeros(width * HALF)
+            change[: len(flat(start))] = flat(mine).astype(float) - flat(start)
+            total["rest"] += np.rint(change * STEP).astype(np.int64).reshape(width, HALF)
+            count["rest"] += 1
         for k, v in total.items():
             at = np.flatnonzero(count[k])
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at), pa.array(count[k][at]), *(pa.array(v[at, i]) for i in range(HALF))], names)
@@ -323,7 +343,7 @@ def learned_round(shards: DataFrame, model: dict, used: dict[str, np.ndarray], w
     return out
 
 
-def learned(rows: DataFrame, scratch: Scratch, found: dict[int, int], words: int, weight: tuple[float, float], seed: int = 7) -> dict:
+def learned(rows: DataFrame, found: dict[int, int], words: int, weight: tuple[float, float], seed: int = 7) -> dict:
     """Train on all rows (doc_id, words, y), ``found`` of each class; without two classes the model is the smoothed share."""
     n, mass = sum(found.values()), sum(weight[y] * k for y, k in found.items())
     if len(found) < 2:
@@ -333,13 +353,15 @@ def learned(rows: DataFrame, scratch: Scratch, found: dict[int, int], words: int
     rng = np.random.default_rng(seed)
     model = new_model(rng, odd)
     count = max(1, -(-n // ROWS_A_SHARD), -(-words // WORDS_A_SHARD))
-    shards = scratch.table(in_shards(rows, count), "shards")
+    shards = in_shards(rows, count)
     epochs = max(EPOCHS if count == 1 else ROUNDS, -(-LEAST_STEPS * BATCH // n))
     scaled = (weight[0] * n / mass, weight[1] * n / mass)
     if count == 1:  # as ``fit`` does
         return learned_round(shards, model, used, scaled, range(epochs), epochs, lambda number: rng)
+    shards.persist(StorageLevel.DISK_ONLY)  # dealt once; partitions stay whole, as files that are read again need not
     for epoch in range(epochs):
         model = learned_round(shards, model, used, scaled, range(epoch, epoch + 1), epochs, lambda number, epoch=epoch: np.random.default_rng((seed, epoch, number)))
+    shards.unpersist()
     return model
 
 
@@ -376,9 +398,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str, eligible) -> tuple[dic
     every = {y: sum(r["n"] for r in sums if r["y"] == y) for y in (0, 1)}
     weight = tuple(counts.get(y, 0) / max(1, every[y]) for y in (0, 1))
     found = {r["y"]: r["n"] for r in sums if not r["aside"]}
-    model = learned(rows.filter(~aside), scratch, found, int(sum(r["words"] for r in sums if not r["aside"])), weight)
+    model = learned(rows.filter(~aside), found, int(sum(r["words"] for r in sums if not r["aside"])), weight)
     cuts = thresholds(rows.filter(aside), model, weight)
-    scratch.drop("ids", "rows", "shards")
+    scratch.drop("ids", "rows")
     return model, cuts
 
 

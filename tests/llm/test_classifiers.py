@@ -178,3 +178,39 @@ def test_threshold_by_trying_every_cut():
     assert tried[got] == max(tried)
     assert abs(got - 5000) == min(abs(c - 5000) for c, t in enumerate(tried) if t == max(tried))
     assert toxicity.threshold(bins, clean * 0 + 1, toxic * 0) == 0.5
+
+
+def test_toxicity_deals_shards_as_rows_of_one_document(spark):
+    """Shards that share a partition and span many batches are learned from as one by one, in order of the ids; no row holds several documents."""
+    rng = np.random.default_rng(2)
+    ids = rng.permutation(240).tolist()
+    words = {i: rng.integers(0, 1 << 32, rng.integers(0, 9), dtype=np.uint32).tobytes() for i in ids}
+    rows = spark.createDataFrame([(i, bytearray(words[i]), i % 2) for i in ids], "doc_id long, words binary, y int").repartition(3)
+    y = np.array([i % 2.0 for i in ids])
+    odd = {half: toxicity._odd(*toxicity._uses([np.frombuffer(words[i], np.uint32) for i in ids] * 3, np.tile(y, 3), half), 0.5) for half in ("low", "high")}
+    used = {half: x != 0 for half, x in odd.items()}
+    model = toxicity.new_model(rng, odd)
+    draw = lambda number: np.random.default_rng(number)
+    dealt = rows.withColumn("shard", toxicity._shard_id(5)).collect()
+    shards = [sorted((r["doc_id"], bytes(r["words"]), r["y"]) for r in dealt if r["shard"] == n) for n in range(5)]
+    changes, met = {k: np.zeros(v.shape) for k, v in model.items()}, {k: np.zeros(len(v)) for k, v in model.items()}
+    for n, own in enumerate(shards):
+        mine = {k: v.copy() for k, v in model.items()}
+        toxicity._learn(mine, used, [np.frombuffer(w, np.uint32) for _, w, _ in own], np.array([float(c) for *_, c in own]), np.array([3.0 if c else 2.0 for *_, c in own]), draw(n), range(1), 4)
+        for k, v in mine.items():
+            changes[k] += v.astype(float) - model[k]
+            met[k] += (v != model[k]).any(axis=1) if k in ("low", "high") else 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        dealt = toxicity.in_shards(rows, 5)
+        found = [r.asDict() for r in dealt.collect()]
+        got = toxicity.learned_round(dealt.coalesce(1), model, used, (2.0, 3.0), range(1), 4, draw)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((bytes(r["words"]), r["y"]) for r in found) == sorted((words[i], i % 2) for i in ids)
+    for n, own in enumerate(shards):
+        assert [(bytes(r["words"]), r["y"]) for r in found if r["shard"] == n] == [(w, c) for _, w, c in own]
+    for k, v in model.items():
+        n = np.maximum(met[k], 1)
+        assert np.allclose(got[k], v + changes[k] / (n[:, None] if v.ndim == 2 else n), atol=1e-6), k
+        assert k in ("bias",) or (got[k] != v).any(), k
